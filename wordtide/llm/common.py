@@ -6,6 +6,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,3 +88,45 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     else:
         raise RuntimeError("components did not converge")
     return labels
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: int) -> DataFrame:
+    """At most ``most`` labelled documents as (text, y, half): those whose ids hash lowest.
+
+    ``use`` is a condition on label rows. The ids of the sample are the only thing broadcast, at
+    most ``most`` of them; ``half`` splits the sample by another part of the hash.
+    """
+    name = F.sha2(F.concat(F.lit("fit:"), F.col("doc_id").cast("string")), 256)
+    rows = labels.where(F.col(label).isNotNull() & F.col("doc_id").isNotNull())
+    rows = rows.where(use) if use is not None else rows
+    ids = (
+        rows.groupBy("doc_id")
+        .agg(F.max(label).cast("int").alias("y"))
+        .withColumn("fit_hash", name)
+        .orderBy("fit_hash")
+        .limit(most)
+        .select(F.col("doc_id").alias("fit_id"), "y", (F.conv(F.substring("fit_hash", 60, 4), 16, 10).cast("int") % 2).alias("half"))
+    )
+    ids = materialise(ids, "fit-ids", 1)
+    return materialise(docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("fit_id")).select("text", "y", "half"), "fit-sample")
+
+
+def sigmoid(x):
+    return 1.0 / (1.0 + np.exp(-np.clip(x, -60.0, 60.0)))
+
+
+def logistic(x: np.ndarray, y: np.ndarray, shrink: float = 0.05, rounds: int = 60) -> np.ndarray:
+    """Weights of a logistic regression by Newton's method with a ridge; column 0 is the constant."""
+    w = np.zeros(x.shape[1])
+    ridge = np.full(x.shape[1], shrink)
+    ridge[0] = 1e-6
+    for _ in range(rounds):
+        p = sigmoid(x @ w)
+        grad = x.T @ (y - p) - ridge * w
+        hess = (x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge + 1e-9)
+        step = np.linalg.solve(hess, grad)
+        norm = np.abs(step).max()
+        w = w + step * min(1.0, 4.0 / max(norm, 1e-12))
+        if norm < 1e-8:
+            break
+    return w

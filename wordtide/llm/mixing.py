@@ -127,9 +127,25 @@ def mix(docs: DataFrame) -> DataFrame:
         (F.col("mix_epochs") * F.col("mix_size") + F.col("mix_part")).cast("long").alias("taken"),
         F.col("mix_epochs").alias("epochs"),
         F.col("mix_key"),
+        F.col("mix_text"),
     )
 
 
+def mixed(docs: DataFrame) -> DataFrame:
+    """The mix itself: every row of ``docs`` as often as it is taken, all columns kept.
+
+    A document that the budget cuts stays whole if at least half of it is taken, and goes otherwise;
+    documents without words come once for each complete epoch of their source.
+    """
+    part = F.col("taken") - F.col("epochs") * F.col("size")
+    times = (F.col("epochs") + F.when((part > 0) & (2 * part >= F.col("size")), 1).otherwise(0)).cast("int")
+    plan = mix(docs).select(F.col("doc_id").alias("mix_id"), "mix_text", times.alias("mix_times")).where("mix_times > 0")
+    plan = materialise(plan.groupBy("mix_id", "mix_text").agg(F.max("mix_times").alias("mix_times")), "mix-times")
+    own = docs.withColumn("mix_hash", F.xxhash64(F.coalesce("text", F.lit(""))))
+    joined = own.join(plan, own["doc_id"].eqNullSafe(plan["mix_id"]) & (own["mix_hash"] == plan["mix_text"]))
+    return joined.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("mix_times")))).select(*[own[c] for c in docs.columns])
+
+
 #: The same in DuckDB's SQL: an independent statement with plain windows over whole sources.
 SQL = r"""
 WITH base AS (

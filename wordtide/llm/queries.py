@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, hostgraph, mixing, pii, warc
+from . import bpe, fingerprint, hostgraph, lattice, linecrf, mixing, ordered_minhash, pii, toxicity, warc
 from .common import read_table
 
 #: The vocabulary is a parameter: a rank file and the pattern that splits text before its merges.
@@ -19,14 +19,31 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(read_table(spark, sf_dir, "documents"), VOCABULARY, PATTERN)
 
 
+def op2_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.link(read_table(spark, sf_dir, "embeddings"))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents"))
+    out = mixing.mix(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "epochs", "mix_key")
 
 
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.find(read_table(spark, sf_dir, "documents"))
 
 
+def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare(read_table(spark, sf_dir, "documents"))
+
+
+def op7_ordered_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ordered_minhash.classes(read_table(spark, sf_dir, "documents"))
+
+
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hostgraph.judge(read_table(spark, sf_dir, "pages"))
 
@@ -36,12 +53,21 @@ def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return linecrf.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
+    "op2_lattice": op2_lattice,
+    "op3_toxicity": op3_toxicity,
     "op4_mixing": op4_mixing,
     "op5_pii": op5_pii,
+    "op6_fingerprint": op6_fingerprint,
+    "op7_ordered_minhash": op7_ordered_minhash,
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
+    "op10_line_crf": op10_line_crf,
 }
 
 ORACLE_SQL: dict[str, str] = {
