@@ -280,7 +280,7 @@ def test_readers_and_sinks(spark, tmp_path):
     assert {r["t"] for r in red} == {None, "x"} and any(r["g"].startswith("alias-") for r in red)
     assert sinks.markdown_table(df.orderBy("g")).splitlines()[2] == "| a | =1 |"
     assert readers.read_json_lines(spark, _jsonl(tmp_path), "a int", "any").count() == 2
-    assert readers.read_json_lines(spark, _jsonl(tmp_path), "a int", "tail").where("_corrupt_record is not null").count() == 1
+    assert [r["a"] for r in readers.read_json_lines(spark, _jsonl(tmp_path), "a int", "tail").collect() if r["_corrupt_record"] is not None] == [None]
     servers = readers.registry_servers(spark.createDataFrame([([[["com", "net"], ["https://r/"]]],)], "services array<array<array<string>>>"))
     assert {(r["tld"], r["server"]) for r in servers.collect()} == {("com", "https://r/"), ("net", "https://r/")}
 
