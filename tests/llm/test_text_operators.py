@@ -1,0 +1,315 @@
+"""BPE, PII, fingerprints, mixing, near-dedup and the pipeline against plain versions."""
+
+import collections
+import hashlib
+import itertools
+import random
+import re
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from wordtide.llm import bpe, fingerprint, mixing, pii
+from wordtide.llm import ordered_minhash as omh
+from wordtide.llm.common import components, read_table
+from wordtide.llm.queries import ORACLE_SQL, PATTERN, QUERIES, VOCABULARY
+
+from ..conftest import DATA
+
+
+def texts_of(docs):
+    return [(r["doc_id"], r["text"] or "") for r in docs.select("doc_id", "text").collect()]
+
+
+# ---- BPE
+
+def expected_bpe(text):
+    own = bpe.codec(VOCABULARY, PATTERN)
+    ids = np.array(own.core.encode_ordinary(text), dtype="<u4").tobytes()
+    return len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+
+
+@pytest.mark.parametrize("chunk,overlap", [(bpe.CHUNK, bpe.OVERLAP), (300, 40)])
+def test_bpe_rows(spark, odd_docs, chunk, overlap):
+    for docs in (odd_docs, read_table(spark, DATA, "documents")):
+        got = collections.Counter(tuple(r) for r in bpe.encode(docs, VOCABULARY, PATTERN, chunk, overlap).collect())
+        assert got == collections.Counter((i, *expected_bpe(t)) for i, t in texts_of(docs))
+
+
+def test_bpe_chunks():
+    own, rng = bpe.codec(VOCABULARY, PATTERN), random.Random(3)
+    parts = ["a", "bc", "  ", "\n", " \n ", "'s", "'", "  x", "1", "22", "é", "日本", "!!", "?", " ", "\t", "the ", "X" * 40, "🙂", "<|endoftext|>"]
+    for _ in range(400):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(0, 120)))
+        got = np.frombuffer(bpe.encode_text(text, own, rng.randint(3, 40), rng.randint(1, 12)), dtype="<u4").tolist()
+        assert got == own.core.encode_ordinary(text)
+
+
+def test_bpe_round_trip(spark, odd_docs):
+    ids = bpe.encode_ids(odd_docs, VOCABULARY, PATTERN)
+    back = {r["doc_id"]: bytes(r["data"]) for r in bpe.decode_ids(ids, VOCABULARY, PATTERN).collect()}
+    assert all(back[i] == t.encode() for i, t in texts_of(odd_docs))
+
+
+# ---- PII
+
+def plain_spans(text):
+    out = []
+    luhn = lambda d: sum((v - 9 if v > 9 else v) for v in (int(c) * (1 + i % 2) for i, c in enumerate(d[::-1]))) % 10 == 0
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    rules = (
+        (r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", lambda s: True),
+        (r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", lambda s: all(int(x) <= 255 for x in s.split("."))),
+        (r"[0-9]([\x20-]?[0-9])+", lambda s: 14 <= len(digits(s)) <= 19 and luhn(digits(s))),
+        (r"\+[0-9][\x20().0-9-]+[0-9]", lambda s: 10 <= len(digits(s)) <= 15),
+    )
+    for k, (pattern, holds) in enumerate(rules):
+        out += [(m.start(), k, m.end()) for m in re.finditer(pattern, text) if holds(m[0])]
+    return sorted(out)
+
+
+def test_pii_base(spark, odd_docs):
+    extra = ["a@b.c@d.e", "1.2.3.256 9.9.9.9", "+12-34 56(7)8.9-0", "4539 5787-6362 1486", "0" * 15, "+1" + "2" * 40, "1" * 3000, "a" * 3000 + "@", "..@a.b", "jo@x.y.", "é1.1.1.1é", "+1.2.3.4.5.6.7.8.9.0"]
+    more = spark.createDataFrame([(100 + i, t) for i, t in enumerate(extra)], "doc_id bigint, text string")
+    for docs in (odd_docs, more, read_table(spark, DATA, "documents")):
+        got = collections.Counter((r["doc_id"], r["n_email"], r["n_ip"], r["n_card"], r["n_phone"], r["base_sha256"]) for r in pii.find(docs).collect())
+        want = collections.Counter()
+        for i, t in texts_of(docs):
+            spans = plain_spans(t)
+            counts = [sum(k == j for _, k, _ in spans) for j in range(4)]
+            want[(i, *counts, hashlib.sha256(",".join(f"{pii.KINDS[k]}:{s}:{e}" for s, k, e in spans).encode()).hexdigest())] += 1
+        assert got == want
+
+
+def test_pii_adds_what_resembles(spark):
+    """Phones without a plus sign in the company of many with one are added; other numbers are not."""
+    rows = [(i, f"call phone +1 (0{i:02d}) 555-77{i:02d} now") for i in range(40)] + [(100, "version 2.0 of 1999 and 17.5"), (101, None), (102, "call phone (017) 555-7713 44 now")]
+    found = pii.find(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    spans = {r["doc_id"]: r["spans"] for r in found}
+    assert spans[100] == "" and spans[101] == "" and all(spans[i].startswith("phone:11:") for i in range(40))
+
+
+def test_pii_trees_are_columns(spark):
+    rng = random.Random(2)
+    patterns = [(k, b, n, rng.randint(0, n)) for k in range(4) for b in rng.sample(range(4096), 12) for n in (rng.randint(1, 90),)]
+    model = pii.fit(patterns)
+    nbits = len(pii.FEATURES) + 4
+    bits = [p[1] | 1 << (len(pii.FEATURES) + p[0]) for p in patterns]
+    want = model.score((np.array(bits)[:, None] >> np.arange(nbits) & 1).astype(bool))
+    got = [r["s"] for r in spark.createDataFrame([(i, b) for i, b in enumerate(bits)], "i int, b int").withColumn("s", model.column(F.col("b"))).orderBy("i").collect()]
+    assert np.allclose(got, want)
+
+
+def test_redact(spark, odd_docs):
+    got = pii.redact(odd_docs)
+    assert got.columns == odd_docs.columns
+    texts = {r["doc_id"]: r["text"] for r in got.collect()}
+    assert texts[6] == "mail [EMAIL] or [PHONE] from [IP] to [CARD]\n" * 3
+    assert texts[3] is None and texts[4] == "" and texts[10] == "short"
+    assert texts[9] == "\u0001 mark é🙂   [IP].[IP] [EMAIL][EMAIL]"
+
+
+# ---- fingerprints
+
+def test_fingerprint_rows(spark, odd_docs):
+    for docs in (odd_docs.where("doc_id is not null").dropDuplicates(["doc_id"]), read_table(spark, DATA, "documents")):
+        rows = sorted(texts_of(docs), reverse=True)
+        want = {}
+        for (i, t), (_, u) in zip(rows, rows[1:] + rows[:1], strict=True):
+            third = len(t) // 3
+            new = t[: len(t) - third] + u[:third]
+            a, b = fingerprint.fingerprint(t), fingerprint.fingerprint(new)
+            want[i] = (len(t), hashlib.sha256(new.encode()).hexdigest(), a, b, fingerprint.likeness(a, b), fingerprint.likeness(a, fingerprint.fingerprint(u)))
+        got = {r["doc_id"]: tuple(r)[1:] for r in fingerprint.compare(docs, 5).collect()}
+        assert got == want
+
+
+def test_fingerprint_likeness():
+    text = open(__file__).read()
+    own = fingerprint.fingerprint(text)
+    assert fingerprint.likeness(own, own) == 1.0 and fingerprint.fingerprint("") == "3::"
+    near = fingerprint.fingerprint(text[:3000] + "CHANGED" + text[3000:])
+    assert fingerprint.likeness(own, near) > 0.7
+    rng = random.Random(1)
+    other = fingerprint.fingerprint("".join(rng.choice("abcdefgh ") for _ in range(len(text))))
+    assert fingerprint.likeness(own, other) < 0.1
+    assert len(fingerprint.fingerprint("ab" * 200_000)) < 200
+
+
+def levenshtein(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        last, row = row, [i]
+        for j, y in enumerate(b, 1):
+            row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_edit_distances():
+    rng = random.Random(5)
+    for _ in range(400):
+        a = [rng.randint(0, rng.choice([1, 4, 40])) for _ in range(rng.randint(0, 30))]
+        b = list(a)
+        for _ in range(rng.randint(0, 9)):
+            i = rng.randint(0, len(b))
+            b[i : i + rng.randint(0, 2)] = [rng.randint(0, 9)] * rng.randint(0, 2)
+        d, most = levenshtein(a, b), rng.randint(0, 12)
+        assert omh.within(np.array(a, dtype=np.uint64), np.array(b, dtype=np.uint64), most) == (d if d <= most else None)
+        x, y = "".join(map(chr, [97 + v for v in a])), "".join(map(chr, [97 + v for v in b]))
+        assert fingerprint.edit_distance(x, y) == d
+
+
+# ---- mixing
+
+def test_mixing_matches_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{DATA}/documents.parquet'")
+    res = con.sql(ORACLE_SQL["op4_mixing"])
+    cols = list(res.columns)
+    want = {r[0]: dict(zip(cols, r, strict=True)) for r in res.fetchall()}
+    for r in QUERIES["op4_mixing"](spark, DATA).collect():
+        w = want[r["doc_id"]]
+        assert (r["size"], r["source_size"], r["taken"], r["epochs"]) == (w["size"], w["source_size"], w["taken"], w["epochs"])
+        assert abs(r["target"] - w["target"]) < 1e-6
+
+
+def test_mixing_odd(spark, odd_docs, no_docs):
+    rows = mixing.mix(odd_docs).collect()
+    assert len(rows) == odd_docs.count() and mixing.mix(no_docs).count() == 0 and mixing.mixed(no_docs).count() == 0
+    by_size = collections.defaultdict(int)
+    for r in rows:
+        assert 0 <= r["taken"] <= 3 * r["size"]
+        by_size[(r["source_size"], r["target"])] += r["taken"]
+    assert all(abs(v - round(t)) <= 3 * s for (s, t), v in by_size.items())
+    assert [tuple(r) for r in mixing.mix(odd_docs).orderBy("doc_id", "mix_key").collect()] == [tuple(r) for r in mixing.mix(odd_docs).orderBy("doc_id", "mix_key").collect()]
+    assert mixing.mixed(odd_docs).columns == odd_docs.columns
+
+
+def test_targets(spark):
+    sizes = spark.createDataFrame([("a", 10), ("b", 1000), ("c", 10), (None, 400)], "mix_source string, mix_source_size bigint")
+    got = {r["mix_source"]: r["mix_target"] for r in mixing.source_targets(sizes).collect()}
+    assert abs(sum(got.values()) - 1420) < 1e-6 and got["a"] == 30.0 and got["c"] == 30.0
+    rest = 1420 - 60
+    assert abs(got[None] - min(1200, rest * 5 / 7)) < 1e-6
+
+
+# ---- near-dedup
+
+def brute_classes(rows):
+    """Components over all pairs with an edit similarity of 0.8 or more."""
+    words = [t.lower().split() for _, t in rows]
+    known = {w: i for i, w in enumerate(sorted({w for ws in words for w in ws}))}
+    arrays = [np.array([known[w] for w in ws], dtype=np.uint64) for ws in words]
+    bags = [collections.Counter(ws) for ws in words]
+    parent = list(range(len(rows)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i, j in itertools.combinations(range(len(rows)), 2):
+        n, m = len(words[i]), len(words[j])
+        if min(n, m) < 0.8 * max(n, m) - 1e-9 or max(n, m) - sum((bags[i] & bags[j]).values()) > 0.2 * max(n, m) + 1e-9:
+            continue
+        runs = lambda ws: {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))}
+        if rows[i][1] != rows[j][1] and not runs(words[i]) & runs(words[j]):
+            continue
+        if omh.similar(arrays[i], arrays[j]):
+            a, b = root(i), root(j)
+            parent[max(a, b)] = min(a, b)
+    ids = [i for i, _ in rows]
+    small = {}
+    for k, i in enumerate(ids):
+        small[root(k)] = min(small.get(root(k), i), i)
+    return {i: small[root(k)] for k, i in enumerate(ids)}
+
+
+def test_near_dedup_against_brute_force(spark):
+    docs = read_table(spark, DATA, "documents")
+    want = brute_classes(texts_of(docs))
+    got = {r["doc_id"]: r["class_id"] for r in omh.classes(docs).collect()}
+    assert set(got) == set(want)
+    groups = lambda c: {frozenset(i for i in c if c[i] == k) for k in set(c.values())}
+    pairs = lambda c: {p for g in groups(c) for p in itertools.combinations(sorted(g), 2)}
+    assert pairs(got) <= pairs(want)
+    assert len(pairs(got)) >= 0.98 * len(pairs(want))
+
+
+def test_near_dedup_groups(spark):
+    rng = random.Random(9)
+    vocabulary = [f"w{i}" for i in range(3000)]
+    base = [[rng.choice(vocabulary) for _ in range(120)] for _ in range(30)]
+    passage = [rng.choice(vocabulary) for _ in range(60)]
+    rows, truth = [], {}
+    for g, words in enumerate(base):
+        for _ in range(12 if g < 5 else 1):
+            copy = list(words)
+            for _ in range(3):
+                copy[rng.randrange(120)] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy)))
+            truth[len(rows) - 1] = g
+    for _ in range(40):  # a shared passage makes no copies
+        rows.append((len(rows), " ".join(passage + [rng.choice(vocabulary) for _ in range(120)])))
+        truth[len(rows) - 1] = -len(rows)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = {r["doc_id"]: r["class_id"] for r in omh.classes(docs).collect()}
+    first = {}
+    for i, g in truth.items():
+        first.setdefault(g, i)
+    assert got == {i: first[g] for i, g in truth.items()}
+    assert sorted(r["doc_id"] for r in omh.dedup(docs).collect()) == sorted(first.values())
+
+
+def test_near_dedup_odd(spark, odd_docs, no_docs):
+    got = collections.Counter((r["doc_id"], r["class_id"], r["kept"]) for r in omh.classes(odd_docs).collect())
+    assert got[(2, 1, False)] == 1 and got[(11, 10, False)] == 1 and got[(6, 6, True)] == 2 and got[(None, None, True)] == 1
+    assert got[(4, 3, False)] == 1 and got[(5, 3, False)] == 1
+    kept = omh.dedup(odd_docs)
+    assert kept.columns == odd_docs.columns and sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 3, 6, 7, 8, 9, 10]
+    assert omh.classes(no_docs).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(7)
+    edges = [(i, i + 1) for i in range(0, 60)] + [(100 + i, 100) for i in range(1, 50)] + [(rng.randint(200, 260), rng.randint(200, 260)) for _ in range(40)]
+    parent = {}
+
+    def root(i):
+        parent.setdefault(i, i)
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for a, b in edges:
+        if a != b:
+            x, y = root(a), root(b)
+            parent[max(x, y)] = min(x, y)
+    got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
+    assert got == {i: root(i) for i in parent}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+# ---- pipeline
+
+def test_pipeline(spark):
+    out = corpus_pipeline.run(spark, DATA)
+    rows = out.collect()
+    docs = dict(texts_of(read_table(spark, DATA, "documents")))
+    assert rows and {r["doc_id"] for r in rows} <= set(docs)
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "pii", "mixing", "bpe"]
+    per = collections.Counter(r["doc_id"] for r in rows)
+    assert max(per.values()) <= 4
+
+
+def test_pipeline_stages_keep_columns(spark, odd_docs, no_docs):
+    for docs in (odd_docs, no_docs):
+        kept = docs
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            kept = stage(spark, kept, DATA)
+            assert kept.columns == docs.columns, name
+        assert corpus_pipeline.STAGES[-1][1](spark, kept, DATA).count() == kept.count()
