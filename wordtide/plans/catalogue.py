@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wordtide.functions import text as T
 from wordtide.functions import vocab as V
-from wordtide.operators import audit, matching, names, pages, phrases, sampling, series
+from wordtide.operators import audit, ledger, matching, names, pages, phrases, sampling, series
 from wordtide.streaming import logs, pacing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -867,3 +867,118 @@ def csv_guard(spark, sf_dir):
 def dialogue_window(spark, sf_dir):
     """The last turn of each conversation."""
     return audit.latest(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), "conv_id", ["turn", "role", "text"])
+
+
+# ---- ledgers --------------------------------------------------------------------------------
+
+@query("""WITH w AS (SELECT user_id, count(*) AS r, count(DISTINCT event_type) AS u FROM events WHERE event_id % 40 = 0 GROUP BY 1) SELECT user_id, CASE WHEN u < r THEN 'loop' ELSE 'too_many_hops' END AS problem FROM w WHERE u < r OR r > 3""")
+def redirect_walk(spark, sf_dir):
+    """A walk is every fortieth event of a user, a URL its type."""
+    e = table(spark, sf_dir, "events").where("event_id % 40 = 0")
+    return ledger.redirect_problems(e, "user_id", "event_type")
+
+
+@query("""SELECT event_id, CASE WHEN event_type <> 'click' AND NOT coalesce([200, 404, 429, 500, NULL][(event_id % 5 + 1)::INT] IN (401, 403, 404, 410, 429), false) AND event_type <> 'view' THEN 'retry' ELSE 'reuse' END AS action FROM events""")
+def retry_split(spark, sf_dir):
+    status = F.get(F.array(*[F.lit(v).cast("int") for v in (200, 404, 429, 500, None)]), (F.col("event_id") % 5).cast("int"))
+    action = ledger.retry_split(F.col("event_type") == "click", status, F.col("event_type") != "view")
+    return table(spark, sf_dir, "events").select("event_id", action.alias("action"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN o_orderstatus = 'O' AND coalesce(o_orderdate < TIMESTAMP '1997-06-01', true) THEN 'observe' WHEN o_orderstatus = 'O' THEN 'candidate' ELSE 'other' END AS state FROM orders""")
+def demotion(spark, sf_dir):
+    state = F.when(F.col("o_orderstatus") == "O", "candidate").otherwise("other")
+    registered = F.when(F.col("o_orderdate") >= F.lit("1997-06-01").cast("timestamp_ntz"), "verified_recent").when(F.col("o_orderdate").isNotNull(), "verified_old")
+    return table(spark, sf_dir, "orders").select("o_orderkey", ledger.demoted(state, registered).alias("state"))
+
+
+@query("""SELECT doc_id, CASE WHEN doc_id IN (SELECT doc_id FROM labels WHERE quality = 1) THEN 'reuse' WHEN doc_id IN (SELECT doc_id FROM labels WHERE toxic = 1) THEN 'retry' WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'reuse' ELSE 'never' END AS action FROM documents""")
+def universe_partition(spark, sf_dir):
+    """Pilot: labels of good quality; history: all labels, to be tried again where toxic."""
+    lab = table(spark, sf_dir, "labels")
+    history = lab.select("doc_id", F.when(F.col("toxic") == 1, "retry").otherwise("reuse").alias("action"))
+    return ledger.universe(table(spark, sf_dir, "documents"), lab.where("quality = 1"), history, "doc_id")
+
+
+_CAPS = "caps AS (SELECT (user_id % 50)::BIGINT AS capture, min(ts) AS at_ts, list_sort(list(DISTINCT event_type)) AS terms FROM events GROUP BY 1)"
+
+
+def captures_of(spark, sf_dir):
+    e = table(spark, sf_dir, "events")
+    return e.groupBy((F.col("user_id") % 50).alias("capture")).agg(F.min("ts").alias("at"), F.sort_array(F.collect_set("event_type")).alias("terms"))
+
+
+@query(f"WITH {_CAPS}, x AS (SELECT capture, at_ts, unnest(terms) AS term FROM caps), t AS (SELECT DISTINCT event_type AS term FROM events UNION SELECT 'unknown') SELECT t.term, arg_min(x.capture, (x.at_ts, x.capture)) AS capture FROM t LEFT JOIN x USING (term) GROUP BY 1")
+def term_first_capture(spark, sf_dir):
+    t = table(spark, sf_dir, "events").select(F.col("event_type").alias("term"))
+    t = t.union(spark.createDataFrame([("unknown",)], "term string"))
+    return ledger.first_capture(t, captures_of(spark, sf_dir))
+
+
+@query(f"WITH {_CAPS} SELECT capture AS group_id, CASE WHEN capture % 4 = 0 THEN 'open' WHEN capture % 4 = 1 AND len(terms) > 1 THEN 'terms_differ' ELSE 'covered' END AS state, len(terms)::INT AS terms FROM caps")
+def queue_coverage(spark, sf_dir):
+    """Every fourth group has not been captured, every fourth in another order."""
+    c = captures_of(spark, sf_dir).select(F.col("capture").alias("group_id"), "terms")
+    done = c.where("group_id % 4 <> 0").select("group_id", F.when(F.col("group_id") % 4 == 1, F.reverse("terms")).otherwise(F.col("terms")).alias("terms"))
+    return ledger.queue_coverage(c, done)
+
+
+@query(_CHANNEL + ", t AS (SELECT unnest(['ment', 'heit', 'the', 'en']) AS term) SELECT term, count(*)::BIGINT AS any_rows, (count(*) FILTER (WHERE lm <> ''))::BIGINT AS with_listed, (count(*) FILTER (WHERE lm = ''))::BIGINT AS without_listed FROM ch JOIN t ON contains(ch.name, t.term) GROUP BY 1")
+def term_diagnostics(spark, sf_dir):
+    return ledger.term_diagnostics(channels(spark, sf_dir), ("ment", "heit", "the", "en"))
+
+
+@query("SELECT user_id, CASE WHEN count(DISTINCT event_type) > 1 THEN 'mixed' ELSE min(event_type) END AS mode FROM events WHERE event_id % 30 = 0 GROUP BY 1")
+def execution_mix(spark, sf_dir):
+    return ledger.execution_mix(table(spark, sf_dir, "events").where("event_id % 30 = 0"), "user_id", "event_type")
+
+
+@query("SELECT source, count(DISTINCT lang)::BIGINT AS members FROM documents GROUP BY 1 HAVING count(DISTINCT lang) > 2")
+def cardinality_violations(spark, sf_dir):
+    return ledger.over_cardinality(table(spark, sf_dir, "documents"), "source", "lang", 2)
+
+
+@query(_CAPTURES + "SELECT capture, term, round(100.0::DOUBLE * (estimate - 14000) / 14000, 4) AS error_percent FROM e")
+def anchor_crosscheck(spark, sf_dir):
+    e = _estimates(spark, sf_dir)
+    return e.select("capture", "term", F.round(ledger.anchor_crosscheck(F.col("estimate"), F.lit(14000.0)), 4).alias("error_percent"))
+
+
+@query(_PERSIST + """, st AS (SELECT user_id, CASE WHEN total = 0 THEN 'zero' WHEN nz < 5 OR 2 * peak > total THEN 'sparse' WHEN up AND nze <= 2 THEN 'emerging' WHEN up THEN 'rising'
+ WHEN (b > 0 AND 5 * r <= 4 * b) OR (q > 0 AND 40 * t < 21 * q) THEN 'cooling' ELSE 'other' END AS status FROM u)
+SELECT user_id, status, row_number() OVER (ORDER BY CASE WHEN status IN ('rising', 'emerging') THEN 0 WHEN user_id % 2 = 0 THEN 1 ELSE 2 END, user_id)::INT AS position FROM st QUALIFY position <= 50""")
+def pinned_first_page(spark, sf_dir):
+    """The first fifty users: rising ones, then queried ones (even ids), then the others."""
+    s = series.persistence(user_series(spark, sf_dir)).select("user_id", "status", ledger.pinned_order(F.col("status"), F.col("user_id") % 2 == 0).alias("pin"))
+    top = s.orderBy("pin", "user_id").limit(50)
+    return top.select("user_id", "status", F.row_number().over(Window.orderBy("pin", "user_id")).alias("position"))
+
+
+@query(_ROOTS + " SELECT doc_id, name FROM r WHERE list_contains(texts, 'tion') AND contains(name, 'an')")
+def root_membership(spark, sf_dir):
+    return ledger.with_member(root_hits(spark, sf_dir), "roots", "tion", ["name"], "an").select("doc_id", "name")
+
+
+@query(f"WITH {_NAMES} SELECT doc_id, 'https://trends.example.com/explore?date=2026-01-01+2026-01-30&geo=US&q=' || name AS url FROM names")
+def query_urls(spark, sf_dir):
+    return derived_names(spark, sf_dir).select("doc_id", ledger.query_url("https://trends.example.com/explore", F.col("name"), "2026-01-01", "2026-01-30").alias("url"))
+
+
+@query("""WITH d AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS run FROM orders WHERE o_orderdate IS NOT NULL) SELECT run, (run - 1)::DATE AS window_end, (run - 30)::DATE AS window_start, ((run - 1) - INTERVAL 6 MONTH)::DATE AS background_start FROM d""")
+def window_arithmetic(spark, sf_dir):
+    end, start, back = ledger.window_bounds(F.col("run"))
+    d = table(spark, sf_dir, "orders").where("o_orderdate is not null").select(F.to_date("o_orderdate").alias("run")).distinct()
+    return d.select("run", end.alias("window_end"), start.alias("window_start"), back.alias("background_start"))
+
+
+@query("""SELECT conv_id, turn, replace(lower(trim(regexp_replace(text, '\\s+', ' ', 'g'))), 'ß', 'ss') AS canonical, left(trim(regexp_replace(text, '\\s+', ' ', 'g')), 40) AS short FROM conversations""")
+def canonical_text(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    return c.select("conv_id", "turn", T.canonical(F.col("text")).alias("canonical"), T.clean_text(F.col("text"), 40).alias("short"))
+
+
+@query("SELECT source, count(*)::BIGINT AS pages, sum(octet_length(encode(text)))::BIGINT AS body_bytes, min(doc_id) AS first_id, max(doc_id) AS last_id, count(DISTINCT lower(text))::BIGINT AS phrases FROM documents GROUP BY 1")
+def body_totals(spark, sf_dir):
+    """Bytes, bounds and distinct folded texts by source."""
+    d = table(spark, sf_dir, "documents")
+    return d.groupBy("source").agg(F.count("*").alias("pages"), F.sum(F.octet_length("text")).alias("body_bytes"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.countDistinct(F.sha2(F.lower("text"), 256)).alias("phrases"))
