@@ -289,3 +289,18 @@ def _jsonl(tmp_path):
     p = tmp_path / "x.jsonl"
     p.write_text('{"a": 1}\n{"a": 2}\n{"a"')
     return str(p)
+
+
+def test_runs_by_segments(spark):
+    """Runs across segments are those of one pass."""
+    rng = random.Random(8)
+    rows = [(k, i // 4, i, rng.random() < 0.7) for k in ("a", "b", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "k string, day int, i int, bad boolean").where("k is not null")
+    order, hit = ["day", "i"], F.col("bad")
+    plain = {(r["k"], r["i"]): r["run_length"] for r in sampling.runs(df, ["k"], order, hit).collect()}
+    cut = {(r["k"], r["i"]): r["run_length"] for r in sampling.runs(df, ["k"], order, hit, F.col("day")).collect()}
+    want, run, last = {}, 0, None
+    for k, _, i, bad in sorted((r for r in rows if r[0]), key=lambda r: (r[0], r[2])):
+        run = (run + 1 if k == last else 1) if bad else 0
+        last, want[(k, i)] = k, run
+    assert plain == want and cut == want

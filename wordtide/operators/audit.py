@@ -101,12 +101,21 @@ def capture_coverage(captures: DataFrame) -> DataFrame:
     )
 
 
-def spacing_violations(rows: DataFrame, ts: str, seconds: float, keys: Sequence[str], key: str) -> DataFrame:
-    """Rows that follow their predecessor of the same keys too soon."""
-    w = Window.partitionBy(*keys).orderBy(ts, key)
-    at = F.unix_micros(F.col(ts).cast("timestamp"))
-    gap = (at - F.lag(at).over(w)) / F.lit(1e6)
-    return rows.withColumn("gap", gap).where(F.col("gap") < seconds).select(key, *keys, "gap")
+def spacing_violations(rows: DataFrame, ts: str, seconds: float, keys: Sequence[str], key: str, segment: Column | None = None) -> DataFrame:
+    """Rows that follow their predecessor of the same keys too soon.
+
+    With a ``segment`` that never falls over time (such as the day), rows are ordered per segment
+    and the last time of the segment before comes from one summary row each. Rows without a key
+    are left out.
+    """
+    timed = rows.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp"))).withColumn("_s", F.lit(0) if segment is None else segment)
+    part = [*keys, "_s"]
+    last = timed.groupBy(*part).agg(F.max("_at").alias("_end"))
+    last = last.withColumn("_before", F.lag("_end").over(Window.partitionBy(*keys).orderBy("_s"))).select(*part, "_before")
+    inside = F.lag("_at").over(Window.partitionBy(*part).orderBy("_at", key))
+    joined = timed.withColumn("_prev", inside).join(last, part)
+    gap = (F.col("_at") - F.coalesce("_prev", "_before")) / F.lit(1e6)
+    return joined.withColumn("gap", gap).where(F.col("gap") < seconds).select(key, *keys, "gap")
 
 
 def latest(rows: DataFrame, key: str, order: Sequence[str]) -> DataFrame:

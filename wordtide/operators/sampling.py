@@ -108,12 +108,36 @@ def root_round_robin(rows: DataFrame, roots: Sequence[str], key: str, count: int
     return cut.groupBy("one").applyInPandas(pick, "key string, sampling_root string, queue_rank int")
 
 
-def runs(rows: DataFrame, keys: Sequence[str], order: Sequence[str], hit: Column) -> DataFrame:
-    """Length of the current run of hits at each row, by gaps and islands within ``keys``."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    islands = rows.withColumn("_hit", hit).withColumn("_island", F.sum(F.when(F.col("_hit"), 0).otherwise(1)).over(w))
-    inside = Window.partitionBy(*keys, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return islands.withColumn("run_length", F.sum(F.when(F.col("_hit"), 1).otherwise(0)).over(inside)).drop("_hit", "_island")
+def runs(rows: DataFrame, keys: Sequence[str], order: Sequence[str], hit: Column, segment: Column | None = None) -> DataFrame:
+    """Length of the current run of hits at each row, by gaps and islands within ``keys``.
+
+    With a ``segment`` (a column that never falls in the given order, such as the day), a key is cut
+    into segments that are ordered apart; what runs on from earlier segments comes from one summary
+    row each. A key with a third of all rows is then spread over as many tasks as it has segments; rows without
+    a key are left out.
+    """
+    part = [*keys] if segment is None else [*keys, "_segment"]
+    marked = rows.withColumn("_hit", F.coalesce(hit, F.lit(False)))
+    if segment is not None:
+        marked = marked.withColumn("_segment", segment)
+    upto = Window.partitionBy(*part).orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    islands = marked.withColumn("_island", F.sum(F.when(F.col("_hit"), 0).otherwise(1)).over(upto))
+    inside = Window.partitionBy(*part, "_island").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    local = islands.withColumn("run_length", F.sum(F.when(F.col("_hit"), 1).otherwise(0)).over(inside))
+    if segment is None:
+        return local.drop("_hit", "_island")
+    # per segment: its misses, its rows, and the hits after its last miss
+    misses = marked.groupBy(*part).agg(F.count_if(~F.col("_hit")).alias("_misses"), F.count("*").alias("_n"), F.max(F.when(~F.col("_hit"), F.struct(*order))).alias("_last"))
+    after = marked.join(misses.select(*part, "_last"), part).where(F.col("_last").isNotNull() & (F.struct(*order) > F.col("_last")))
+    tails = misses.join(after.groupBy(*part).agg(F.count("*").alias("_tail")), part, "left")
+    tails = tails.withColumn("_tail", F.when(F.col("_misses") == 0, F.col("_n")).otherwise(F.coalesce("_tail", F.lit(0))))
+    days = Window.partitionBy(*keys).orderBy("_segment")
+    broken = F.sum(F.when(F.col("_misses") > 0, 1).otherwise(0)).over(days.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    chain = Window.partitionBy(*keys, "_chain").orderBy("_segment")
+    carried = tails.withColumn("_chain", broken).withColumn("_sum", F.sum("_tail").over(chain.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    carried = carried.withColumn("_carry", F.coalesce(F.lag("_sum").over(days), F.lit(0))).select(*part, "_carry")
+    whole = F.col("run_length") + F.when(F.col("_hit") & (F.col("_island") == 0), F.col("_carry")).otherwise(0)
+    return local.join(carried, part).withColumn("run_length", whole).drop("_hit", "_island", "_segment", "_carry")
 
 
 def still_to_do(queue: DataFrame, done: DataFrame, key: str, order: Sequence[str], limit: int) -> DataFrame:

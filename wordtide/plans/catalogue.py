@@ -569,20 +569,20 @@ r AS (SELECT *, sum(CASE WHEN hit THEN 1 ELSE 0 END) OVER (PARTITION BY user_id,
 def failure_runs(spark, sf_dir):
     e = table(spark, sf_dir, "events")
     hit = F.col("event_type") == "error"
-    return sampling.runs(e, ["user_id"], ["ts", "event_id"], hit).where(hit).select("event_id", "run_length")
+    return sampling.runs(e, ["user_id"], ["ts", "event_id"], hit, F.to_date("ts")).where(hit).select("event_id", "run_length")
 
 
 @query(_RUNS + " SELECT user_id, arg_min(event_id, (ts, event_id)) AS event_id, count(*)::BIGINT AS rows_at_limit FROM r WHERE run_length >= 2 GROUP BY 1")
 def circuit_breaker(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    return logs.breaker(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", 2).select("user_id", "event_id", "rows_at_limit")
+    return logs.breaker(e, ["user_id"], ["ts", "event_id"], F.col("event_type") == "error", 2, F.to_date("ts")).select("user_id", "event_id", "rows_at_limit")
 
 
 @query("""WITH g AS (SELECT event_id, user_id, epoch_us(ts) - lag(epoch_us(ts)) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS d FROM events)
 SELECT event_id, user_id FROM g WHERE d < 3600000000""")
 def rate_spacing_violations(spark, sf_dir):
     e = table(spark, sf_dir, "events")
-    return audit.spacing_violations(e, "ts", 3600.0, ["user_id"], "event_id").select("event_id", "user_id")
+    return audit.spacing_violations(e, "ts", 3600.0, ["user_id"], "event_id", F.to_date("ts")).select("event_id", "user_id")
 
 
 _OPS = {"signup": "resume", "click": "claim", "view": "claim", "purchase": "success", "error": "cooldown"}

@@ -30,9 +30,9 @@ def merge_latest(current: DataFrame, fresh: DataFrame, key: str, at: str) -> Dat
     return both.groupBy(key).agg(F.max_by(F.struct(*rest), F.struct(at, "_old")).alias("_r")).select(key, "_r.*")
 
 
-def breaker(rows: DataFrame, keys: list[str], order: list[str], failed: Column, most: int) -> DataFrame:
+def breaker(rows: DataFrame, keys: list[str], order: list[str], failed: Column, most: int, segment: Column | None = None) -> DataFrame:
     """L3: per ``keys`` the first row at which failures in a row reach ``most``."""
-    hit = runs(rows, keys, order, failed).where(F.col("run_length") >= most)
+    hit = runs(rows, keys, order, failed, segment).where(F.col("run_length") >= most)
     return hit.groupBy(*keys).agg(F.min(F.struct(*order)).alias("_o"), F.count("*").alias("rows_at_limit")).select(*keys, "_o.*", "rows_at_limit")
 
 
