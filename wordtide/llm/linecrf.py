@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import labelled_sample, logistic, sigmoid
-from .ordered_minhash import Words
+from .ordered_minhash import word_hashes
 
 FIT_DOCS = 5_000
 #: Lines of a training chain; longer documents make several chains.
@@ -45,7 +45,7 @@ for _code in range(128):
 OWN = 12
 
 
-def line_features(text: str, words_of: Words) -> tuple[np.ndarray, np.ndarray]:
+def line_features(text: str) -> tuple[np.ndarray, np.ndarray]:
     """(lines, OWN) features and the byte length of each line."""
     lines = text.split("\n")
     data = np.frombuffer(text.encode(), dtype=np.uint8)
@@ -64,7 +64,7 @@ def line_features(text: str, words_of: Words) -> tuple[np.ndarray, np.ndarray]:
     out[:, 8] = np.log1p(count) / 4
     out[:, 9] = np.minimum(size / np.maximum(count, 1), 40) / 10
     if count.sum() > 1:
-        ids = words_of.hashes(list(chain.from_iterable(split)))
+        ids = word_hashes(list(chain.from_iterable(split)))
         line = np.repeat(np.arange(len(lines)), count)
         same = np.flatnonzero((ids[1:] == ids[:-1]) & (line[1:] == line[:-1]))
         out[:, 10] = np.bincount(line[same + 1], minlength=len(lines)) / np.maximum(count, 1)
@@ -126,10 +126,10 @@ class Model:
     def __init__(self, weights, trans, curve):
         self.weights, self.trans, self.curve = weights, trans, curve
 
-    def score(self, text: str, words_of: Words) -> float:
+    def score(self, text: str) -> float:
         if self.curve is None:
             return 1.0
-        own, size = line_features(text, words_of)
+        own, size = line_features(text)
         return float(sigmoid(_curve_inputs(good_share(own, size, self.weights, self.trans), size.sum()) @ self.curve))
 
 
@@ -229,9 +229,8 @@ def fit_lines(docs: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
 
 
 def _feature_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    words_of = Words()
     for pdf in batches:
-        rows = [line_features(t or "", words_of) for t in pdf["text"]]
+        rows = [line_features(t or "") for t in pdf["text"]]
         yield pd.DataFrame(
             {"y": pdf["y"], "x": [x.astype("<f4").tobytes() for x, _ in rows], "size": [s.astype("<i8").tobytes() for _, s in rows]}
         )
@@ -250,9 +249,8 @@ def with_scores(docs: DataFrame, model: Model, column: str = "score") -> DataFra
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        words_of = Words()
         for text in texts:
-            yield pd.Series([model.score(t or "", words_of) for t in text], dtype=float)
+            yield pd.Series([model.score(t or "") for t in text], dtype=float)
 
     return docs.withColumn(column, score("text"))
 
