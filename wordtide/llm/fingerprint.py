@@ -1,9 +1,10 @@
 """Document fingerprints by context-triggered piecewise hashing.
 
 A rolling hash over ``WINDOW`` bytes ends a piece wherever it is -1 modulo the block size, so
-boundaries depend on near-by content only and an edit changes the pieces it touches. The block size
-is the least ``3 * 2**k`` that expects at most ``PIECES`` pieces of the text and gives no more; each
-piece adds one of 64 letters to the signature, and a second signature uses twice the block size.
+boundaries depend on near-by content only and an edit changes the pieces it touches. Each piece adds
+one of 64 letters to the signature. The block size is the least ``3 * 2**k`` that expects at most
+``PIECES`` pieces, halved while the text gives fewer than ``FEW`` letters and doubled while it gives
+more than ``PIECES``; a second signature uses twice the block size.
 Two fingerprints are compared at block sizes they share, by edit distance of the signatures, if
 these have ``COMMON`` letters in a row in common.
 
@@ -20,21 +21,26 @@ other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import math
+import re
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 WINDOW = 7
 PIECES = 64
+FEW = 16
+RUN = 3
 COMMON = 4
 LEAST_BLOCK = 3
 LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
-#: Most slices of the id order: what the driver and the plan hold is bounded by it.
-MOST_SLICES = 512
+#: Most slices of the id order: what the driver and the plan hold is bounded by it. A slice is
+#: sorted by one task, so 100 TB in 16,384 slices means about 6 GB a task, in spillable sorts.
+MOST_SLICES = 1 << 14
 
 
 def rolling(data: bytes) -> np.ndarray:
@@ -51,13 +57,15 @@ def rolling(data: bytes) -> np.ndarray:
     return out
 
 
-def signature(data: bytes, ends: np.ndarray) -> str:
-    """A letter for each piece; ``ends`` are the last positions of pieces."""
-    cuts = [0, *(ends + 1).tolist()]
+def signature(data: bytes, hashes: np.ndarray, block: int) -> str:
+    """A letter for each piece that ends where the hash is -1 modulo the block; of more than
+    ``RUN`` equal letters in a row only that many stay, so repetitions do not crowd out the rest."""
+    cuts = [0, *(np.flatnonzero(hashes % np.uint32(block) == block - 1) + 1).tolist()]
     if cuts[-1] < len(data):
         cuts.append(len(data))
     view = memoryview(data)
-    return "".join([LETTERS[zlib.crc32(view[a:b]) & 63] for a, b in zip(cuts, cuts[1:], strict=False)])
+    letters = "".join([LETTERS[zlib.crc32(view[a:b]) & 63] for a, b in zip(cuts, cuts[1:], strict=False)])
+    return re.sub(rf"(.)\1{{{RUN},}}", lambda m: m[1] * RUN, letters)
 
 
 def fingerprint(text: str) -> str:
@@ -69,12 +77,14 @@ def fingerprint(text: str) -> str:
     block = LEAST_BLOCK
     while len(data) > PIECES * block:
         block *= 2
-    ends = np.flatnonzero(hashes % np.uint32(block) == block - 1)
-    while len(ends) >= PIECES:
+    letters = signature(data, hashes, block)
+    while len(letters) < FEW and block > LEAST_BLOCK:
+        block //= 2
+        letters = signature(data, hashes, block)
+    while len(letters) > PIECES:
         block *= 2
-        ends = ends[hashes[ends] % np.uint32(block) == block - 1]
-    twice = ends[hashes[ends] % np.uint32(2 * block) == 2 * block - 1]
-    return f"{block}:{signature(data, ends)}:{signature(data, twice)}"
+        letters = signature(data, hashes, block)
+    return f"{block}:{letters}:{signature(data, hashes, 2 * block)}"
 
 
 def edit_distance(a: str, b: str) -> int:
@@ -157,16 +167,27 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "n_chars": "int64", "near_edited": "float64", "near_next": "float64"})
 
 
+def _above(marks: list[int], value: Column) -> Column:
+    """How many of the sorted marks lie above a value: found in a row of coarse marks first, then in
+    the one block of marks that they leave open."""
+    if not marks:
+        return F.lit(0)
+    width = max(1, math.isqrt(len(marks)))
+    blocks = [marks[k : k + width] for k in range(0, len(marks), width)]
+    longs = lambda xs: F.array(*[F.lit(x).cast("long") for x in xs])
+    below = F.size(F.filter(longs([b[0] for b in blocks]), lambda m: m <= value))  # blocks that start at or below
+    inside = F.size(F.filter(F.get(F.array(*map(longs, blocks)), below - 1), lambda m: m <= value))
+    return F.lit(len(marks)) - F.when(below == 0, F.lit(0)).otherwise((below - 1) * width + inside)
+
+
 def in_order(docs: DataFrame, slices: int | None = None) -> DataFrame:
     """Rows (slice, doc_id, text, closing) such that each slice, sorted, is a run of the descending
     id order closed by the first document of the next slice (after the last: of the first)."""
     spark = docs.sparkSession
     n = min(MOST_SLICES, slices or 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    marks = docs.agg(F.percentile_approx("doc_id", [k / n for k in range(1, n)] or [0.5], 10_000).alias("m")).first()["m"] or []
-    marks = sorted(set(marks))
-    place = F.when(F.col("doc_id").isNull(), F.lit(len(marks) + 1)).otherwise(
-        F.size(F.filter(F.array(*[F.lit(m).cast("long") for m in marks]), lambda m: m > F.col("doc_id"))) if marks else F.lit(0)
-    )
+    at = [k / n for k in range(1, n)] or [0.5]
+    marks = docs.agg(F.percentile_approx("doc_id", at, max(10_000, 20 * n)).alias("m")).first()["m"] or []
+    place = F.when(F.col("doc_id").isNull(), F.lit(len(set(marks)) + 1)).otherwise(_above(sorted(set(marks)), F.col("doc_id")))
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text")).select(
         place.alias("slice"), "doc_id", F.xxhash64("text").alias("h"), "text"
