@@ -265,6 +265,18 @@ def test_near_dedup_groups(spark):
     assert sorted(r["doc_id"] for r in omh.dedup(docs).collect()) == sorted(first.values())
 
 
+@pytest.mark.parametrize("block", [omh.BLOCK, 64])
+def test_near_dedup_inside_shared_buckets(spark, monkeypatch, block):
+    """Two similar texts that share only a passage, which very many texts before and after them have."""
+    monkeypatch.setattr(omh, "BLOCK", block)
+    rng = random.Random(3)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = some(96)
+    rows = [(i, " ".join(passage + some(24 if i in (300, 301) else 54))) for i in range(602)]
+    got = {r["doc_id"]: r["class_id"] for r in omh.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: 300 if i == 301 else i for i in range(602)}
+
+
 def test_near_dedup_odd(spark, odd_docs, no_docs):
     got = collections.Counter((r["doc_id"], r["class_id"], r["kept"]) for r in omh.classes(odd_docs).collect())
     assert got[(2, 1, False)] == 1 and got[(11, 10, False)] == 1 and got[(6, 6, True)] == 2 and got[(None, None, True)] == 1

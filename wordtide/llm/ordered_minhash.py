@@ -4,10 +4,11 @@ Texts are lower-cased words. Every run of ``K`` words, labelled with its occurre
 text, is hashed; each of ``TABLES`` tables takes the ``PICK`` labelled runs with the smallest hashes
 and keeps them in text order, so a bucket tells which runs two texts share and in which order.
 A text is compared with the first member of one of its buckets, which links most of a large group;
-after that only with first and last members of its buckets that are not in its component yet, so a
-group of m copies costs few comparisons each, not m. What stays apart is put into finer buckets, by
-the keys of two, three and up to ``DEPTHS + 1`` tables at once: texts that only share a common
-passage part there, copies of each other do not.
+after that with first and last members of its buckets that are not in its component yet, so a group
+of m copies costs few comparisons each, not m. In buckets that still hold several components every
+two rows of different components are compared: rows are dealt into blocks of about ``BLOCK``, each
+pair of blocks is one group, and word counts are compared there in place, so only pairs that pass
+become rows.
 
 A comparison first bounds the edit distance from below by word counts (``BAG`` counters a text, safe:
 nothing similar is lost) and then aligns the word sequences in a band around the diagonal. Texts are
@@ -37,8 +38,8 @@ K = 5
 PICK = 2
 TABLES = 16
 SIMILARITY = 0.8
-DEPTHS = 5
 BAG = 128
+BLOCK = 1024
 STEP = 1 << 16
 
 _U = np.uint64
@@ -221,6 +222,57 @@ def _bag_filter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["a", "b"]]
 
 
+def _close_in(group: dict[str, np.ndarray], i: int, j: int) -> list[np.ndarray]:
+    """The pairs (a, b) of a pair of blocks, of different components, that word counts allow."""
+    order = np.argsort(group["n"], kind="stable")
+    n, c, rep, part = (group[x][order] for x in ("n", "c", "rep", "part"))
+    bags = np.frombuffer(b"".join(group["bag"][order]), dtype=np.uint16).reshape(-1, BAG).astype(np.int32)
+    upto = np.searchsorted(n, n / SIMILARITY + 1e-6, side="right")
+    out = []
+    for lo in range(0, len(n), 256):
+        hi = min(lo + 256, len(n))
+        end = int(upto[hi - 1])
+        x, y = np.arange(lo, hi)[:, None], np.arange(lo, end)[None, :]
+        open_pairs = (y > x) & (y < upto[lo:hi, None]) & (c[lo:hi, None] != c[None, lo:end])
+        if i != j:
+            open_pairs &= part[lo:hi, None] != part[None, lo:end]
+        left, right = np.nonzero(open_pairs)
+        for at in range(0, len(left), 1 << 14):
+            x, y = left[at : at + (1 << 14)] + lo, right[at : at + (1 << 14)] + lo
+            apart = bags[x] - bags[y]
+            worst = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
+            good = worst <= (1 - SIMILARITY) * n[y] + 1e-9
+            x, y = rep[x[good]], rep[y[good]]
+            out.append(np.stack([np.minimum(x, y), np.maximum(x, y)], axis=1))
+    return out
+
+
+def _close_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by (t, key, i, j) -> close pairs, group by group; a group is two blocks at most."""
+    kept: pd.DataFrame | None = None
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        ids = pdf[["t", "key", "i", "j"]].to_numpy()
+        starts = np.append(np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1))), len(ids))
+        columns = {x: pdf[x].to_numpy() for x in ("n", "c", "rep", "part", "bag")}
+        found = [np.zeros((0, 2), dtype=np.int64)]
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            if hi - lo > 1:
+                found += _close_in({x: v[lo:hi] for x, v in columns.items()}, ids[lo, 2], ids[lo, 3])
+        return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
+
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+        last = (pdf[["t", "key", "i", "j"]] == pdf[["t", "key", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
+        kept = pdf[last]
+        if not last.all():
+            yield pairs(pdf[~last])
+    if kept is not None:
+        yield pairs(kept)
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = (None, None)
     for pdf in batches:
@@ -253,6 +305,12 @@ def _pairs(rows: DataFrame, first: str = "true", last: str = "true") -> DataFram
     return first.union(last).distinct()
 
 
+def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose texts are similar, by alignment."""
+    both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    return materialise(both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint"), "omh-links")
+
+
 def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts are similar, by word counts first and then by alignment."""
     close = (
@@ -260,9 +318,33 @@ def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
         .join(slim.toDF("b", "n_b", "bag_b"), "b")
         .mapInPandas(_bag_filter, "a bigint, b bigint")
     )
-    close = materialise(close, "omh-close")
-    both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-    return materialise(both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint"), "omh-links")
+    return _checked(materialise(close, "omh-close"), texts)
+
+
+def _lifted(edges: DataFrame, labels: DataFrame) -> DataFrame:
+    """Edges between the components of their ends."""
+    for end in ("a", "b"):
+        edges = edges.join(labels.toDF(end, f"{end}_c"), end, "left").withColumn(end, F.coalesce(f"{end}_c", end)).drop(f"{end}_c")
+    return edges
+
+
+def _joined(own: DataFrame, edges: DataFrame) -> DataFrame:
+    """``own(rep, c)`` with the components that ``edges`` between components join."""
+    more = components(edges).toDF("c", "joined")
+    return materialise(own.join(more, "c", "left").select("rep", F.coalesce("joined", "c").alias("c")), "omh-own")
+
+
+def _rest(buckets: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
+    """The similar pairs of different components in all buckets that hold more than one."""
+    rows = materialise(buckets.select("t", "key", "rep").join(own, "rep"), "omh-rows")
+    several = rows.groupBy("t", "key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("m"))
+    several = several.where("low < high").select("t", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(materialise(several, "omh-several"), ["t", "key"]).withColumn("part", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
+    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
+    dealt = rows.select("t", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rep", "c", "part").join(slim, "rep")
+    dealt = dealt.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
+    close = materialise(dealt.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
+    return _checked(materialise(close.distinct(), "omh-close"), texts)
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -270,7 +352,8 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     First every text is compared with the smallest of the first members of its buckets; then, in
     buckets that still hold several components, with first and last members of other components;
-    then in finer buckets. The later links join components of the first.
+    then all rows of different components in a bucket. Later links join components of earlier ones,
+    so any two texts of a bucket are in one class or have been compared.
     """
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("h"), text.alias("text"))
@@ -291,17 +374,10 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         open_rows = open_rows.join(labels.toDF(end, f"{end}_c"), end, "left").withColumn(f"{end}_c", F.coalesce(f"{end}_c", end))
     open_rows = materialise(open_rows.where("rep_c <> hub_c or rep_c <> far_c"), "omh-open")
     second = _linked(_pairs(open_rows, "rep_c <> hub_c", "rep_c <> far_c"), slim, texts)
-    hit = second.select(F.col("a").alias("hub"), F.col("b").alias("rep"))
-    rest = open_rows.where("rep_c <> hub_c").join(hit, ["hub", "rep"], "left_anti")
-    deeper = F.array(*[F.xxhash64("t", *[F.get("keys", (F.col("t") + j) % TABLES) for j in range(depth + 1)]) for depth in range(1, DEPTHS + 1)])
-    finer = _with_ends(rest.select("rep", "n", F.posexplode(deeper).alias("depth", "key")), "depth", "key")
-    more = second.union(_linked(_pairs(finer), slim, texts))
-
-    for end in ("a", "b"):
-        more = more.join(labels.toDF(end, f"{end}_c"), end, "left").withColumn(end, F.coalesce(f"{end}_c", end)).drop(f"{end}_c")
-    joined = components(more)
-    own = reps.select("h", "rep").join(labels.withColumnRenamed("id", "rep"), "rep", "left").select("h", F.coalesce("component", "rep").alias("id"))
-    by_text = own.join(joined, "id", "left").select("h", F.coalesce("component", "id").alias("class_id"))
+    own = materialise(reps.select("rep").join(labels.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
+    own = _joined(own, _lifted(second, labels))
+    own = _joined(own, _lifted(_rest(buckets, own, slim, texts), own))
+    by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))
     return sketched.select("doc_id", "h"), materialise(by_text, "omh-classes")
 
 
