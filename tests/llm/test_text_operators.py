@@ -277,6 +277,24 @@ def test_near_dedup_inside_shared_buckets(spark, monkeypatch, block):
     assert got == {i: 300 if i == 301 else i for i in range(602)}
 
 
+def test_near_dedup_recall_at_the_threshold(spark):
+    """Planted pairs with scattered edits, against alignment of all planted pairs without a filter."""
+    rng = random.Random(5)
+    rows, want = [], {}
+    for share, n in itertools.product((0.10, 0.15, 0.20), (20, 60, 300)):
+        for _ in range(40):
+            words = [f"w{rng.randrange(3000)}" for _ in range(n)]
+            copy = list(words)
+            for i in rng.sample(range(n), int(n * share + 1e-9)):
+                copy[i] = f"x{rng.randrange(10**6)}"
+            assert omh.similar(omh.words_of(" ".join(words)), omh.words_of(" ".join(copy)))
+            want[len(rows)] = (share, n)
+            rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(copy))]
+    got = {r["doc_id"]: r["class_id"] for r in omh.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    found = collections.Counter(kind for i, kind in want.items() if got[i + 1] == got[i] == i)
+    assert all(found[kind] >= 39 for kind in want.values()), found
+
+
 def test_near_dedup_odd(spark, odd_docs, no_docs):
     got = collections.Counter((r["doc_id"], r["class_id"], r["kept"]) for r in omh.classes(odd_docs).collect())
     assert got[(2, 1, False)] == 1 and got[(11, 10, False)] == 1 and got[(6, 6, True)] == 2 and got[(None, None, True)] == 1

@@ -34,9 +34,9 @@ from pyspark.sql import functions as F
 
 from .common import components, materialise
 
-K = 5
+K = 2
 PICK = 2
-TABLES = 16
+TABLES = 32
 SIMILARITY = 0.8
 BAG = 128
 BLOCK = 1024
@@ -363,7 +363,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sketched.groupBy("h").agg(picked).where("r is not null").select("h", F.col("r.doc_id").alias("rep"), "r.n", "r.keys", "r.bag"), "omh-reps"
     )
     slim = reps.select("rep", "n", "bag")
-    buckets = _with_ends(reps.select("rep", "n", "keys", F.posexplode("keys").alias("t", "key")), "t", "key")
+    buckets = _with_ends(reps.select("rep", "n", F.posexplode("keys").alias("t", "key")), "t", "key")
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = materialise(rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
 
