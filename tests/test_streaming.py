@@ -79,3 +79,23 @@ def test_append_once_and_daily(spark, tmp_path):
     new = spark.createDataFrame([("a", 5, "later file"), ("b", 2, "z"), ("c", 1, "w")], "k string, at int, v string")
     merged = {r["k"]: r["v"] for r in logs.merge_latest(old, new, "k", "at").collect()}
     assert merged == {"a": "x", "b": "z", "c": "w"}
+
+
+def test_replay_holds_one_batch(spark):
+    """A root's log goes through in batches, its state is carried over, and roots stay apart."""
+    ops, begin = ("resume", "claim", "success", "claim", "cooldown"), datetime(2026, 1, 1)
+    log = [("hot" if i % 4 else f"r{i % 3}", begin + timedelta(seconds=20 * i), ops[i * 7 % 5], None, i) for i in range(400)]
+    want, paces = [], {}
+    for root, at, op, _, _ in log:
+        pace = paces.setdefault(root, pacing.Pace())
+        outcome = pace.apply(op, at.replace(tzinfo=UTC))
+        want.append((root, at, outcome, pace.status, pace.level, pace.healthy))
+    events = spark.createDataFrame(log[::-1], "root string, at timestamp, op string, retry_after string, seq long")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        out = pacing.replay(events)
+        got = [(r["root"], r["at"], r["outcome"], r["status"], r["level"], r["healthy"]) for r in out.collect()]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert sorted(got) == sorted(want)
+    assert "FlatMapGroups" not in out._jdf.queryExecution().toString()
