@@ -27,6 +27,8 @@ CORPUS_ROOTS = ("tion", "ther", "and", "the", "en", "her", "ment", "keit", "que"
 BROAD = ("en", "the")
 TLDS = ("com", "net", "org", "ai", "io", "co", "xyz")
 SEED = T.SEED
+#: Most words of the segmentation lexicon, which is collected and sent to the tasks.
+MOST_WORDS = 20_000
 
 
 def query(sql: str | None = None):
@@ -450,7 +452,9 @@ def name_segments(spark, sf_dir):
     """Dictionary segmentation; the lexicon is the fixed benchmark table's words of 3 letters or more
     (a table whose size does not follow the input)."""
     words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), 0)).alias("w")).distinct()
-    lexicon = [r["w"] for r in words.orderBy("w").limit(20_000).collect()]
+    lexicon = [r["w"] for r in words.orderBy("w").limit(MOST_WORDS + 1).collect()]
+    if len(lexicon) > MOST_WORDS:
+        raise ValueError(f"the lexicon has more than {MOST_WORDS} words")
     return names.with_segments(derived_names(spark, sf_dir), lexicon).select("doc_id", "name", F.array_join("segments", "|").alias("segments"))
 
 
