@@ -216,9 +216,6 @@ def brute_classes(rows):
         n, m = len(words[i]), len(words[j])
         if min(n, m) < 0.8 * max(n, m) - 1e-9 or max(n, m) - sum((bags[i] & bags[j]).values()) > 0.2 * max(n, m) + 1e-9:
             continue
-        runs = lambda ws: {tuple(ws[k : k + 5]) for k in range(max(1, len(ws) - 4))}
-        if rows[i][1] != rows[j][1] and not runs(words[i]) & runs(words[j]):
-            continue
         if omh.similar(arrays[i], arrays[j]):
             a, b = root(i), root(j)
             parent[max(a, b)] = min(a, b)

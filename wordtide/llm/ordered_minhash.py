@@ -2,13 +2,22 @@
 
 Texts are lower-cased words. Every run of ``K`` words, labelled with its occurrence number in the
 text, is hashed; each of ``TABLES`` tables takes the ``PICK`` labelled runs with the smallest hashes
-and keeps them in text order, so a bucket tells which runs two texts share and in which order.
-A text is compared with the first member of one of its buckets, which links most of a large group;
-after that with first and last members of its buckets that are not in its component yet, so a group
-of m copies costs few comparisons each, not m. In buckets that still hold several components every
-two rows of different components are compared: rows are dealt into blocks of about ``BLOCK``, each
-pair of blocks is one group, and word counts are compared there in place, so only pairs that pass
-become rows.
+and keeps them in text order. Every two of them, in that order, are a bucket key, so a bucket tells
+which runs two texts share and in which order. In texts of up to ``SHORT`` words a few edits touch
+every long run, so these have ``SHORT_TABLES`` more tables of runs of ``SHORT_K`` words.
+
+Comparisons inside buckets, of rows that are not in one component yet:
+
+1. Each text is compared with the shortest text of its buckets (the hub): first with the one that it
+   shares most buckets with, which links most of a large group, then with the others. Texts that
+   consist mostly of a passage they share are all similar to the shortest of them.
+2. In buckets of up to ``BLOCK`` rows that still hold several components, every two rows of
+   different components are compared, by word counts in place.
+3. In larger ones each text is sketched again without the runs it shares with the hub, by
+   ``REST_TABLES`` tables of one run, which gives finer buckets inside the old one; these are treated
+   in the same way, until no large bucket holds several components. A finer bucket's hub has the runs
+   of all buckets around it, so no run is used twice and the rounds end. Two similar texts thus stay
+   apart only if they share no bucket, or only large ones in which they share nothing else.
 
 A comparison first bounds the edit distance from below by word counts (``BAG`` counters a text, safe:
 nothing similar is lost) and then aligns the word sequences in a band around the diagonal. Texts are
@@ -25,6 +34,7 @@ result; other columns stay in ``dedup`` and are not read elsewhere.
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,17 +44,19 @@ from pyspark.sql import functions as F
 
 from .common import components, materialise
 
-K = 2
-PICK = 2
-TABLES = 32
+K = 5
+PICK = 4
+TABLES = 20
+SHORT, SHORT_K, SHORT_TABLES = 64, 2, 8
+REST_TABLES = 24
 SIMILARITY = 0.8
 BAG = 128
-BLOCK = 1024
-STEP = 1 << 16
+BLOCK = 512
+STEP = 1 << 13
 
 _U = np.uint64
-_ODD = np.random.default_rng(7).integers(0, 1 << 31, TABLES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
-_ADD = np.random.default_rng(8).integers(0, 1 << 32, TABLES, dtype=np.uint32)
+_ODD = np.random.default_rng(7).integers(0, 1 << 31, max(TABLES, REST_TABLES), dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+_ADD = np.random.default_rng(8).integers(0, 1 << 32, max(TABLES, REST_TABLES), dtype=np.uint32)
 _POLY = np.random.default_rng(9).integers(1, 1 << 63, K, dtype=np.uint64) * _U(2) + _U(1)
 
 
@@ -98,28 +110,51 @@ def labelled_runs(words: np.ndarray, k: int = K) -> np.ndarray:
     return _mix(runs + nth * _U(0xD6E8FEB86659FD93))
 
 
-def sketch(words: np.ndarray) -> np.ndarray:
-    """A bucket key for each table: the ``PICK`` labelled runs of least rank, in text order."""
-    labels = labelled_runs(words)
+def least(labels: np.ndarray, tables: int, pick: int) -> np.ndarray:
+    """Places of the ``pick`` labels of least rank in each table, in text order."""
     short = (labels >> _U(32)).astype(np.uint32)
     found: list[tuple[np.ndarray, np.ndarray]] = []
-    row = np.arange(TABLES)
+    row = np.arange(tables)
     for lo in range(0, len(labels), STEP):  # texts of any length in bounded memory
-        ranks = short[lo : lo + STEP][None, :] * _ODD[:, None] + _ADD[:, None]
+        ranks = short[lo : lo + STEP][None, :] * _ODD[:tables, None] + _ADD[:tables, None]
         ranks ^= ranks >> np.uint32(15)
         ranks *= np.uint32(0x85EBCA6B)
         ranks ^= ranks >> np.uint32(13)
-        for _ in range(min(PICK, ranks.shape[1])):
+        for _ in range(min(pick, ranks.shape[1])):
             at = ranks.argmin(axis=1)
             found.append((ranks[row, at], at + lo))
             ranks[row, at] = 0xFFFFFFFF
     ranks, at = (np.stack(x, axis=1) for x in zip(*found, strict=True))
-    keep = np.argsort(ranks, axis=1, kind="stable")[:, :PICK]
-    picked = np.sort(np.take_along_axis(at, keep, axis=1), axis=1)
-    key = np.zeros(TABLES, dtype=np.uint64)
-    for j in range(picked.shape[1]):
-        key = _mix(key * _U(0x9E3779B97F4A7C15) + labels[picked[:, j]])
-    return _mix(key + np.arange(TABLES, dtype=np.uint64)).view(np.int64)
+    keep = np.argsort(ranks, axis=1, kind="stable")[:, :pick]
+    return np.sort(np.take_along_axis(at, keep, axis=1), axis=1)
+
+
+def _keys(labels: np.ndarray, tables: int) -> list[np.ndarray]:
+    """Bucket keys: every two picked runs of a table in text order, or the only run."""
+    at = least(labels, tables, PICK)
+    table = np.arange(tables, dtype=np.uint64)
+    if at.shape[1] == 1:
+        return [_mix(labels[at[:, 0]] + table)]
+    pairs = itertools.combinations(range(at.shape[1]), 2)
+    return [_mix(_mix(labels[at[:, i]] * _U(0x9E3779B97F4A7C15) + labels[at[:, j]]) + table) for i, j in pairs]
+
+
+def sketch(words: np.ndarray) -> np.ndarray:
+    """The distinct bucket keys of a text."""
+    keys = _keys(labelled_runs(words), TABLES)
+    if len(words) <= SHORT:
+        keys += _keys(labelled_runs(words, SHORT_K), SHORT_TABLES)
+    return np.unique(np.concatenate(keys)).view(np.int64)
+
+
+def rest_keys(labels: np.ndarray, hub: np.ndarray, seed: int) -> np.ndarray:
+    """Keys of a text by single runs that the hub's text lacks."""
+    left = labels[~np.isin(labels, hub)]
+    if not len(left):
+        return np.zeros(0, dtype=np.int64)
+    at = least(left, REST_TABLES, 1)[:, 0]
+    own = _mix(np.array([seed], dtype=np.int64).view(np.uint64) + _U(1))
+    return np.unique(_mix(_mix(left[at] + own) + np.arange(REST_TABLES, dtype=np.uint64))).view(np.int64)
 
 
 def bag(words: np.ndarray) -> np.ndarray:
@@ -222,10 +257,10 @@ def _bag_filter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf[["a", "b"]]
 
 
-def _close_in(group: dict[str, np.ndarray], i: int, j: int) -> list[np.ndarray]:
-    """The pairs (a, b) of a pair of blocks, of different components, that word counts allow."""
+def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
+    """The pairs (a, b) of a bucket, of different components, that word counts allow."""
     order = np.argsort(group["n"], kind="stable")
-    n, c, rep, part = (group[x][order] for x in ("n", "c", "rep", "part"))
+    n, c, rep = (group[x][order] for x in ("n", "c", "rep"))
     bags = np.frombuffer(b"".join(group["bag"][order]), dtype=np.uint16).reshape(-1, BAG).astype(np.int32)
     upto = np.searchsorted(n, n / SIMILARITY + 1e-6, side="right")
     out = []
@@ -233,10 +268,7 @@ def _close_in(group: dict[str, np.ndarray], i: int, j: int) -> list[np.ndarray]:
         hi = min(lo + 256, len(n))
         end = int(upto[hi - 1])
         x, y = np.arange(lo, hi)[:, None], np.arange(lo, end)[None, :]
-        open_pairs = (y > x) & (y < upto[lo:hi, None]) & (c[lo:hi, None] != c[None, lo:end])
-        if i != j:
-            open_pairs &= part[lo:hi, None] != part[None, lo:end]
-        left, right = np.nonzero(open_pairs)
+        left, right = np.nonzero((y > x) & (y < upto[lo:hi, None]) & (c[lo:hi, None] != c[None, lo:end]))
         for at in range(0, len(left), 1 << 14):
             x, y = left[at : at + (1 << 14)] + lo, right[at : at + (1 << 14)] + lo
             apart = bags[x] - bags[y]
@@ -248,24 +280,24 @@ def _close_in(group: dict[str, np.ndarray], i: int, j: int) -> list[np.ndarray]:
 
 
 def _close_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by (t, key, i, j) -> close pairs, group by group; a group is two blocks at most."""
+    """Rows sorted by bucket -> close pairs, bucket by bucket, of ``BLOCK`` rows at most."""
     kept: pd.DataFrame | None = None
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
-        ids = pdf[["t", "key", "i", "j"]].to_numpy()
-        starts = np.append(np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]).any(axis=1))), len(ids))
-        columns = {x: pdf[x].to_numpy() for x in ("n", "c", "rep", "part", "bag")}
+        keys = pdf["key"].to_numpy()
+        starts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
+        columns = {x: pdf[x].to_numpy() for x in ("n", "c", "rep", "bag")}
         found = [np.zeros((0, 2), dtype=np.int64)]
         for lo, hi in zip(starts[:-1], starts[1:], strict=True):
             if hi - lo > 1:
-                found += _close_in({x: v[lo:hi] for x, v in columns.items()}, ids[lo, 2], ids[lo, 3])
+                found += _close_in({x: v[lo:hi] for x, v in columns.items()})
         return pd.DataFrame(np.unique(np.concatenate(found), axis=0), columns=["a", "b"])
 
     for pdf in batches:
         if not len(pdf):
             continue
         pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
-        last = (pdf[["t", "key", "i", "j"]] == pdf[["t", "key", "i", "j"]].iloc[-1]).all(axis=1).to_numpy()
+        last = (pdf["key"] == pdf["key"].iloc[-1]).to_numpy()
         kept = pdf[last]
         if not last.all():
             yield pairs(pdf[~last])
@@ -273,6 +305,17 @@ def _close_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pairs(kept)
 
 
+def _rest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    last = (None, None)
+    for pdf in batches:
+        keys = []
+        for seed, hub, text, hub_text in zip(pdf["seed"], pdf["hub"], pdf["text"], pdf["hub_text"], strict=True):
+            if last[0] != hub:
+                last = (hub, labelled_runs(words_of(hub_text)))
+            keys.append(rest_keys(labelled_runs(words_of(text)), last[1], int(seed)))
+        yield pdf[["rep", "n"]].assign(keys=keys)
+
+
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = (None, None)
     for pdf in batches:
@@ -284,27 +327,20 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pdf.loc[keep, ["a", "b"]] if len(pdf) else pdf[["a", "b"]]
 
 
-def _with_ends(buckets: DataFrame, *key: str) -> DataFrame:
-    """Rows (key, rep, n, ...) in buckets of two or more, with the bucket's first and last member and
-    their lengths."""
-    ends = buckets.groupBy(*key).agg(F.min(F.struct("rep", "n")).alias("first"), F.max(F.struct("rep", "n")).alias("last"))
-    ends = ends.where("first.rep < last.rep").select(*key, F.col("first.rep").alias("hub"), F.col("first.n").alias("hub_n"), F.col("last.rep").alias("far"), F.col("last.n").alias("far_n"))
-    return materialise(buckets.join(materialise(ends, "omh-ends"), [*key]), "omh-buckets")
+def _bucketed(keyed: DataFrame) -> DataFrame:
+    """Rows (key, rep, n) of buckets of two or more, with their size ``m`` and hub."""
+    several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
+    rows = materialise(keyed.join(several, "key"), "omh-rows")
+    hubs = rows.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("hub"))
+    hubs = hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
+    return materialise(rows.join(hubs, "key"), "omh-buckets")
 
 
 def _fits(n: str) -> str:
-    """Whether a row's length and that of its bucket's end can be similar."""
+    """Whether a row's length and that of its bucket's hub can be similar."""
     return f"least(n, {n}) >= {SIMILARITY} * greatest(n, {n}) - 1e-9"
 
 
-def _pairs(rows: DataFrame, first: str = "true", last: str = "true") -> DataFrame:
-    """Distinct pairs (a, b) of rows with the ends of their buckets, where lengths and the given
-    conditions allow."""
-    first = rows.where(f"rep <> hub and {first}").where(_fits("hub_n")).select(F.col("hub").alias("a"), F.col("rep").alias("b"))
-    last = rows.where(f"rep <> far and rep <> hub and {last}").where(_fits("far_n")).select(F.col("rep").alias("a"), F.col("far").alias("b"))
-    return first.union(last).distinct()
-
-
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts are similar, by alignment."""
     both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
@@ -334,27 +370,45 @@ def _joined(own: DataFrame, edges: DataFrame) -> DataFrame:
     return materialise(own.join(more, "c", "left").select("rep", F.coalesce("joined", "c").alias("c")), "omh-own")
 
 
-def _rest(buckets: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
-    """The similar pairs of different components in all buckets that hold more than one."""
-    rows = materialise(buckets.select("t", "key", "rep").join(own, "rep"), "omh-rows")
-    several = rows.groupBy("t", "key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("m"))
-    several = several.where("low < high").select("t", "key", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(materialise(several, "omh-several"), ["t", "key"]).withColumn("part", F.expr("cast(pmod(xxhash64(rep), blocks) as int)"))
-    rows = rows.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-    dealt = rows.select("t", "key", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "rep", "c", "part").join(slim, "rep")
-    dealt = dealt.repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    close = materialise(dealt.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
-    return _checked(materialise(close.distinct(), "omh-close"), texts)
+def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
+    """The rows of buckets that hold several components, with theirs."""
+    rows = materialise(rows.join(own, "rep"), "omh-own-rows")
+    several = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    return materialise(rows.join(several.select("key"), "key", "left_semi"), "omh-open")
 
 
-def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Of ``docs(doc_id, text)``: (copies(doc_id, h), classes of texts (h, class_id)).
+def _small(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
+    """The similar pairs of different components in buckets of up to ``BLOCK`` rows."""
+    rows = rows.select("key", "rep", "c").join(slim, "rep").repartition("key").sortWithinPartitions("key")
+    close = rows.mapInPandas(_close_blocks, "a bigint, b bigint")
+    return _checked(materialise(materialise(close, "omh-close").distinct(), "omh-close"), texts)
+
+
+def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
+    """Rows (key, rep, n) of finer buckets, by what the texts of large buckets have and the hubs lack,
+    apart for each value of the column ``inside``. Hubs of many texts are dealt to tasks in parts of
+    about ``BLOCK``."""
+    pairs = rows.where("rep <> hub").select(F.col(inside).alias("seed"), "hub", "rep", "n").distinct()
+    pairs = materialise(pairs, "omh-large")
+    parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
+    hubs = parts.join(texts.toDF("hub", "hub_text"), "hub").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    dealt = pairs.join(parts, "hub").withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
+    dealt = dealt.join(texts.toDF("rep", "text"), "rep").join(hubs.drop("parts"), ["hub", "part"])
+    dealt = dealt.select("seed", "hub", "rep", "n", "text", "hub_text")
+    keyed = materialise(dealt.mapInPandas(_rest_rows, "rep bigint, n int, keys array<bigint>"), "omh-finer")
+    return keyed.select(F.explode("keys").alias("key"), "rep", "n").distinct()
 
-    First every text is compared with the smallest of the first members of its buckets; then, in
-    buckets that still hold several components, with first and last members of other components;
-    then all rows of different components in a bucket. Later links join components of earlier ones,
-    so any two texts of a bucket are in one class or have been compared.
-    """
+
+def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
+    """``own`` after every row was compared with its hubs."""
+    ends = rows.where("rep <> hub").where(_fits("hub_n")).select("rep", "hub").distinct()
+    ends = ends.join(own.toDF("rep", "rep_c"), "rep").join(own.toDF("hub", "hub_c"), "hub").where("rep_c <> hub_c")
+    pairs = ends.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    return _joined(own, _lifted(_linked(pairs, slim, texts), own))
+
+
+def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of ``docs(doc_id, text)``: (copies(doc_id, h), classes of texts (h, class_id))."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("h"), text.alias("text"))
     sketched = materialise(rows.mapInPandas(_sketch_rows, "doc_id bigint, h string, n int, keys array<bigint>, bag binary"), "omh-sketch")
@@ -363,20 +417,25 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         sketched.groupBy("h").agg(picked).where("r is not null").select("h", F.col("r.doc_id").alias("rep"), "r.n", "r.keys", "r.bag"), "omh-reps"
     )
     slim = reps.select("rep", "n", "bag")
-    buckets = _with_ends(reps.select("rep", "n", F.posexplode("keys").alias("t", "key")), "t", "key")
+    buckets = _bucketed(reps.select(F.explode("keys").alias("key"), "rep", "n"))
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = materialise(rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
 
-    nearest = buckets.where("rep <> hub").where(_fits("hub_n")).groupBy(F.col("rep").alias("b")).agg(F.min("hub").alias("a")).select("a", "b")
+    met = buckets.where("rep <> hub").where(_fits("hub_n")).groupBy("rep", "hub").agg(F.count("*").alias("k"))
+    nearest = met.groupBy("rep").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
+    nearest = nearest.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
     labels = components(_linked(nearest, slim, texts))
-    open_rows = buckets
-    for end in ("rep", "hub", "far"):
-        open_rows = open_rows.join(labels.toDF(end, f"{end}_c"), end, "left").withColumn(f"{end}_c", F.coalesce(f"{end}_c", end))
-    open_rows = materialise(open_rows.where("rep_c <> hub_c or rep_c <> far_c"), "omh-open")
-    second = _linked(_pairs(open_rows, "rep_c <> hub_c", "rep_c <> far_c"), slim, texts)
-    own = materialise(reps.select("rep").join(labels.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
-    own = _joined(own, _lifted(second, labels))
-    own = _joined(own, _lifted(_rest(buckets, own, slim, texts), own))
+    own = materialise(reps.select("rep").distinct().join(labels.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
+    inside = "hub"
+    while True:
+        own = _with_hubs(buckets, own, slim, texts)
+        mixed = _split(buckets, own)
+        own = _joined(own, _lifted(_small(mixed.where(F.col("m") <= BLOCK), slim, texts), own))
+        large = mixed.where(F.col("m") > BLOCK)
+        if large.isEmpty():
+            break
+        buckets = _bucketed(_finer(large, texts, inside))
+        inside = "key"
     by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))
     return sketched.select("doc_id", "h"), materialise(by_text, "omh-classes")
 
