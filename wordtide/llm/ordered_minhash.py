@@ -8,19 +8,20 @@ every long run, so these have ``SHORT_TABLES`` more tables of runs of ``SHORT_K`
 
 Comparisons inside buckets, of rows that are not in one component yet:
 
-1. Each text is compared with the shortest text of its buckets (the hub): first with the one that it
-   shares most buckets with, which links most of a large group, then with the others. Texts that
-   consist mostly of a passage they share are all similar to the shortest of them.
+1. Each text is compared with the smallest id of the bucket key that it shares most often with one
+   (its hub), which links nearly all of a large group.
 2. In buckets of up to ``BLOCK`` rows that still hold several components, every two rows of
    different components are compared, by word counts in place.
-3. In larger ones each text is sketched again without the runs it shares with the hub, by
-   ``REST_TABLES`` tables of one run, which gives finer buckets inside the old one; these are treated
-   in the same way, until no large bucket holds several components. A finer bucket's hub has the runs
-   of all buckets around it, so no run is used twice and the rounds end. Two similar texts thus stay
-   apart only if they share no bucket, or only large ones in which they share nothing else.
-
-A comparison first bounds the edit distance from below by word counts (``BAG`` counters a text, safe:
-nothing similar is lost) and then aligns the word sequences in a band around the diagonal. Texts are
+3. In larger ones each text is compared with the shortest text of the bucket: texts that consist
+   mostly of a passage they share are all similar to it. Then each text is sketched again without the
+   runs it shares with that shortest text, by ``REST_TABLES`` tables of one run, which gives finer
+   buckets inside the old one; these are treated in the same way, until no large bucket holds several
+   components. The shortest text of a finer bucket has the runs of all buckets around it, so no run is
+   used twice and the rounds end. Two similar texts thus stay apart only if they share no bucket, or
+   only large ones in which they share nothing else.
+
+A comparison first bounds the edit distance from below by word counts (``BAG`` counters a text, later
+exact counts of words and runs of two and three, safe: nothing similar is lost) and then aligns the word sequences in a band around the diagonal. Texts are
 linked if ``1 - distance / longer length`` is at least ``SIMILARITY``; classes are the components.
 
 Exact copies are one row from the start: texts are grouped by hash with partial aggregation, and the
@@ -34,7 +35,6 @@ result; other columns stay in ``dedup`` and are not read elsewhere.
 
 from __future__ import annotations
 
-import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -51,7 +51,7 @@ SHORT, SHORT_K, SHORT_TABLES = 64, 2, 8
 REST_TABLES = 24
 SIMILARITY = 0.8
 BAG = 128
-BLOCK = 512
+BLOCK = 2048
 STEP = 1 << 13
 
 _U = np.uint64
@@ -129,22 +129,22 @@ def least(labels: np.ndarray, tables: int, pick: int) -> np.ndarray:
     return np.sort(np.take_along_axis(at, keep, axis=1), axis=1)
 
 
-def _keys(labels: np.ndarray, tables: int) -> list[np.ndarray]:
+def _keys(labels: np.ndarray, tables: int) -> np.ndarray:
     """Bucket keys: every two picked runs of a table in text order, or the only run."""
     at = least(labels, tables, PICK)
-    table = np.arange(tables, dtype=np.uint64)
+    table = np.arange(tables, dtype=np.uint64)[:, None]
     if at.shape[1] == 1:
-        return [_mix(labels[at[:, 0]] + table)]
-    pairs = itertools.combinations(range(at.shape[1]), 2)
-    return [_mix(_mix(labels[at[:, i]] * _U(0x9E3779B97F4A7C15) + labels[at[:, j]]) + table) for i, j in pairs]
+        return _mix(labels[at] + table).ravel()
+    first, second = np.triu_indices(at.shape[1], 1)
+    return _mix(_mix(labels[at[:, first]] * _U(0x9E3779B97F4A7C15) + labels[at[:, second]]) + table).ravel()
 
 
 def sketch(words: np.ndarray) -> np.ndarray:
     """The distinct bucket keys of a text."""
     keys = _keys(labelled_runs(words), TABLES)
     if len(words) <= SHORT:
-        keys += _keys(labelled_runs(words, SHORT_K), SHORT_TABLES)
-    return np.unique(np.concatenate(keys)).view(np.int64)
+        keys = np.append(keys, _keys(labelled_runs(words, SHORT_K), SHORT_TABLES))
+    return np.unique(keys).view(np.int64)
 
 
 def rest_keys(labels: np.ndarray, hub: np.ndarray, seed: int) -> np.ndarray:
@@ -231,8 +231,25 @@ def most_edits(n: int, m: int, similarity: float = SIMILARITY) -> int:
     return int((1 - similarity) * max(n, m) + 1e-9)
 
 
+def least_edits(a: np.ndarray, b: np.ndarray) -> float:
+    """A lower bound of the edit distance: an edit changes at most q runs of q words."""
+    both = np.unique(np.concatenate([a, b]), return_inverse=True)[1].astype(np.uint64) + _U(1)
+    x, y = both[: len(a)], both[len(a) :]
+    most = 0.0
+    for q in (1, 2, 3):
+        if min(len(x), len(y)) < q:
+            break
+        runs = [_mix(sum((w[j : len(w) - q + 1 + j] * _POLY[j] for j in range(q)), np.uint64(0))) for w in (x, y)]
+        ids = np.unique(np.concatenate(runs), return_inverse=True)[1]
+        n, size = len(runs[0]), int(ids.max()) + 1
+        shared = np.minimum(np.bincount(ids[:n], minlength=size), np.bincount(ids[n:], minlength=size)).sum()
+        most = max(most, (max(n, len(runs[1])) - shared) / q)
+    return most
+
+
 def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
-    return within(a, b, most_edits(len(a), len(b), similarity)) is not None
+    most = most_edits(len(a), len(b), similarity)
+    return abs(len(a) - len(b)) <= most and least_edits(a, b) <= most and within(a, b, most) is not None
 
 
 def _sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -328,17 +345,9 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bucketed(keyed: DataFrame) -> DataFrame:
-    """Rows (key, rep, n) of buckets of two or more, with their size ``m`` and hub."""
-    several = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    rows = materialise(keyed.join(several, "key"), "omh-rows")
-    hubs = rows.groupBy("key").agg(F.min(F.struct("n", "rep")).alias("hub"))
-    hubs = hubs.select("key", F.col("hub.rep").alias("hub"), F.col("hub.n").alias("hub_n"))
-    return materialise(rows.join(hubs, "key"), "omh-buckets")
-
-
-def _fits(n: str) -> str:
-    """Whether a row's length and that of its bucket's hub can be similar."""
-    return f"least(n, {n}) >= {SIMILARITY} * greatest(n, {n}) - 1e-9"
+    """Rows (key, rep, n) of buckets of two or more, with their size ``m`` and smallest id ``low``."""
+    several = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low")).where("m > 1")
+    return materialise(keyed.join(several, "key"), "omh-buckets")
 
 
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
@@ -372,7 +381,7 @@ def _joined(own: DataFrame, edges: DataFrame) -> DataFrame:
 
 def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
     """The rows of buckets that hold several components, with theirs."""
-    rows = materialise(rows.join(own, "rep"), "omh-own-rows")
+    rows = materialise(rows.drop("low").join(own, "rep"), "omh-own-rows")
     several = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
     return materialise(rows.join(several.select("key"), "key", "left_semi"), "omh-open")
 
@@ -399,12 +408,13 @@ def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
     return keyed.select(F.explode("keys").alias("key"), "rep", "n").distinct()
 
 
-def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
-    """``own`` after every row was compared with its hubs."""
-    ends = rows.where("rep <> hub").where(_fits("hub_n")).select("rep", "hub").distinct()
-    ends = ends.join(own.toDF("rep", "rep_c"), "rep").join(own.toDF("hub", "hub_c"), "hub").where("rep_c <> hub_c")
+def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows of large buckets with their shortest text as ``hub``, and ``own`` after comparison with it."""
+    hubs = rows.groupBy("key").agg(F.min(F.struct("n", "rep"))["rep"].alias("hub"))
+    rows = materialise(rows.join(hubs, "key"), "omh-hubs")
+    ends = rows.where("rep <> hub").select("rep", "hub", "c").distinct().join(own.toDF("hub", "hub_c"), "hub").where("c <> hub_c")
     pairs = ends.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    return _joined(own, _lifted(_linked(pairs, slim, texts), own))
+    return rows, _joined(own, _lifted(_linked(pairs, slim, texts), own))
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -421,19 +431,19 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
     texts = materialise(rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
 
-    met = buckets.where("rep <> hub").where(_fits("hub_n")).groupBy("rep", "hub").agg(F.count("*").alias("k"))
-    nearest = met.groupBy("rep").agg(F.max_by("hub", F.struct("k", "hub")).alias("hub"))
-    nearest = nearest.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    met = buckets.where("rep <> low").groupBy("rep", "low").agg(F.count("*").alias("k"))
+    nearest = met.groupBy(F.col("rep").alias("b")).agg(F.max_by("low", F.struct("k", "low")).alias("a")).select("a", "b")
     labels = components(_linked(nearest, slim, texts))
-    own = materialise(reps.select("rep").distinct().join(labels.toDF("rep", "c"), "rep", "left").select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
+    own = reps.select("rep").distinct().join(labels.toDF("rep", "c"), "rep", "left")
+    own = materialise(own.select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
     inside = "hub"
     while True:
-        own = _with_hubs(buckets, own, slim, texts)
         mixed = _split(buckets, own)
         own = _joined(own, _lifted(_small(mixed.where(F.col("m") <= BLOCK), slim, texts), own))
         large = mixed.where(F.col("m") > BLOCK)
         if large.isEmpty():
             break
+        large, own = _with_hubs(large, own, slim, texts)
         buckets = _bucketed(_finer(large, texts, inside))
         inside = "key"
     by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))
