@@ -51,7 +51,7 @@ SHORT, SHORT_K, SHORT_TABLES = 64, 2, 8
 REST_TABLES = 24
 SIMILARITY = 0.8
 BAG = 128
-BLOCK = 2048
+BLOCK = 128
 STEP = 1 << 13
 
 _U = np.uint64
@@ -59,6 +59,9 @@ _ODD = np.random.default_rng(7).integers(0, 1 << 31, max(TABLES, REST_TABLES), d
 _ADD = np.random.default_rng(8).integers(0, 1 << 32, max(TABLES, REST_TABLES), dtype=np.uint32)
 _POLY = np.random.default_rng(9).integers(1, 1 << 63, K, dtype=np.uint64) * _U(2) + _U(1)
 
+#: Places of the pairs of up to PICK picks.
+_PAIRS = {m: np.triu_indices(m, 1) for m in range(2, PICK + 1)}
+
 
 def _mix(x: np.ndarray) -> np.ndarray:
     x = x ^ (x >> _U(31))
@@ -135,7 +138,7 @@ def _keys(labels: np.ndarray, tables: int) -> np.ndarray:
     table = np.arange(tables, dtype=np.uint64)[:, None]
     if at.shape[1] == 1:
         return _mix(labels[at] + table).ravel()
-    first, second = np.triu_indices(at.shape[1], 1)
+    first, second = _PAIRS[at.shape[1]]
     return _mix(_mix(labels[at[:, first]] * _U(0x9E3779B97F4A7C15) + labels[at[:, second]]) + table).ravel()
 
 
