@@ -2,9 +2,11 @@
 
 Trust is personalised PageRank from the hosts of pages that rules allow; distrust is the same walk
 over reversed edges from the hosts of pages that rules block, because who links to bad hosts is
-suspect. Only what a host receives over edges counts, not its own seed: a rule for one path says
-nothing of the rest of its host. A page without a rule is blocked where its host's distrust makes
-more than ``THRESHOLD`` of its distrust and trust together; hosts that no walk reaches are allowed.
+suspect. Restarts count: a host with seeds of its own is trusted or distrusted without any link. What
+reaches hosts without out-links returns to the seeds, so both rankings sum to 1. Rounds end when the
+ranks move by less than ``TOLERANCE`` in all. A page without a rule is blocked where its host's
+distrust makes more than ``THRESHOLD`` of its distrust and trust together; hosts that no walk reaches
+are allowed.
 
 Defined results: a null url, or one without ``://``, has an empty host and path, no rule and the
 verdict allow; relative links stay on their host and carry no edge; repeated links count once per
@@ -17,12 +19,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import forget, materialise
 
 #: (verdict, host, path) of each rule.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 DAMPING = 0.85
-ROUNDS = 12
+TOLERANCE = 1e-6
+#: More rounds than the tolerance can need: 0.85 ** 120 < 1e-8.
+ROUNDS = 120
 THRESHOLD = 0.5
 LINK = r"""(?i)<a\s[^>]*?href\s*=\s*["']?([^"'\s>]++)"""
 
@@ -75,27 +79,34 @@ def seeds(pages: DataFrame, verdict: str, rules=RULES) -> DataFrame:
     return chosen.crossJoin(F.broadcast(total)).select("host", (F.col("n") / F.col("all")).alias("seed"))
 
 
-def propagate(edges: DataFrame, start: DataFrame, hosts: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """Personalised PageRank of ``edges(src, dst, n)`` from ``start(host, seed)``: (host, rank), rank
-    being what arrives over edges, without the host's own restarts."""
+def propagate(edges: DataFrame, start: DataFrame, hosts: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
+    """Personalised PageRank of ``edges(src, dst, n)`` from ``start(host, seed)``: (host, rank), the
+    ranks summing to 1 where there are seeds.
+
+    To return the mass of hosts without out-links to the seeds only scales all ranks, so it is done
+    once, by their sum, at the end.
+    """
+    base = materialise(hosts.join(start, "host", "left").select("host", F.coalesce("seed", F.lit(0.0)).alias("seed")), "host-seeds")
+    if edges.isEmpty():
+        return base.select("host", F.col("seed").alias("rank"))
     out = edges.groupBy("src").agg(F.sum("n").alias("all"))
     shares = materialise(edges.join(out, "src").select("src", "dst", (F.col("n") / F.col("all")).alias("share")), "host-shares")
-    base = materialise(hosts.join(start, "host", "left").select("host", F.coalesce("seed", F.lit(0.0)).alias("seed")), "host-seeds")
     ranks = base.select("host", ((1 - damping) * F.col("seed")).alias("rank"))
-    if shares.isEmpty():
-        return base.select("host", F.lit(0.0).alias("rank"))
-    for _ in range(rounds):
+    for _ in range(ROUNDS):
         flow = (
-            shares.join(ranks.withColumnRenamed("host", "src"), "src")
+            shares.join(ranks.select(F.col("host").alias("src"), "rank"), "src")
             .groupBy(F.col("dst").alias("host"))
             .agg(F.sum(F.col("share") * F.col("rank")).alias("flow"))
         )
-        ranks = materialise(
-            base.join(flow, "host", "left").select("host", ((1 - damping) * F.col("seed") + damping * F.coalesce("flow", F.lit(0.0))).alias("rank")),
-            "host-ranks",
-        )
-    own = base.select("host", ((1 - damping) * F.col("seed")).alias("own"))
-    return ranks.join(own, "host").select("host", (F.col("rank") - F.col("own")).alias("rank"))
+        fresh = base.join(flow, "host", "left").select("host", ((1 - damping) * F.col("seed") + damping * F.coalesce("flow", F.lit(0.0))).alias("rank"))
+        table = materialise(fresh.join(ranks.select("host", F.col("rank").alias("was")), "host"), "host-ranks")
+        moved, mass = table.agg(F.sum(F.abs(F.col("rank") - F.col("was"))), F.sum("rank")).first()
+        old, ranks = ranks, table
+        forget(old)
+        if not mass or moved < tolerance * mass:
+            break
+    total = ranks.agg(F.sum("rank").alias("all"))  # one row
+    return ranks.crossJoin(F.broadcast(total)).select("host", F.coalesce(F.try_divide("rank", "all"), F.lit(0.0)).alias("rank"))
 
 
 def host_verdicts(pages: DataFrame, rules=RULES, threshold: float = THRESHOLD) -> DataFrame:
