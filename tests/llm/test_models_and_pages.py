@@ -109,7 +109,63 @@ def test_context():
     lexicon = toxicity.Lexicon([("idiot", False, 3.0), ("achlich", True, 2.0)])
     plain, quoted, direct = (lexicon.features(t)[0] for t in ("such an idiot here", 'he wrote "an idiot" there', "you idiot"))
     assert quoted < plain < direct
-    assert lexicon.features("idiott x")[4] > 0 and lexicon.features("")[0] == 0 and lexicon.features("ACHLICHER")[0] > 0
+    assert lexicon.features("")[0] == 0 and lexicon.features("ACHLICHER")[0] > 0
+    for right, wrong in (("such an idiot here", "such an idoit here"), ("you idiot", "you idiott"), ("ACHLICHER", "ACHLYCHER")):
+        if right != "such an idiot here":  # two letters changed places there: two edits, no hit
+            assert 0 < lexicon.features(wrong)[0] < lexicon.features(right)[0]
+    assert lexicon.features('he wrote "an idiott" there')[0] < lexicon.features("such an idiott here")[0] < lexicon.features("you idiott")[0]
+
+
+def test_scores_of_misspelled_and_quoted_terms(spark):
+    """On a model learnt from the given tables: clean < misspelled < exact, and quoted < plain, for
+    every whole term that is long enough; scores against plain sums, hit by hit."""
+    folder = "/root/testdata/sf0.01"
+    docs = read_table(spark, folder, "documents")
+    model = toxicity.fit(docs, read_table(spark, folder, "labels"))
+    lexicon = model.lexicon()
+    score = lambda t: model.score([lexicon.features(t)])[0]
+    assert (model.weights[1:] >= 0).all() and model.weights[1:].max() > 0
+    text = "the day was long and {} came by the river in the end"
+    clean, terms = score(text.format("xyxyx")), [t for t, begins, _ in model.terms if not begins and len(t) >= 7]
+    for term in terms:
+        wrong = term[:-2] + "qj"[term[-2] == "q"] + term[-1]
+        assert clean < score(text.format(wrong)) <= score(text.format(term)), term
+        assert clean < score(f'the day was long and he "{term}" came by the river') < score(text.format(term)), term
+    assert terms
+
+    def plainly(t):
+        words = [(m.start(), m.group()) for m in toxicity.WORD.finditer(t.lower())]
+        most = total = 0.0
+        for i, (at, w) in enumerate(words):
+            weights = [x for term, begins, x in model.terms if w == term or begins and w.startswith(term)]
+            factor = 1.0
+            if not weights:
+                near = lambda term, begins: any(edits(term, w[:n]) <= 1 for n in (range(len(term) - 1, len(term) + 2) if begins else (len(w),)) if n <= len(w))
+                weights = [x for term, begins, x in model.terms if len(term) >= (6 if begins else 5) and len(w) >= 4 and near(term, begins)]
+                factor = model.factors[0]
+            if not weights:
+                continue
+            lo, hi = max(0, i - 8), min(len(words), i + 9)
+            left, right = t.lower()[words[lo][0] : at], t.lower()[at + len(w) : words[hi - 1][0]]
+            around = {x for _, x in words[lo:hi]}
+            inside = sum(left.count(q) for q in toxicity.QUOTES) % 2 == 1 and any(q in right for q in toxicity.QUOTES)
+            for f, on in zip(model.factors[1:], (inside, around & toxicity.REPORTING, around & toxicity.SECOND), strict=True):
+                factor *= f if on else 1.0
+            most, total = max(most, factor * max(weights)), total + factor * max(weights)
+        return 1 / (1 + np.exp(-(np.array([1, most, np.log1p(total), 10 * total / (len(words) + 20)]) @ model.weights)))
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row = row, [i]
+            for j, y in enumerate(b, 1):
+                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
+        return row[-1]
+
+    rows = docs.where("length(text) < 3000").orderBy("doc_id").limit(60).select("doc_id", "text").collect()
+    got = {r["doc_id"]: r["s"] for r in toxicity.with_scores(docs, model, "s").collect()}
+    for r in rows:
+        assert abs(got[r["doc_id"]] - plainly(r["text"] or "")) < 1e-9, r["doc_id"]
 
 
 def score_of(rows, labels, column):
@@ -158,25 +214,26 @@ def test_marginals():
 
 # ---- URL filter
 
-def rank_by_hand(edges, seed, rounds=hostgraph.ROUNDS, d=hostgraph.DAMPING):
-    hosts = {h for e in edges for h in e[:2]} | set(seed)
+def rank_by_hand(edges, seed, hosts, rounds=400, d=hostgraph.DAMPING):
+    """Plain PageRank; what reaches hosts without out-links goes back to the seeds in every round."""
     out = collections.Counter()
     for a, _, n in edges:
         out[a] += n
-    r = {h: (1 - d) * seed.get(h, 0.0) for h in hosts}
+    r = {h: seed.get(h, 0.0) for h in hosts}
     for _ in range(rounds):
-        new = {h: (1 - d) * seed.get(h, 0.0) for h in hosts}
+        lost = sum(v for h, v in r.items() if not out[h])
+        new = {h: (1 - d + d * lost) * seed.get(h, 0.0) for h in hosts}
         for a, b, n in edges:
             new[b] += d * r[a] * n / out[a]
         r = new
-    return {h: r[h] - (1 - d) * seed.get(h, 0.0) for h in hosts}
+    return r
 
 
 def test_host_graph(spark):
     link = lambda *hosts: "".join(f'<a class=x href="http://{h}/p">t</a>' for h in hosts)
     pages = [
         (1, "http://good.org/fr/1", link("fine.com", "bad.net")), (2, "http://bad.net/x", link("farm.com")), (3, "http://farm.com/a?b", link("bad.net", "bad.net")),
-        (4, "https://Fine.com/de/", "<a href='/local'>"), (5, "http://x.example.net/en/1#t", None), (6, "http://x.example.net/fr", "<a href=//fine.com/>"),
+        (4, "https://Fine.com/de/", "<a href='/local'>"), (5, "http://x.example.net/en/1#t", None), (6, "http://x.example.net/fr", "<a href=//fine.com/>"), (12, "http://a.example.com/en/", ""), (13, "http://good.org/de/", ""),
         (7, None, link("bad.net")), (8, "nothing", ""), (9, "http://a.example.com/de/q", ""), (10, "http://farm.com/de/", ""), (11, "http://other.io", link("farm.com")),
     ]
     df = spark.createDataFrame(pages, "page_id bigint, url string, html string").withColumn("host", F.lit("clash")).withColumn("n", F.lit(1))
@@ -186,11 +243,14 @@ def test_host_graph(spark):
         ("x.example.net", "/en/1", "example.net/en/", "allow"), ("x.example.net", "/fr", "net/", "block"), ("", "", None, "allow"), ("", "", None, "allow"),
         ("a.example.com", "/de/q", "example.com/de/", "block")]
     edges = [("good.org", "fine.com", 1), ("good.org", "bad.net", 1), ("bad.net", "farm.com", 1), ("farm.com", "bad.net", 1), ("x.example.net", "fine.com", 1), ("other.io", "farm.com", 1)]
-    trust = rank_by_hand(edges, {"good.org": 1 / 2, "x.example.net": 1 / 2})
-    distrust = rank_by_hand([(b, a, n) for a, b, n in edges], {"bad.net": 1 / 3, "x.example.net": 1 / 3, "a.example.com": 1 / 3})
-    for i in (3, 4, 11):
+    hosts = {r["host"] for r in got.values()} | {h for e in edges for h in e[:2]}
+    trust = rank_by_hand(edges, {"good.org": 1 / 2, "x.example.net": 1 / 2}, hosts)
+    distrust = rank_by_hand([(b, a, n) for a, b, n in edges], {"bad.net": 1 / 3, "x.example.net": 1 / 3, "a.example.com": 1 / 3}, hosts)
+    assert abs(sum(trust.values()) - 1) < 1e-9 and abs(sum(distrust.values()) - 1) < 1e-9
+    assert got[12]["verdict"] == "block" and got[13]["verdict"] == "allow"  # by their hosts' own seeds
+    for i in (3, 4, 11, 12, 13):
         h = got[i]["host"]
-        assert abs(got[i]["trust"] - trust.get(h, 0)) < 1e-9 and abs(got[i]["distrust"] - distrust.get(h, 0)) < 1e-9
+        assert abs(got[i]["trust"] - trust.get(h, 0)) < 1e-5 and abs(got[i]["distrust"] - distrust.get(h, 0)) < 1e-5
         bad = distrust.get(h, 0) / max(trust.get(h, 0) + distrust.get(h, 0), 1e-300)
         assert got[i]["verdict"] == ("block" if bad > 0.5 else "allow")
     assert got[11]["verdict"] == "block"

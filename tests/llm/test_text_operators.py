@@ -340,7 +340,7 @@ def test_pipeline_against_plain_code(spark):
     docs = read_table(spark, DATA, "documents")
     held = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
     model = toxicity.fit(docs, read_table(spark, DATA, "labels"), ~held)
-    lexicon = toxicity.Lexicon(model.terms)
+    lexicon = model.lexicon()
     rows = [r.asDict() for r in docs.collect()]
     rows = [r for r in rows if model.score([lexicon.features(r["text"] or "")])[0] < 0.5]
     classes = brute_classes([(r["doc_id"], r["text"] or "") for r in rows])

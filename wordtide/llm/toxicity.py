@@ -2,14 +2,17 @@
 
 Fitting, on at most ``FIT_DOCS`` labelled documents (those whose id hashes lowest): words and word
 beginnings that occur mostly in toxic documents form the lexicon, each with its log odds. A Levenshtein
-automaton for one edit is intersected with the trie of whole terms of at least ``FUZZY_FROM``
-letters and turned into a deterministic automaton state by state as words come, so a word that is
-far from all terms ends after a few letters. Beginnings are matched exactly.
-
-Scoring, over whole texts: every hit is weighed by the words around it (``WINDOW`` at either side):
-quotation marks and words of reporting lessen it, second persons raise it. Logistic regression over
-sums of such hits gives the score; for its fit each half of the documents is scored by a lexicon of
-the other half, so the hits are no better than on unseen texts.
+automaton for one edit is intersected with the trie of the terms of at least ``FUZZY_FROM`` letters
+(``BEGINS_FUZZY_FROM`` for beginnings) and turned into a deterministic automaton state by state as
+words come, so a word that is far from all terms ends after a few letters.
+
+Scoring, over whole texts: every hit, misspelled or not, has its term's weight times a factor for each
+of: misspelled, inside quotation marks, near words of reporting, near second persons (``WINDOW`` words
+at either side). The factors are learnt with the model, each from a range that keeps their sense: a
+misspelling counts less than the term and more than nothing, quotation lessens, address raises.
+Logistic regression over the weighed hits, with weights that are never negative, gives the score, so
+no hit lowers it. For the fit each half of the documents is scored by a lexicon of the other half, so
+the hits are no better than on unseen texts.
 
 Defined results: null texts count as empty; empty texts and texts without hits get the score of no
 hits; labels without a value, or for other ids, are not used; repeated labels of an id count as the
@@ -37,7 +40,7 @@ LEAST_SHARE = 0.75
 #: Terms of the lexicon that chance alone may be expected to give.
 CHANCE_TERMS = 1.0
 BEGINNINGS = range(3, 9)
-FUZZY_FROM = 5
+FUZZY_FROM, BEGINS_FUZZY_FROM = 5, 6
 WINDOW = 8
 CACHE = 400_000
 
@@ -49,7 +52,13 @@ REPORTING = frozenset(
 )
 SECOND = frozenset("you your youre yourself u du dich dir dein deine ihr euch tu te toi ton ta tes vous votre usted ustedes tú ti vosotros".split())
 
-FEATURES = ("most", "sum", "hits", "density", "fuzzy", "quoted", "direct")
+#: What lessens or raises a hit, and the values that its factor may take; the middle one unless the fit gains.
+FACTORS = {"misspelled": (0.25, 0.5, 0.75, 0.9), "quoted": (0.3, 0.5, 0.7), "reported": (0.6, 0.75, 0.9), "addressed": (1.1, 1.25, 1.5)}
+START = (0.5, 0.5, 0.75, 1.25)
+#: Log likelihood that another value must gain.
+LEAST_GAIN = 1.0
+CLASSES = 1 << len(FACTORS)
+FEATURES = ("most", "sum", "density")
 
 
 class Automaton:
@@ -91,25 +100,30 @@ class Automaton:
             got = self.steps[key] = self._closed(items)
         return got
 
-    def match(self, word: str) -> tuple[float, int] | None:
-        """(weight, edits) of the best term within one edit."""
-        state = self.start
+    def match(self, word: str, begins: bool = False) -> tuple[float, int] | None:
+        """(weight, edits) of the best term within one edit of the word, or of a beginning of it."""
+        state, found = self.start, []
         for c in word:
             state = self.step(state, c)
             if not state:
-                return None
-        found = [(e, -self.ends[node]) for node, e in state if node in self.ends]
+                break
+            if begins:
+                found += [(e, -self.ends[node]) for node, e in state if node in self.ends]
+        if not begins:
+            found = [(e, -self.ends[node]) for node, e in state if node in self.ends]
         return (-min(found)[1], min(found)[0]) if found else None
 
 
 class Lexicon:
     """Whole terms and beginnings with their weights."""
 
-    def __init__(self, terms: list[tuple[str, bool, float]]):
+    def __init__(self, terms: list[tuple[str, bool, float]], factors: tuple[float, ...] = START):
+        self.factors = factors
         self.whole = {t: w for t, begins, w in terms if not begins}
         self.begins = {t: w for t, begins, w in terms if begins}
         self.sizes = sorted({len(t) for t in self.begins})
         self.near = Automaton({t: w for t, w in self.whole.items() if len(t) >= FUZZY_FROM})
+        self.near_begins = Automaton({t: w for t, w in self.begins.items() if len(t) >= BEGINS_FUZZY_FROM})
         self.seen: dict[str, tuple[float, int] | None] = {}
 
     def _match(self, word: str) -> tuple[float, int] | None:
@@ -119,7 +133,10 @@ class Lexicon:
                 weight = max(weight, self.begins.get(word[:n], 0.0))
         if weight:
             return weight, 0
-        return self.near.match(word) if len(word) >= FUZZY_FROM - 1 else None
+        if len(word) < FUZZY_FROM - 1:
+            return None
+        near = [m for m in (self.near.match(word), self.near_begins.match(word, True)) if m]
+        return max(near) if near else None
 
     def match(self, word: str) -> tuple[float, int] | None:
         try:
@@ -130,36 +147,39 @@ class Lexicon:
             got = self.seen[word] = self._match(word)
             return got
 
-    def features(self, text: str) -> list[float]:
+    def hits(self, text: str) -> list[float]:
+        """For each class of hits (a bit for each factor) the largest weight, then for each class the
+        sum of weights, then the number of words."""
+        most, total = [0.0] * CLASSES, [0.0] * CLASSES
         low = text.lower()
-        words = set(WORD.findall(low))
-        hits = {w: m for w in words if (m := self.match(w))}
-        if not hits:
-            return [0.0] * len(FEATURES)
+        found = WORD.findall(low)
+        matched = {w: m for w in set(found) if (m := self.match(w))}
+        if not matched:
+            return [*most, *total, float(len(found))]
         found = [(m.start(), m.group()) for m in WORD.finditer(low)]
-        total = most = fuzzy = quoted = direct = 0.0
-        count = 0
         for i, (at, word) in enumerate(found):
-            if word not in hits:
-                continue
-            weight, edits = hits[word]
-            if edits:
-                fuzzy += 1
+            if word not in matched:
                 continue
+            weight, edits = matched[word]
             lo, hi = max(0, i - WINDOW), min(len(found), i + WINDOW + 1)
             left, right = low[found[lo][0] : at], low[at + len(word) : found[hi - 1][0]]
             around = {w for _, w in found[lo:hi]}
             opened = sum(left.count(q) for q in QUOTES) % 2 == 1 and any(q in right for q in QUOTES)
-            told = bool(around & REPORTING)
-            spoken = bool(around & SECOND)
-            factor = 1.0 - 0.5 * opened - 0.2 * told + 0.3 * spoken
-            count += 1
-            quoted += opened or told
-            direct += spoken
-            total += factor * weight
-            most = max(most, factor * weight)
-        n = max(count, 1)
-        return [most, math.log1p(total), math.log1p(count), 100.0 * count / (len(found) + 20), math.log1p(fuzzy), quoted / n, direct / n]
+            kind = (edits > 0) + 2 * opened + 4 * bool(around & REPORTING) + 8 * bool(around & SECOND)
+            most[kind] = max(most[kind], weight)
+            total[kind] += weight
+        return [*most, *total, float(len(found))]
+
+    def features(self, text: str) -> list[float]:
+        return weighed(np.array([self.hits(text)]), self.factors)[0].tolist()
+
+
+def weighed(hits: np.ndarray, factors: tuple[float, ...]) -> np.ndarray:
+    """``FEATURES`` of rows of ``Lexicon.hits`` under the given factors."""
+    on = np.arange(CLASSES)[:, None] >> np.arange(len(factors)) & 1
+    factor = np.prod(np.where(on, np.array(factors), 1.0), axis=1)
+    most, total = (hits[:, :CLASSES] * factor).max(axis=1), (hits[:, CLASSES : 2 * CLASSES] * factor).sum(axis=1)
+    return np.stack([most, np.log1p(total), 10.0 * total / (hits[:, -1] + 20)], axis=1)
 
 
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool, float]]:
@@ -196,18 +216,37 @@ def _beginning(n: int):
     return lambda w: F.concat(F.substring(w, 1, n), F.lit("*"))
 
 
-def _feature_rows(terms):
+def _hit_rows(terms):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         lexicon = Lexicon(terms)
         for pdf in batches:
-            yield pd.DataFrame({"y": pdf["y"], "x": [lexicon.features(t or "") for t in pdf["text"]]})
+            yield pd.DataFrame({"y": pdf["y"], "x": [lexicon.hits(t or "") for t in pdf["text"]]})
 
     return run
 
 
+def raising(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Weights of a logistic regression, constant first and the others not negative, and its log
+    likelihood."""
+    use = list(range(x.shape[1]))
+    while True:
+        own = np.c_[np.ones(len(x)), x[:, use]]
+        w = logistic(own, y)
+        if not use or w[1:].min() >= 0:
+            break
+        use.pop(int(w[1:].argmin()))
+    p = np.clip(sigmoid(own @ w), 1e-12, 1 - 1e-12)
+    full = np.zeros(x.shape[1] + 1)
+    full[[0, *(i + 1 for i in use)]] = w
+    return full, float((y * np.log(p) + (1 - y) * np.log(1 - p)).sum())
+
+
 class Model:
-    def __init__(self, terms: list, weights: np.ndarray | None):
-        self.terms, self.weights = terms, weights
+    def __init__(self, terms: list, weights: np.ndarray | None, factors: tuple[float, ...] = START):
+        self.terms, self.weights, self.factors = terms, weights, factors
+
+    def lexicon(self) -> Lexicon:
+        return Lexicon(self.terms, self.factors)
 
     def score(self, x) -> np.ndarray:
         if self.weights is None:
@@ -222,21 +261,30 @@ def fit(docs: DataFrame, labels: DataFrame, use=None, most: int = FIT_DOCS) -> M
     rows = []
     for half in (0, 1):
         other = learn_lexicon(sample.where(F.col("half") != half))
-        rows += sample.where(F.col("half") == half).select("y", "text").mapInPandas(_feature_rows(other), "y int, x array<double>").collect()
+        rows += sample.where(F.col("half") == half).select("y", "text").mapInPandas(_hit_rows(other), "y int, x array<double>").collect()
     y = np.array([r["y"] for r in rows], dtype=float)
     if not len(y) or not 0 < y.sum() < len(y):
         return Model(terms, None)
-    x = np.array([r["x"] for r in rows], dtype=float)
-    return Model(terms, logistic(np.c_[np.ones(len(x)), x], y))
+    hits, factors = np.array([r["x"] for r in rows], dtype=float), START
+    weights, best = raising(weighed(hits, factors), y)
+    for _ in range(2):
+        for i, values in enumerate(FACTORS.values()):
+            for v in values:
+                new = (*factors[:i], v, *factors[i + 1 :])
+                w, gained = raising(weighed(hits, new), y)
+                if gained > best + LEAST_GAIN:
+                    weights, best, factors = w, gained, new
+    return Model(terms, weights, factors)
 
 
 def with_scores(docs: DataFrame, model: Model, column: str = "score") -> DataFrame:
     """``docs`` with a column of scores."""
-    terms, weights = model.terms, model.weights
+    terms, weights, factors = model.terms, model.weights, model.factors
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        lexicon, own = Lexicon(terms), Model(terms, weights)
+        own = Model(terms, weights, factors)
+        lexicon = own.lexicon()
         for text in texts:
             yield pd.Series(own.score([lexicon.features(t or "") for t in text]), dtype=float)
 
