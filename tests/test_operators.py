@@ -304,3 +304,19 @@ def test_runs_by_segments(spark):
         run = (run + 1 if k == last else 1) if bad else 0
         last, want[(k, i)] = k, run
     assert plain == want and cut == want
+
+
+def test_probe_verdicts(spark):
+    """P6 with the patterns of the monthly probe."""
+    body, long = "x" * 900, "words enough to say what this page is for, and more"
+    rows = [
+        (1, "This domain is available", [], long, body), (2, "A shop", ["Domain has expired"], long, body), (3, "Website is coming soon", [], long, body),
+        (4, "", [], long, "Buy this domain " + body), (5, "A shop", [], long, "Buy this domain " + body), (6, "WWW.a.example", [], long, "future home of " + body),
+        (7, "Please wait", [], long, body), (8, "404 error", [], long, body), (9, "A shop", ["The page was not found"], long, body), (10, "即将上线！", [], long, body),
+        (11, "A shop", ["登录"], "short", body), (12, "A shop", ["Garden tools"], "short", body), (13, "A shop", [], long, "thin"), (14, "Coming soon...", [], long, body),
+    ]
+    df = spark.createDataFrame(rows, "i int, title string, h1 array<string>, description string, visible_text string")
+    v = pages.verdict(F.col("title"), F.col("h1"), F.col("description"), F.col("visible_text"), F.lit("verified_recent"), F.lit(False), F.lit("a.example"))
+    got = {r["i"]: r["v"] for r in df.select("i", v.alias("v")).collect()}
+    parked, wall = {1, 2, 3, 4, 6, 10, 14}, {7, 8, 9}
+    assert got == {i: "parked" if i in parked else "unavailable" if i in wall else "thin" if i in (11, 13) else "candidate" for i in range(1, 15)}

@@ -55,7 +55,18 @@ PLACEHOLDER = (
 )
 SOFT_404 = r"(?:404\s*[-:|]?\s*)?(?:page )?not found[.!]*|404|页面不存在"
 GENERIC_HEADING = (
-    r"(?:home|homepage|welcome|coming soon|just a moment|access denied|error|untitled|index|loading|sign in|log in|404|403)[.!…\s]*"
+    r"(?:home|homepage|welcome|coming soon|just a moment|access denied|error|untitled|index|loading|sign in|log in|404|403|首页|欢迎|登录)[.!…\s]*"
+)
+# Page patterns of the monthly probe, which has its own.
+PROBE_PARKED = (
+    r"\b(?:domain (?:is )?for sale|buy this domain|this domain (?:is )?(?:parked|available)|domain parking|website (?:is )?coming soon|"
+    r"under construction|account suspended|website expired|domain (?:has )?expired|default (?:web ?site|page)|welcome to nginx|"
+    r"apache2? .*default page|future home of|index of /)\b|域名出售|网站建设中|即将上线"
+)
+PROBE_UNOPENED = r"(?:coming soon|under construction|即将上线|网站建设中)[.!…\s]*"
+PROBE_SOFT_ERROR = r"\bpage (?:was )?not found\b|^(?:not found|404 error|404(?:\s*[-|:—]\s*(?:page|not)|\s+(?:page|not found)|$))"
+PROBE_CHALLENGE = (
+    r"^(?:just a moment|access denied|attention required|verify you are human|checking your browser|security verification|please wait)"
 )
 # Thresholds.
 THIN_TEXT, SHORT_TEXT, PARKED_TEXT = 160, 800, 1200

@@ -172,14 +172,20 @@ def classify_full(domain: Column, title: Column, h1: Column, description: Column
     return F.when(early.isNotNull(), "skip").otherwise(decision), F.coalesce(early, reason)
 
 
-def verdict(title: Column, h1: Column, description: Column, text: Column, registration: Column, external: Column) -> Column:
-    """Parked, unavailable, thin, then what registration says of a page with substance."""
+def verdict(title: Column, h1: Column, description: Column, text: Column, registration: Column, external: Column, domain: Column | None = None) -> Column:
+    """Parked, unavailable, thin, then what registration says of a page with substance. A page
+    without a title, or called by its ``domain``, is parked by the beginning of its text too."""
     heads = F.concat(F.array(title), h1)
     head = F.concat_ws(" ", title, F.array_join(h1, " "), description)
+    bare = F.coalesce(title, F.lit("")) == ""
+    if domain is not None:
+        bare = bare | F.exists(heads, lambda h: F.coalesce(F.lower(F.trim(h)).isin(domain, F.concat(F.lit("www."), domain)), F.lit(False)))
+    parked = T.found_in(head, V.PROBE_PARKED) | (bare & T.found_in(F.left(text, F.lit(V.SHORT_TEXT)), V.PROBE_PARKED))
+    unopened = F.exists(heads, lambda h: T.full_match(h, V.PROBE_UNOPENED))
+    wall = F.exists(heads, lambda h: T.found_in(h, V.PROBE_CHALLENGE) | T.found_in(h, V.PROBE_SOFT_ERROR))
     named = F.exists(h1, lambda h: (F.length(h) >= 8) & ~T.full_match(h, V.GENERIC_HEADING))
-    wall = F.exists(heads, lambda h: h.rlike(f"(?iU)^(?:{V.CHALLENGE})") | T.full_match(F.trim(h), V.SOFT_404))
     return (
-        F.when(T.found_in(head, V.PARKED + r"|account suspended|website expired|welcome to nginx|index of /") | F.exists(heads, lambda h: T.full_match(F.trim(h), V.PLACEHOLDER)), "parked")
+        F.when(F.coalesce(parked | unopened, F.lit(False)), "parked")
         .when(wall, "unavailable")
         .when((F.length(text) < V.THIN_TEXT) | ((F.length(description) < 40) & ~named), "thin")
         .when(registration == "verified_old", "old")

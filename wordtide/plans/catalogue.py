@@ -284,12 +284,12 @@ _ERROR = (
     "WHEN NOT regexp_matches(n, '^[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?(\\.[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?)*$') THEN 'invalid_dns_label' "
     "WHEN NOT regexp_matches(split_part(n, '.', -1), '[a-z]') THEN 'numeric_top_level_label' END"
 )
-_RAW = "raw AS (SELECT page_id AS id, lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)) || CASE WHEN page_id % 5 = 0 THEN '.' ELSE '' END AS raw FROM pages UNION ALL SELECT doc_id, text[1:12] FROM documents), nrm AS (SELECT id, raw, lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')) AS v, regexp_replace(lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')), '\\.$', '') AS n FROM raw)"
+_RAW = "raw AS (SELECT page_id AS id, lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)) || CASE WHEN page_id % 5 = 0 THEN '.' ELSE '' END AS raw FROM pages UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents), nrm AS (SELECT id, raw, lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')) AS v, regexp_replace(lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')), '\\.$', '') AS n FROM raw)"
 
 
 def raw_lines(spark, sf_dir):
     p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.concat(T.host_of(F.col("url")), F.when(F.col("page_id") % 5 == 0, ".").otherwise("")).alias("raw"))
-    return p.unionByName(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.left("text", F.lit(12)).alias("raw")))
+    return p.unionByName(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.explode(F.split("text", "\n", -1)).alias("raw")))
 
 
 @query(f"WITH {_RAW} SELECT id, CASE WHEN e IS NULL THEN n END AS domain, e AS reason FROM (SELECT *, {_ERROR} AS e FROM nrm)")
@@ -640,7 +640,7 @@ def page_classify(spark, sf_dir):
 def page_verdict(spark, sf_dir):
     f = with_fields(spark, sf_dir)
     recent = F.when(F.col("page_id") % 3 == 0, "verified_old").when(F.col("page_id") % 3 == 1, "verified_recent").otherwise("unknown")
-    v = pages.verdict(F.col("title"), F.col("h1"), F.col("description"), F.col("visible_text"), recent, F.col("url").contains("://m."))
+    v = pages.verdict(F.col("title"), F.col("h1"), F.col("description"), F.col("visible_text"), recent, F.col("url").contains("://m."), T.host_of(F.col("url")))
     return f.select("page_id", v.alias("verdict"))
 
 
@@ -861,9 +861,9 @@ def record_search(spark, sf_dir):
     return audit.search(e, ["event_type"], "purchase").select("event_id").union(audit.search(e, ["props"], '"k": 7').select("event_id")).distinct()
 
 
-@query("SELECT doc_id, CASE WHEN regexp_matches(cell, '^ *[=+@\\t\\r\\n-]') THEN '''' || cell ELSE cell END AS cell FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '=' ELSE '' END || text[1:20] AS cell FROM documents)")
+@query("SELECT doc_id, CASE WHEN regexp_matches(cell, '^ *[=+@\\t\\r\\n-]') THEN '''' || cell ELSE cell END AS cell FROM (SELECT doc_id, CASE WHEN doc_id % 3 = 0 THEN '=' ELSE '' END || text AS cell FROM documents)")
 def csv_guard(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "=").otherwise(""), F.left("text", F.lit(20))).alias("cell"))
+    d = table(spark, sf_dir, "documents").select("doc_id", F.concat(F.when(F.col("doc_id") % 3 == 0, "=").otherwise(""), F.col("text")).alias("cell"))
     return d.select("doc_id", T.guarded_cell(F.col("cell")).alias("cell"))
 
 
@@ -875,11 +875,14 @@ def dialogue_window(spark, sf_dir):
 
 # ---- ledgers --------------------------------------------------------------------------------
 
-@query("""WITH w AS (SELECT user_id, count(*) AS r, count(DISTINCT event_type) AS u FROM events WHERE event_id % 40 = 0 GROUP BY 1) SELECT user_id, CASE WHEN u < r THEN 'loop' ELSE 'too_many_hops' END AS problem FROM w WHERE u < r OR r > 3""")
+def user_days(spark, sf_dir):
+    return table(spark, sf_dir, "events").select(F.concat("user_id", F.lit("-"), F.date_format("ts", "yyyy-MM-dd")).alias("walk"), "event_type")
+
+
+@query("""WITH w AS (SELECT user_id || '-' || strftime(ts, '%Y-%m-%d') AS walk, count(*) AS r, count(DISTINCT event_type) AS u FROM events GROUP BY 1) SELECT walk, CASE WHEN u < r THEN 'loop' ELSE 'too_many_hops' END AS problem FROM w WHERE u < r OR r > 3""")
 def redirect_walk(spark, sf_dir):
-    """A walk is every fortieth event of a user, a URL its type."""
-    e = table(spark, sf_dir, "events").where("event_id % 40 = 0")
-    return ledger.redirect_problems(e, "user_id", "event_type")
+    """A walk is the events of a user on a day, a URL an event's type."""
+    return ledger.redirect_problems(user_days(spark, sf_dir), "walk", "event_type")
 
 
 @query("""SELECT event_id, CASE WHEN event_type <> 'click' AND NOT coalesce([200, 404, 429, 500, NULL][(event_id % 5 + 1)::INT] IN (401, 403, 404, 410, 429), false) AND event_type <> 'view' THEN 'retry' ELSE 'reuse' END AS action FROM events""")
@@ -932,9 +935,9 @@ def term_diagnostics(spark, sf_dir):
     return ledger.term_diagnostics(channels(spark, sf_dir), ("ment", "heit", "the", "en"))
 
 
-@query("SELECT user_id, CASE WHEN count(DISTINCT event_type) > 1 THEN 'mixed' ELSE min(event_type) END AS mode FROM events WHERE event_id % 30 = 0 GROUP BY 1")
+@query("SELECT user_id || '-' || strftime(ts, '%Y-%m-%d') AS walk, CASE WHEN count(DISTINCT event_type) > 1 THEN 'mixed' ELSE min(event_type) END AS mode FROM events GROUP BY 1")
 def execution_mix(spark, sf_dir):
-    return ledger.execution_mix(table(spark, sf_dir, "events").where("event_id % 30 = 0"), "user_id", "event_type")
+    return ledger.execution_mix(user_days(spark, sf_dir), "walk", "event_type")
 
 
 @query("SELECT source, count(DISTINCT lang)::BIGINT AS members FROM documents GROUP BY 1 HAVING count(DISTINCT lang) > 2")
