@@ -42,7 +42,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, materialise
+from .common import components, forget, materialise
 
 K = 5
 PICK = 4
@@ -354,7 +354,10 @@ def _bucketed(keyed: DataFrame) -> DataFrame:
 
 
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are similar, by alignment."""
+    """The pairs whose texts are similar, by alignment. The ids are written first, so that Spark knows
+    how few they are and need not shuffle the texts of all others."""
+    ids = materialise(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "omh-ids")
+    texts = texts.join(ids, "doc_id", "left_semi")
     both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
     return materialise(both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint"), "omh-links")
 
@@ -429,9 +432,11 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     reps = materialise(
         sketched.groupBy("h").agg(picked).where("r is not null").select("h", F.col("r.doc_id").alias("rep"), "r.n", "r.keys", "r.bag"), "omh-reps"
     )
+    copies = materialise(sketched.select("doc_id", "h"), "omh-copies")
+    forget(sketched)
     slim = reps.select("rep", "n", "bag")
     buckets = _bucketed(reps.select(F.explode("keys").alias("key"), "rep", "n"))
-    wanted = buckets.select(F.col("rep").alias("doc_id")).distinct()
+    wanted = materialise(buckets.select(F.col("rep").alias("doc_id")).distinct(), "omh-wanted")
     texts = materialise(rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
 
     met = buckets.where("rep <> low").groupBy("rep", "low").agg(F.count("*").alias("k"))
@@ -450,7 +455,7 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         buckets = _bucketed(_finer(large, texts, inside))
         inside = "key"
     by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))
-    return sketched.select("doc_id", "h"), materialise(by_text, "omh-classes")
+    return copies, materialise(by_text, "omh-classes")
 
 
 def classes(docs: DataFrame) -> DataFrame:
