@@ -87,6 +87,7 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
             break
     else:
         raise RuntimeError("components did not converge")
+    forget(both)
     return labels
 
 

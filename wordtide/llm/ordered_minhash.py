@@ -353,13 +353,21 @@ def _bucketed(keyed: DataFrame) -> DataFrame:
     return materialise(keyed.join(several, "key"), "omh-buckets")
 
 
+def _done(out: DataFrame, *tables: DataFrame) -> DataFrame:
+    """``out``, a written table, after the scratch tables that only it needed are deleted."""
+    for table in tables:
+        forget(table)
+    return out
+
+
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts are similar, by alignment. The ids are written first, so that Spark knows
     how few they are and need not shuffle the texts of all others."""
     ids = materialise(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "omh-ids")
     texts = texts.join(ids, "doc_id", "left_semi")
     both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
-    return materialise(both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint"), "omh-links")
+    links = both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint")
+    return _done(materialise(links, "omh-links"), ids, close)
 
 
 def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
@@ -389,14 +397,14 @@ def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
     """The rows of buckets that hold several components, with theirs."""
     rows = materialise(rows.drop("low").join(own, "rep"), "omh-own-rows")
     several = rows.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
-    return materialise(rows.join(several.select("key"), "key", "left_semi"), "omh-open")
+    return _done(materialise(rows.join(several.select("key"), "key", "left_semi"), "omh-open"), rows)
 
 
 def _small(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The similar pairs of different components in buckets of up to ``BLOCK`` rows."""
     rows = rows.select("key", "rep", "c").join(slim, "rep").repartition("key").sortWithinPartitions("key")
-    close = rows.mapInPandas(_close_blocks, "a bigint, b bigint")
-    return _checked(materialise(materialise(close, "omh-close").distinct(), "omh-close"), texts)
+    close = materialise(rows.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
+    return _checked(_done(materialise(close.distinct(), "omh-close"), close), texts)
 
 
 def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
@@ -411,7 +419,8 @@ def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
     dealt = dealt.join(texts.toDF("rep", "text"), "rep").join(hubs.drop("parts"), ["hub", "part"])
     dealt = dealt.select("seed", "hub", "rep", "n", "text", "hub_text")
     keyed = materialise(dealt.mapInPandas(_rest_rows, "rep bigint, n int, keys array<bigint>"), "omh-finer")
-    return keyed.select(F.explode("keys").alias("key"), "rep", "n").distinct()
+    fine = materialise(keyed.select(F.explode("keys").alias("key"), "rep", "n").distinct(), "omh-fine")
+    return _done(fine, keyed, pairs)
 
 
 def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -434,10 +443,12 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     )
     copies = materialise(sketched.select("doc_id", "h"), "omh-copies")
     forget(sketched)
-    slim = reps.select("rep", "n", "bag")
     buckets = _bucketed(reps.select(F.explode("keys").alias("key"), "rep", "n"))
+    reps = _done(materialise(reps.drop("keys"), "omh-reps"), reps)
+    slim = reps.select("rep", "n", "bag")
     wanted = materialise(buckets.select(F.col("rep").alias("doc_id")).distinct(), "omh-wanted")
     texts = materialise(rows.select("doc_id", "text").join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), "omh-texts")
+    forget(wanted)
 
     met = buckets.where("rep <> low").groupBy("rep", "low").agg(F.count("*").alias("k"))
     nearest = met.groupBy(F.col("rep").alias("b")).agg(F.max_by("low", F.struct("k", "low")).alias("a")).select("a", "b")
@@ -446,16 +457,17 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     own = materialise(own.select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
     inside = "hub"
     while True:
-        mixed = _split(buckets, own)
+        mixed = _done(_split(buckets, own), buckets)
         own = _joined(own, _lifted(_small(mixed.where(F.col("m") <= BLOCK), slim, texts), own))
         large = mixed.where(F.col("m") > BLOCK)
         if large.isEmpty():
             break
         large, own = _with_hubs(large, own, slim, texts)
-        buckets = _bucketed(_finer(large, texts, inside))
+        fine = _finer(large, texts, inside)
+        buckets = _done(_bucketed(fine), fine, large, mixed)
         inside = "key"
     by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))
-    return copies, materialise(by_text, "omh-classes")
+    return copies, _done(materialise(by_text, "omh-classes"), reps, texts, own)
 
 
 def classes(docs: DataFrame) -> DataFrame:
