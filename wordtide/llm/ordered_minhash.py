@@ -360,10 +360,15 @@ def _done(out: DataFrame, *tables: DataFrame) -> DataFrame:
     return out
 
 
+def _ends(pairs: DataFrame, name: str) -> DataFrame:
+    """The ids in ``pairs``, written, so that Spark knows how few they are: a semi-join with them
+    spares the shuffle of all other rows of a table."""
+    return materialise(pairs.select(F.col("a").alias(name)).union(pairs.select("b")).distinct(), "omh-ids")
+
+
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are similar, by alignment. The ids are written first, so that Spark knows
-    how few they are and need not shuffle the texts of all others."""
-    ids = materialise(close.select(F.col("a").alias("doc_id")).union(close.select("b")).distinct(), "omh-ids")
+    """The pairs whose texts are similar, by alignment."""
+    ids = _ends(close, "doc_id")
     texts = texts.join(ids, "doc_id", "left_semi")
     both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
     links = both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint")
@@ -372,12 +377,15 @@ def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
 
 def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts are similar, by word counts first and then by alignment."""
+    pairs = materialise(pairs, "omh-pairs")
+    ids = _ends(pairs, "rep")
+    slim = slim.join(ids, "rep", "left_semi")
     close = (
         pairs.join(slim.toDF("a", "n_a", "bag_a"), "a")
         .join(slim.toDF("b", "n_b", "bag_b"), "b")
         .mapInPandas(_bag_filter, "a bigint, b bigint")
     )
-    return _checked(materialise(close, "omh-close"), texts)
+    return _checked(_done(materialise(close, "omh-close"), pairs, ids), texts)
 
 
 def _lifted(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -402,9 +410,11 @@ def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
 
 def _small(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The similar pairs of different components in buckets of up to ``BLOCK`` rows."""
+    ids = materialise(rows.select("rep").distinct(), "omh-ids")
+    slim = slim.join(ids, "rep", "left_semi")
     rows = rows.select("key", "rep", "c").join(slim, "rep").repartition("key").sortWithinPartitions("key")
     close = materialise(rows.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
-    return _checked(_done(materialise(close.distinct(), "omh-close"), close), texts)
+    return _checked(_done(materialise(close.distinct(), "omh-close"), close, ids), texts)
 
 
 def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
