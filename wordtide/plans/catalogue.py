@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from wordtide.functions import text as T
 from wordtide.functions import vocab as V
-from wordtide.operators import audit, ledger, matching, names, pages, phrases, sampling, series
+from wordtide.operators import audit, ledger, lookups, matching, names, pages, phrases, sampling, series
 from wordtide.streaming import logs, pacing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -989,3 +989,110 @@ def body_totals(spark, sf_dir):
     """Bytes, bounds and distinct folded texts by source."""
     d = table(spark, sf_dir, "documents")
     return d.groupBy("source").agg(F.count("*").alias("pages"), F.sum(F.octet_length("text")).alias("body_bytes"), F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"), F.countDistinct(F.sha2(F.lower("text"), 256)).alias("phrases"))
+
+
+# ---- totals, lookups and guards -------------------------------------------------------------
+
+
+@query(f"""WITH {_RAW}, e AS (SELECT n, {_ERROR} AS e FROM nrm)
+SELECT count(*)::BIGINT AS raw, count(*) FILTER (WHERE e IS NULL)::BIGINT AS valid, count(DISTINCT n) FILTER (WHERE e IS NULL)::BIGINT AS unique,
+ (count(*) FILTER (WHERE e IS NULL) - count(DISTINCT n) FILTER (WHERE e IS NULL))::BIGINT AS duplicate, count(*) FILTER (WHERE e IS NOT NULL)::BIGINT AS invalid FROM e""")
+def list_totals(spark, sf_dir):
+    return lookups.run_totals(raw_lines(spark, sf_dir), T.domain_of(F.col("raw")), T.domain_error(F.col("raw")))
+
+
+@query(f"""WITH {_RAW}, d AS (SELECT DISTINCT coalesce({_ERROR}, 'valid') AS reason, sha256(coalesce(raw, '')) AS line_id FROM nrm)
+SELECT reason, line_id, row_number() OVER (PARTITION BY reason ORDER BY line_id)::INT AS position FROM d QUALIFY position <= 5""")
+def reason_examples(spark, sf_dir):
+    raw = F.col("raw")
+    rows = raw_lines(spark, sf_dir).select(F.coalesce(T.domain_error(raw), F.lit("valid")).alias("reason"), F.sha2(F.coalesce(raw, F.lit("")), 256).alias("line_id"))
+    return lookups.examples(rows, "reason", "line_id")
+
+
+@query("""WITH k AS (SELECT doc_id AS key FROM documents UNION SELECT doc_id FROM labels UNION SELECT conv_id FROM conversations)
+SELECT key, concat_ws(',', CASE WHEN key NOT IN (SELECT doc_id FROM documents) THEN 'selected' END, CASE WHEN key NOT IN (SELECT doc_id FROM labels) THEN 'probes' END,
+ CASE WHEN key NOT IN (SELECT conv_id FROM conversations) THEN 'reviews' END) AS missing FROM k""")
+def key_equality(spark, sf_dir):
+    key = lambda name, c: table(spark, sf_dir, name).select(c)
+    return lookups.missing_keys(selected=key("documents", "doc_id"), probes=key("labels", "doc_id"), reviews=key("conversations", "conv_id"))
+
+
+@query("""WITH w AS (SELECT doc_id, length(text) - length(replace(text, 'e', '')) + 1 AS line, string_split(text, chr(10)) AS lines FROM documents),
+v AS (SELECT doc_id, (line % 4 + 1)::INT AS line, lines FROM w) SELECT doc_id, line, lines[line] AS content FROM v WHERE line <= len(lines)""")
+def line_lookup(spark, sf_dir):
+    """The line that the number of letters e in a text points at."""
+    d = table(spark, sf_dir, "documents")
+    wanted = d.select("doc_id", ((F.length("text") - F.length(F.replace("text", F.lit("e"), F.lit(""))) + 1) % 4 + 1).cast("int").alias("line"))
+    return lookups.lines_at(d, wanted, "doc_id")
+
+
+@query(_ROOTS + """, h AS (SELECT DISTINCT unnest(texts) AS keyword, domain FROM r WHERE domain IS NOT NULL)
+SELECT keyword, domain, count(*) OVER (PARTITION BY keyword)::BIGINT AS of_keyword, count(*) OVER (PARTITION BY domain)::BIGINT AS of_domain FROM h""")
+def keyword_navigation(spark, sf_dir):
+    return lookups.navigation(root_hits(spark, sf_dir).select(F.explode("texts").alias("keyword"), "domain"), "keyword", "domain")
+
+
+_TERMS = """WITH w AS (SELECT doc_id, text, regexp_extract(text, '([A-Za-z]+)[^A-Za-z]+([A-Za-z]+)', 1) AS a, regexp_extract(text, '([A-Za-z]+)[^A-Za-z]+([A-Za-z]+)', 2) AS b,
+ regexp_extract(text, '([A-Za-z]+)[^A-Za-z]*$', 1) AS z FROM documents),
+t AS (SELECT doc_id, text, a AS keyword, 0 AS part FROM w UNION ALL SELECT doc_id, text, b, 0 FROM w UNION ALL SELECT doc_id, text, z, 0 FROM w WHERE length(z) > 8 UNION ALL SELECT doc_id, text, upper(b), 1 FROM w),
+s AS (SELECT *, contains(text, keyword) AS holds FROM t WHERE keyword <> '')
+"""
+
+
+def _terms(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    a, b, z = F.regexp_extract("text", PAIR, 1), F.regexp_extract("text", PAIR, 2), F.regexp_extract("text", r"([A-Za-z]+)[^A-Za-z]*$", 1)
+    row = lambda c, part: F.struct(c.alias("keyword"), c.alias("quote"), F.lit(part).alias("part"))
+    rows = d.select("doc_id", F.explode(F.array(row(a, 0), row(b, 0), row(F.when(F.length(z) > 8, z), 0), row(F.upper(b), 1))).alias("t"))
+    return lookups.quoted_terms(rows.select("doc_id", "t.*").where("keyword <> ''"), d, "doc_id")
+
+
+@query(_TERMS + """, f AS (SELECT lower(keyword) AS term_key, keyword, count(*) OVER (PARTITION BY lower(keyword))::BIGINT AS sources, row_number() OVER (PARTITION BY lower(keyword) ORDER BY part, doc_id, keyword) AS rn FROM s WHERE holds),
+n AS (SELECT lower(keyword) AS term_key, count(DISTINCT doc_id)::BIGINT AS domains FROM s WHERE holds GROUP BY 1)
+SELECT term_key, keyword, sources, domains FROM f JOIN n USING (term_key) WHERE rn = 1""")
+def merged_terms(spark, sf_dir):
+    return _terms(spark, sf_dir)[0]
+
+
+@query(_TERMS + """SELECT doc_id, 'quote_not_found' AS problem, count(*)::BIGINT AS n FROM s WHERE NOT holds GROUP BY 1
+UNION ALL SELECT doc_id, 'too_many_terms', count(*)::BIGINT FROM s WHERE part = 0 GROUP BY 1 HAVING count(*) > 2""")
+def term_evidence_problems(spark, sf_dir):
+    return _terms(spark, sf_dir)[1]
+
+
+@query("""WITH c AS (SELECT user_id, CAST(ts AS DATE) AS day, CASE WHEN count(*) FILTER (WHERE event_type = 'purchase') = 0 THEN 'no_data' WHEN count(*) FILTER (WHERE event_type = 'signup') > 1 THEN 'open' ELSE 'chart' END AS status,
+ max(props) FILTER (WHERE event_type = 'error') AS message, count(*) FILTER (WHERE event_type = 'view') AS points FROM events GROUP BY ALL)
+SELECT * FROM (SELECT user_id, day, CASE WHEN status = 'open' THEN 'unknown_status' WHEN status = 'no_data' AND trim(coalesce(message, '')) = '' THEN 'message_missing'
+ WHEN status = 'no_data' AND points > 0 THEN 'synthetic_series' END AS problem FROM c) WHERE problem IS NOT NULL""")
+def no_data_guard(spark, sf_dir):
+    of = lambda kind, c: F.when(F.col("event_type") == kind, c)
+    status = F.when(F.count(of("purchase", F.lit(1))) == 0, "no_data").when(F.count(of("signup", F.lit(1))) > 1, "open").otherwise("chart")
+    captures = table(spark, sf_dir, "events").groupBy("user_id", F.to_date("ts").alias("day")).agg(
+        status.alias("status"), F.max(of("error", F.col("props"))).alias("message"), F.count(of("view", F.lit(1))).alias("points")
+    )
+    problem = lookups.no_data_problem(F.col("status"), F.col("message"), F.col("points"))
+    return captures.select("user_id", "day", problem.alias("problem")).where("problem is not null")
+
+
+@query("""WITH l AS (SELECT user_id, ts, event_type, greatest(count(*) FILTER (WHERE event_type = 'click') OVER u - count(*) FILTER (WHERE event_type = 'view') OVER u, 0) AS pending,
+ row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rn, max(ts) OVER () AS now FROM events WINDOW u AS (PARTITION BY user_id))
+SELECT user_id, pending::BIGINT AS pending, CASE WHEN event_type IN ('purchase', 'view') AND pending = 0 THEN 'start' WHEN event_type = 'error' OR epoch_us(now) - epoch_us(ts) > 300000000 THEN 'pause' ELSE 'wait' END AS step FROM l WHERE rn = 1""")
+def stage_barrier(spark, sf_dir):
+    """Users as runs: the last event is the state, clicks without a view are pending."""
+    e = table(spark, sf_dir, "events")
+    kind = F.col("event_type")
+    runs = e.groupBy("user_id").agg(
+        F.max(F.struct("ts", "event_id", "event_type")).alias("last"),
+        F.greatest(F.count(F.when(kind == "click", 1)) - F.count(F.when(kind == "view", 1)), F.lit(0)).alias("pending"),
+    )
+    last = F.col("last.event_type")
+    status = F.when(last.isin("purchase", "view"), lookups.COMPLETE).when(last == "error", "interrupted").otherwise("running")
+    step = lookups.barrier(status, F.col("pending"), F.col("last.ts"), F.col("now"))
+    return runs.join(F.broadcast(e.agg(F.max("ts").alias("now")))).select("user_id", "pending", step.alias("step"))
+
+
+@query("""WITH v AS (SELECT user_id, event_type, count(*)::BIGINT AS n FROM events GROUP BY ALL)
+SELECT v.user_id, v.event_type, v.n, round(v.n / nullif(b.n, 0)::DOUBLE, 6) AS ratio FROM v LEFT JOIN v AS b ON b.user_id = v.user_id AND b.event_type = 'view'""")
+def same_chart_ratios(spark, sf_dir):
+    counts = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
+    return lookups.same_chart_ratio(counts, "user_id", "event_type", "n", "view").select("user_id", "event_type", "n", F.round("ratio", 6).alias("ratio"))
