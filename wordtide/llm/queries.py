@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, fingerprint, hostgraph, lattice, linecrf, mixing, ordered_minhash, pii, toxicity, warc
+from . import blob_ledger, bpe, fingerprint, hostgraph, lattice, linecrf, mixing, ordered_minhash, periodic, pii, toxicity, warc, whitening
 from .common import read_table
 
 #: The vocabulary is a parameter: a rank file and the pattern that splits text before its merges.
@@ -57,6 +57,18 @@ def op10_line_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linecrf.quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op11_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return blob_ledger.find(read_table(spark, sf_dir, "documents"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digests(periodic.find(periodic.with_planted_runs(read_table(spark, sf_dir, "documents"))))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(read_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe,
     "op2_lattice": op2_lattice,
@@ -68,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_filter": op8_url_filter,
     "op9_warc": op9_warc,
     "op10_line_crf": op10_line_crf,
+    "op11_blob_ledger": op11_blob_ledger,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_whitening": op13_whitening,
 }
 
 ORACLE_SQL: dict[str, str] = {
