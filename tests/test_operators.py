@@ -226,12 +226,46 @@ def test_background(spark):
     assert run(late) == "background_incomplete"
 
 
-def test_root_phrases():
-    roots = frozenset(V.ROOTS)
-    assert "font detector from image" in phrases.root_phrases("Font Detector From Image | Home", roots)
-    assert phrases.root_phrases("The best logo maker", roots) == ["logo maker"]
-    assert phrases.root_phrases("welcome to our site", roots) == [] and phrases.root_phrases(None, roots) == []
-    assert "online pdf editor" in phrases.root_phrases("Online PDF Editor", roots)
+def phrases_of(spark, texts, column):
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    return [r["p"] for r in df.select("i", column.alias("p")).orderBy("i").collect()]
+
+
+def test_root_phrases(spark):
+    texts = [
+        "Font Detector From Image | Home", "The best logo maker", "welcome to our site", None, "Online PDF Editor", "", "maker",
+        "logo\u00a0 maker", "Try it. The free c++ code-formatter's viewer, see x.com viewer", "a viewer of our easy-to-use 3d model viewer - online",
+        "one two three four five six seven eight viewer", "\x1clogo\x1c-\x1cmaker", "Kölner logo maker", "page sample for all the new users here", "\u212aelvin (k) converter",
+        "online", "maker maker maker", "maker online", "x " * 3000 + "maker", "LOGO MAKER|logo maker. logo  maker",
+    ]
+    got = phrases_of(spark, texts, phrases.root_phrases(F.col("t"), V.ROOTS))
+    assert got[0] == ["font detector", "font detector from image"]
+    assert got[1] == ["logo maker"] and got[2] == got[3] == got[5] == got[6] == got[11] == []
+    assert got[4] == ["online pdf editor", "pdf editor"] or "online pdf editor" in got[4]
+    assert got[7] == ["logo maker"]
+    assert got[8] == ["c++ code-formatter's viewer"]  # what names an address goes; code-formatter's is one word and no root
+    assert got[9] == ["easy-to-use 3d model viewer", "viewer of our easy-to-use 3d model viewer"]
+    assert got[10] == ["four five six seven eight viewer"]
+    assert got[12] == ["lner logo maker"] and got[13] == ["page sample", "page sample for all the new", "sample for all the new"] or "page sample for all the new" in got[13]
+    assert got[14] == ["elvin (k) converter"]
+    assert got[15] == got[16] == got[17] == []
+    assert got[18] == ["x x x x x maker"]
+    assert got[19] == ["logo maker"]
+
+
+def test_short_segments_and_their_union(spark):
+    texts = [
+        "Welcome | Fast PDF tool! see example.com now; 日本語のツール。無料で使える！x", "Contact Us: a_b c\u00b2 \u2022 logo maker", "one", None, "w " * 11 + "| " + "y" * 121,
+        "ab cd\u0085 - ef gh", "www.shop page | a https: //x, http://x y | a.comet tail | b.com!tail",
+    ]
+    got = phrases_of(spark, texts, phrases.short_segments(F.col("t")))
+    assert got[0] == ["Fast PDF tool", "日本語のツール", "無料で使える"]
+    assert got[1] == ["a_b c²", "logo maker"] and got[2] == got[3] == got[4] == []
+    assert got[5] == ["ab cd", "ef gh"] and got[6] == ["a https", "//x, http", "//x y", "a.comet tail"]
+    both = phrases_of(spark, ["Free Logo Maker | logo maker", "Logo Maker", None], phrases.literal_phrases(F.col("t"), V.ROOTS))
+    span, short = phrases.ROOT_SPAN, phrases.SHORT_SEGMENT
+    assert [tuple(x) for x in both[0]] == [("logo maker", short), ("Free Logo Maker", short)]
+    assert [tuple(x) for x in both[1]] == [("logo maker", span), ("Logo Maker", short)] and both[2] == []
 
 
 def test_fragments(spark):

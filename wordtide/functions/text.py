@@ -13,6 +13,18 @@ SEED = "wordtide-1"
 _TRIM = r"^[\s 　]+|[\s 　]+$"
 
 
+#: Letters whose folded form is not their small letter. Fixed values, with what they become.
+FOLDED = (("ß", "ss"), ("ſ", "s"), ("ﬀ", "ff"), ("ﬁ", "fi"), ("ﬂ", "fl"), ("ﬃ", "ffi"), ("ﬄ", "ffl"), ("ﬅ", "st"), ("ﬆ", "st"))
+
+
+def folded(c: Column) -> Column:
+    """Case folded, as far as the result may be ASCII."""
+    c = F.lower(c)
+    for letter, plain in FOLDED:
+        c = F.replace(c, F.lit(letter), F.lit(plain))
+    return c
+
+
 def canonical(c: Column) -> Column:
     """Unicode white space to single spaces, stripped, case folded (with ß as ss)."""
     return F.replace(F.lower(F.trim(F.regexp_replace(c, r"(?U)\s+", " "))), F.lit("ß"), F.lit("ss"))

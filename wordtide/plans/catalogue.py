@@ -689,18 +689,60 @@ def page_fragments(spark, sf_dir):
     return phrases.page_fragments(f, "page_id", [("h1", "h1"), ("title", "title"), ("description", "description")])
 
 
-@query("""WITH s AS (SELECT doc_id, unnest(regexp_split_to_array(regexp_replace(text, '[^\\x00-\\x7F]', 'x', 'g'), '[|:;!?\\n\\r]|\\s[-]\\s|\\.\\s|\\.$')) AS raw FROM documents),
-c AS (SELECT doc_id, trim(regexp_replace(raw, '\\s+', ' ', 'g')) AS seg FROM s)
-SELECT DISTINCT doc_id, lower(seg) AS phrase FROM c WHERE len(string_split(seg, ' ')) BETWEEN 2 AND 10 AND length(seg) BETWEEN 4 AND 120 AND NOT regexp_matches(lower(seg), 'https?://|www\\.') AND lower(seg) NOT IN ('home', 'homepage', 'welcome', 'about us', 'contact us', 'sign in', 'log in', 'login', 'privacy policy', 'terms of service')""")
+PHRASE_ROOTS = ("and", "the", "inan", "with")
+
+
+def _sql_list(words) -> str:
+    return ", ".join("'" + w + "'" for w in words)
+
+
+#: Segments of a text; a dot ends one only before white space, which stays.
+_SEGS = r"string_split(regexp_replace(regexp_replace(coalesce({t}, ''), '\.(\s|$)', '|\1', 'g'), '[|:;!?\n\r•{wide}]|\s[-–—]\s', '|', 'g'), '|')"
+_SHORT = (
+    r"SELECT {k}, sid, seg, regexp_replace(seg, '^\s+|\s+$', '', 'g') AS phrase FROM (SELECT {k}, unnest(g) AS seg, generate_subscripts(g, 1) AS sid FROM (SELECT {k}, "
+    + _SEGS.replace("{wide}", "。！？")
+    + r" AS g FROM {rows}))"
+)
+_SHORT_GOOD = (
+    r"length(phrase) BETWEEN 4 AND 120 AND (len(regexp_extract_all(phrase, '[\p{L}\p{N}_]+')) BETWEEN 2 AND 10 OR (regexp_matches(phrase, '[^\x00-\x7F]') AND length(phrase) BETWEEN 4 AND 60))"
+    r" AND lower(regexp_replace(phrase, '\s+', ' ', 'g')) NOT IN (" + _sql_list(V.SHELL_PHRASES) + r") AND NOT regexp_matches(phrase, '(?i)https?://|www\.|\.(?:com|net|org)\b')"
+)
+_ROOT_SPANS = (
+    r"""WITH s AS (SELECT doc_id, unnest(g) AS seg, generate_subscripts(g, 1) AS sid FROM (SELECT doc_id, """
+    + _SEGS.format(t="text", wide="")
+    + r""" AS g FROM documents)),
+t AS (SELECT doc_id, sid, regexp_extract_all(seg, '{tok}') AS toks, regexp_split_to_array(seg, '{tok}') AS gaps FROM s WHERE regexp_matches(seg, '(?i)(^|[^A-Za-z0-9])({roots})([^A-Za-z0-9]|$)')),
+w AS (SELECT *, lower(tok) AS low, lower(tok) IN ({stop}) AS stop, lower(tok) IN ({known}) AS root FROM (SELECT doc_id, sid, unnest(toks) AS tok, unnest(gaps[1:len(toks)]) AS gap, generate_subscripts(toks, 1) AS i FROM t)),
+c AS (SELECT h.i AS hit, x.*, coalesce(max(x.i) FILTER (WHERE x.i < h.i AND x.low IN ({boundary})) OVER (PARTITION BY h.doc_id, h.sid, h.i), 0) AS cut FROM w h JOIN w x ON h.doc_id = x.doc_id AND h.sid = x.sid AND h.root
+  AND x.i BETWEEN h.i - 5 AND CASE WHEN h.i = 1 OR h.low IN ({right}) THEN h.i + 3 ELSE h.i END UNION ALL SELECT 0, w.*, 0 FROM w),
+l AS (SELECT *, min(i) FILTER (WHERE NOT stop) OVER (PARTITION BY doc_id, sid, hit) AS lo, max(i) FILTER (WHERE NOT stop) OVER (PARTITION BY doc_id, sid, hit) AS hi FROM c WHERE i > cut),
+p AS (SELECT doc_id, lower(regexp_replace(string_agg(CASE WHEN i = lo THEN tok ELSE gap || tok END, '' ORDER BY i), '\s+', ' ', 'g')) AS phrase FROM l WHERE i BETWEEN lo AND hi GROUP BY doc_id, sid, hit
+  HAVING count(*) BETWEEN 2 AND 7 AND CASE WHEN hit = 0 THEN bool_or(root) AND bool_or(NOT stop AND NOT root) ELSE bool_or(NOT stop AND NOT root AND low <> 'online') END),
+r AS (SELECT DISTINCT doc_id, phrase FROM p WHERE length(phrase) BETWEEN 4 AND 80 AND regexp_full_match(phrase, '[a-z0-9+'' &/().-]+') AND NOT regexp_matches(phrase, 'https?://|www\.|\.(com|net|org)\b'))"""
+    .replace("{tok}", "[A-Za-z0-9]+(?:[+''-][A-Za-z0-9]+)*").replace("{roots}", "|".join(PHRASE_ROOTS)).replace("{stop}", _sql_list(V.STOP_WORDS))
+    .replace("{known}", _sql_list(PHRASE_ROOTS)).replace("{boundary}", _sql_list(V.BOUNDARY_WORDS)).replace("{right}", _sql_list(V.RIGHT_EXTENDING))
+)
+
+
+@query("SELECT DISTINCT doc_id, phrase FROM (" + _SHORT.replace("{k}", "doc_id").replace("{t}", "text").replace("{rows}", "documents") + ") WHERE " + _SHORT_GOOD)
 def literal_segments(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select("doc_id", F.regexp_replace("text", r"[^\x00-\x7F]", "x").alias("t"))
-    return phrases.literal_segments(d, "doc_id", "t")
+    return phrases.literal_segments(table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query()
+@query(_ROOT_SPANS + " SELECT doc_id, phrase FROM r")
 def literal_root_phrases(spark, sf_dir):
     d = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return phrases.with_root_phrases(d, "text", ("and", "the", "inan", "with")).select("doc_id", F.explode("phrases").alias("phrase"))
+    return d.select("doc_id", F.explode(phrases.root_phrases(F.col("text"), PHRASE_ROOTS)).alias("phrase"))
+
+
+@query(
+    _ROOT_SPANS + ", b AS (SELECT DISTINCT doc_id, phrase FROM (" + _SHORT.replace("{k}", "doc_id").replace("{t}", "text").replace("{rows}", "documents") + ") WHERE " + _SHORT_GOOD
+    + ") SELECT doc_id, phrase, 'short_literal_segment' AS method FROM b UNION ALL SELECT doc_id, phrase, 'literal_root_span' FROM r WHERE (doc_id, phrase) NOT IN (SELECT (doc_id, phrase) FROM b)"
+)
+def literal_phrases(spark, sf_dir):
+    """Both forms of literal phrases, each with the method that found it."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return d.select("doc_id", F.explode(phrases.literal_phrases(F.col("text"), PHRASE_ROOTS)).alias("p")).select("doc_id", "p.phrase", "p.method")
 
 
 _EVID = """WITH w AS (SELECT page_id, lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)) AS domain, page_id % 2 = 0 AS ok,
