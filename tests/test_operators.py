@@ -246,7 +246,7 @@ def test_root_phrases(spark):
     assert got[8] == ["c++ code-formatter's viewer"]  # what names an address goes; code-formatter's is one word and no root
     assert got[9] == ["easy-to-use 3d model viewer", "viewer of our easy-to-use 3d model viewer"]
     assert got[10] == ["four five six seven eight viewer"]
-    assert got[12] == ["lner logo maker"] and got[13] == ["page sample", "page sample for all the new", "sample for all the new"] or "page sample for all the new" in got[13]
+    assert got[12] == [] and got[13] == ["page sample for all"]
     assert got[14] == ["elvin (k) converter"]
     assert got[15] == got[16] == got[17] == []
     assert got[18] == ["x x x x x maker"]
