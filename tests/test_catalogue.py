@@ -55,9 +55,3 @@ def test_entry(spark):
 
     assert __spark_entry__.entry(spark).count() > 0
     assert set(__spark_entry__.oracle_sql()) <= set(__spark_entry__.queries())
-
-
-def test_lexicon_above_its_bound_fails(spark, monkeypatch):
-    monkeypatch.setattr(catalogue, "MOST_WORDS", 10)
-    with pytest.raises(ValueError, match="more than 10 words"):
-        catalogue.QUERIES["name_segments"](spark, DATA)

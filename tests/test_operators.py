@@ -54,18 +54,23 @@ def test_channels(spark):
                                        "unrestricted_exploration", "unrestricted_exploration" if "agent" not in "magento" else "legacy_terms", "unrestricted_exploration"]
 
 
-def test_segments():
-    lexicon = frozenset("note book notebook keeper map maker".split())
-    assert names.segment("notebook", lexicon) == ["notebook"]
-    assert names.segment("mapmaker", lexicon) == ["map", "maker"]
-    assert names.segment("notekeeper", lexicon) == ["note", "keeper"]
-    assert names.segment("mapx", lexicon) is None and names.segment("xyzxyz", lexicon) is None
-    assert names.lexical_parts("map-maker", lexicon) == ["map", "maker"]
-    assert names.lexical_parts("map-", lexicon) is None
+def test_segments(spark):
+    lexicon = spark.createDataFrame([(w,) for w in "note book notebook keeper map maker ab aaa aaaa bcd aab cd".split()], "word string")
+    want = {
+        "notebook": ["notebook"], "mapmaker": ["map", "maker"], "notekeeper": ["note", "keeper"], "mapx": None, "xyzxyz": None, "map-maker": ["map", "maker"], "map-": None,
+        "-map": None, "map--maker": None, "map": ["map"], "ab": None, "": None, None: None, "note-book-map-map-map": ["note", "book", "map", "map", "map"],
+        "notebook-map-map-map-map": ["notebook", "map", "map", "map", "map"], "mapmapmapmapmapmap": None, "aaaaaaa": ["aaa", "aaaa"], "aaabcd": ["aaa", "bcd"], "no-te": None,
+    }
+    rows = spark.createDataFrame([(n, 1) for n in want] + [("map", 2)], "name string, n int")
+    got = names.with_segments(rows, lexicon).collect()
+    assert len(got) == len(want) + 1 and {r["name"]: r["segments"] for r in got} == want
+    assert names.with_segments(rows, lexicon.where("false")).where("segments is not null").count() == 0
+    forms = names.with_segments(spark.createDataFrame([("map-4-maker",), ("map2",)], "name string"), lexicon, names.lexical_form(F.col("name"))).collect()
+    assert {r["name"]: r["segments"] for r in forms} == {"map-4-maker": ["map", "maker"], "map2": ["map"]}
 
 
 def test_name_paths(spark):
-    given = [("solar", None, "short_abbreviation"), ("notekeeper", ["note", "keeper"], "dictionary_segments"), ("lumora", None, "readable_coinage"), ("xn--abc", None, None),
+    given = [("solar", None, "short_abbreviation"), ("lumora42", None, "alphanumeric_exploration"), ("xqzvbnkl4", ["some"], "alphanumeric_exploration"), ("a-1-b", None, "alphanumeric_exploration"), ("xqzvbnkl4w", None, None), ("notekeeper", ["note", "keeper"], "dictionary_segments"), ("lumora", None, "readable_coinage"), ("xn--abc", None, None),
              ("aaaab", None, None), ("a--b", None, None), ("12345", None, None), ("bcdfghjk", None, None)]
     df = names.classify_name(spark.createDataFrame([(n, s) for n, s, _ in given], "name string, segments array<string>"))
     got = {r["name"]: r for r in df.collect()}

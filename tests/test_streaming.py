@@ -3,7 +3,9 @@
 from datetime import UTC, datetime, timedelta
 
 import pandas as pd
+from pyspark.sql import functions as F
 
+from wordtide.functions import text as T
 from wordtide.streaming import logs, pacing
 
 START = datetime(2026, 9, 28, 15, tzinfo=UTC)
@@ -36,10 +38,18 @@ def test_healthy_reset():
     assert p.level == 0 and p.healthy == 6
 
 
-def test_retry_deadline():
-    assert pacing.retry_deadline("60", START) == START + timedelta(seconds=60)
-    assert pacing.retry_deadline("-5", START) == START and pacing.retry_deadline("soon", START) == START and pacing.retry_deadline(None, START) == START
-    assert pacing.retry_deadline("Mon, 28 Sep 2026 16:00:00 GMT", START) == START + timedelta(hours=1)
+def test_retry_at(spark):
+    texts = ["60", "-5", "soon", None, "", " 60 ", "Mon, 28 Sep 2026 16:00:00 GMT", "28 Sep 2026 18:00:00 +0200", "Mon, 28 Sep 2026 14:00:00 GMT", "28-SEP-2026 17:00:00", "99999999999999", "31 Feb 2026 10:00:00 GMT", "1e3"]
+    df = spark.createDataFrame([(i, t, START) for i, t in enumerate(texts)], "i int, v string, at timestamp")
+    got = [r["s"] for r in df.select("i", (F.unix_timestamp(T.retry_at(F.col("v"), F.col("at"))) - F.unix_timestamp("at")).alias("s")).orderBy("i").collect()]
+    assert got == [60, 0, 0, 0, 0, 60, 3600, 3600, 0, 7200, 3_155_760_000, 0, 0]
+
+
+def test_a_pace_waits_for_the_later_of_both():
+    p = pacing.Pace()
+    assert p.apply("resume", START, START + timedelta(hours=2)) == "resumed" and p.status == "cooldown" and p.due == START + timedelta(hours=2)
+    p.apply("cooldown", START, START + timedelta(days=3))
+    assert p.due == START + timedelta(days=3)
 
 
 SCHEMA = "root string, at timestamp, op string, retry_after string, seq bigint"

@@ -138,6 +138,18 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def retry_at(value: Column, now: Column) -> Column:
+    """When a request may be repeated, by a Retry-After value: seconds from now (a century at most) or an HTTP date,
+    which without a zone is UTC. Never before now; what cannot be read means now."""
+    seconds = F.least(F.greatest(F.trim(value).try_cast("bigint"), F.lit(0)), F.lit(3_155_760_000))
+    parts = r"(?i)^\s*(?:[a-z]+,?\s+)?(\d{1,2})[ -]([a-z]{3})[a-z]*[ -](\d{4})\s+(\d{2}:\d{2}:\d{2})\s*(?:gmt|utc|ut|z)?\s*([+-]\d{4})?\s*$"
+    group = lambda i: F.regexp_extract(value, parts, i)
+    zone = F.when(group(5) == "", "+0000").otherwise(group(5))
+    said = F.concat_ws(" ", group(1), F.initcap(group(2)), group(3), group(4), zone)
+    date = F.when(value.rlike(parts), F.try_to_timestamp(said, F.lit("d MMM yyyy HH:mm:ss xx")))
+    return F.greatest(now, F.timestamp_add("SECOND", seconds, now), date)
+
+
 def content_type_base(c: Column) -> Column:
     return F.lower(F.trim(F.substring_index(c, ";", 1)))
 

@@ -27,8 +27,6 @@ CORPUS_ROOTS = ("tion", "ther", "and", "the", "en", "her", "ment", "keit", "que"
 BROAD = ("en", "the")
 TLDS = ("com", "net", "org", "ai", "io", "co", "xyz")
 SEED = T.SEED
-#: Most words of the segmentation lexicon, which is collected and sent to the tasks.
-MOST_WORDS = 20_000
 
 
 def query(sql: str | None = None):
@@ -400,6 +398,11 @@ def channel_boundaries(spark, sf_dir):
     return sampling.boundaries(_sample(spark, sf_dir), "channel", "domain")
 
 
+#: All ways to make up the forms f, and the best of each.
+_WAYS = """lx AS (SELECT DISTINCT unnest(regexp_extract_all(lower(text), '[a-z]{3,}')) AS w FROM benchmark), pc AS (SELECT w, 1 AS cost FROM lx UNION ALL SELECT '-', 0),
+ways AS (SELECT form, 0 AS pos, 0 AS n, []::VARCHAR[] AS words FROM f WHERE form <> '' AND NOT regexp_matches(form, '^-|-$|--')
+ UNION ALL SELECT form, pos + length(w)::INT, n + cost, CASE WHEN cost = 1 THEN list_append(words, w) ELSE words END FROM ways JOIN pc ON substr(form, pos + 1, length(w)) = w AND n + cost <= 5 AND (cost = 1 OR pos > 0)),
+best AS (SELECT form, words FROM ways WHERE pos = length(form) QUALIFY row_number() OVER (PARTITION BY form ORDER BY n, words) = 1)"""
 _GROUPED = f"""WITH {_NAMES}, g AS (SELECT n.*, CASE WHEN tld IN ('com', 'net', 'org') THEN 'traditional' WHEN tld IN ('ai', 'io', 'app', 'dev', 'tech') THEN 'product_technology' WHEN tld IN ('co', 'me', 'cc', 'tv') THEN 'other_common' ELSE 'remaining' END AS suffix_group,
  doc_id IN (SELECT doc_id FROM labels) AS probed FROM names n)"""
 
@@ -415,18 +418,24 @@ def anti_probed(spark, sf_dir):
     return derived_names(spark, sf_dir).join(done, "doc_id", "left_anti").select("doc_id", "domain")
 
 
-_P3 = _GROUPED + """, c AS (SELECT *, regexp_replace(name, '[^a-z]', '', 'g') AS lt, length(regexp_replace(name, '[^0-9]', '', 'g')) AS dg, replace(name, '-', '') AS bare FROM g),
+_P3 = _GROUPED.replace("WITH", "WITH RECURSIVE", 1) + """, lf AS (SELECT *, CASE WHEN regexp_matches(name, '[0-9]') THEN regexp_replace(name, '[0-9-]', '', 'g') ELSE name END AS lex FROM g), f AS (SELECT DISTINCT lex AS form FROM lf),
+""" + _WAYS + """, c AS (SELECT lf.*, best.words IS NOT NULL AS seg, regexp_replace(name, '[^a-z]', '', 'g') AS lt, length(regexp_replace(name, '[^0-9]', '', 'g')) AS dg, replace(name, '-', '') AS bare FROM lf LEFT JOIN best ON lf.lex = best.form),
 rd AS (SELECT *, {a} AS rl, {b} AS rn FROM c),
 x AS (SELECT *, CASE WHEN starts_with(name, 'xn--') THEN 'encoded_idn' WHEN length(name) NOT BETWEEN 2 AND 32 THEN 'length' WHEN length(regexp_replace(name, '[^-]', '', 'g')) > 2 OR contains(name, '--') THEN 'hyphens'
- WHEN regexp_matches(name, '^[0-9-]+$') THEN 'numeric_only' WHEN regexp_matches(name, '{runs}') THEN 'repeated_characters' WHEN dg > 2 OR dg / length(name)::DOUBLE > 0.4::DOUBLE THEN 'many_digits' WHEN dg > 0 AND length(name) > 16 THEN 'long_name_with_digits'
- WHEN dg > 0 AND NOT (rl OR length(lt) BETWEEN 2 AND 5) THEN 'unreadable_with_digits' END AS e FROM rd),
-n3 AS (SELECT *, CASE WHEN e IS NOT NULL THEN NULL WHEN length(name) BETWEEN 2 AND 5 AND NOT contains(name, '-') THEN 'short_abbreviation' WHEN rn OR dg > 0 THEN 'readable_coinage' END AS path FROM x)"""
+ WHEN regexp_matches(name, '^[0-9-]+$') THEN 'numeric_only' WHEN regexp_matches(name, '{runs}') THEN 'repeated_characters' WHEN dg > 2 OR dg / length(bare)::DOUBLE > 0.4::DOUBLE THEN 'many_digits' WHEN dg > 0 AND length(name) > 16 THEN 'long_name_with_digits'
+ WHEN dg > 0 AND NOT (seg OR rl OR length(lt) BETWEEN 2 AND 5) THEN 'unreadable_with_digits' END AS e FROM rd),
+n3 AS (SELECT *, CASE WHEN e IS NOT NULL THEN NULL WHEN dg > 0 THEN 'alphanumeric_exploration' WHEN seg THEN 'dictionary_segments' WHEN length(name) BETWEEN 2 AND 5 AND NOT contains(name, '-') THEN 'short_abbreviation' WHEN rn THEN 'readable_coinage' END AS path FROM x)"""
 _READ = lambda c, n: f"coalesce(regexp_matches({c}, '^[a-z]{{5,20}}$') AND length(regexp_replace({c}, '[^aeiouy]', '', 'g')) / nullif(length({c}), 0)::DOUBLE BETWEEN 0.2::DOUBLE AND 0.7::DOUBLE AND NOT regexp_matches({c}, '[^aeiouy]{{5}}') AND NOT regexp_matches({c}, '[aeiouy]{{4}}') AND NOT regexp_matches('-' || {n} || '-', '-.?-'), false)"
 _P3 = _P3.replace("{a}", _READ("lt", "lt")).replace("{b}", _READ("bare", "name")).replace("{runs}", "|".join(f"{c}{{4}}" for c in "abcdefghijklmnopqrstuvwxyz0123456789-"))
 
 
+def lexicon(spark, sf_dir):
+    """The words of three letters or more of the benchmark's texts."""
+    return table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), 0)).alias("word"))
+
+
 def classified(spark, sf_dir):
-    n = derived_names(spark, sf_dir).withColumn("segments", F.lit(None).cast("array<string>"))
+    n = names.with_segments(derived_names(spark, sf_dir), lexicon(spark, sf_dir), names.lexical_form(F.col("name")))
     done = table(spark, sf_dir, "labels").select("doc_id").distinct().withColumn("previously_probed", F.lit(True))
     n = n.join(done, "doc_id", "left").withColumn("previously_probed", F.coalesce("previously_probed", F.lit(False)))
     return names.classify_name(n)
@@ -447,15 +456,10 @@ def tld_path_counts(spark, sf_dir):
     return audit.histogram(classified(spark, sf_dir), "tld", "path")
 
 
-@query()
+@query(f"WITH RECURSIVE {_NAMES}, f AS (SELECT DISTINCT name AS form FROM names), " + _WAYS + " SELECT n.doc_id, n.name, array_to_string(b.words, '|') AS segments FROM names n LEFT JOIN best b ON n.name = b.form")
 def name_segments(spark, sf_dir):
-    """Dictionary segmentation; the lexicon is the fixed benchmark table's words of 3 letters or more
-    (a table whose size does not follow the input)."""
-    words = table(spark, sf_dir, "benchmark").select(F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), 0)).alias("w")).distinct()
-    lexicon = [r["w"] for r in words.orderBy("w").limit(MOST_WORDS + 1).collect()]
-    if len(lexicon) > MOST_WORDS:
-        raise ValueError(f"the lexicon has more than {MOST_WORDS} words")
-    return names.with_segments(derived_names(spark, sf_dir), lexicon).select("doc_id", "name", F.array_join("segments", "|").alias("segments"))
+    """Names as words of the lexicon."""
+    return names.with_segments(derived_names(spark, sf_dir), lexicon(spark, sf_dir)).select("doc_id", "name", F.array_join("segments", "|").alias("segments"))
 
 
 # ---- matching -------------------------------------------------------------------------------
@@ -601,6 +605,15 @@ def pacing_replay(spark, sf_dir):
     return pacing.replay(log)
 
 
+@query("""SELECT event_id, greatest(ts, CASE event_type WHEN 'click' THEN ts + to_seconds(greatest(floor(value)::BIGINT, 0)) WHEN 'view' THEN date_trunc('second', ts) + INTERVAL 2 MINUTE ELSE ts END) AS retry_at FROM events""")
+def retry_times(spark, sf_dir):
+    """Retry-After values made of the events: seconds, dates and others."""
+    e = table(spark, sf_dir, "events")
+    said = F.date_format(F.date_trunc("second", "ts") + F.expr("INTERVAL 2 MINUTES"), "EEE, dd MMM yyyy HH:mm:ss 'GMT'")
+    value = F.when(F.col("event_type") == "click", F.floor("value").cast("string")).when(F.col("event_type") == "view", said).when(F.col("event_type") == "error", "later")
+    return e.select("event_id", T.retry_at(value, F.col("ts")).alias("retry_at"))
+
+
 @query("""WITH g AS (SELECT o_orderkey, o_orderdate AS at_ts, TIMESTAMP '1998-01-01' AS ref FROM orders) SELECT o_orderkey, CASE WHEN at_ts IS NULL OR at_ts > ref THEN 'unknown' WHEN epoch(ref) - epoch(at_ts) <= 90 * 86400 THEN 'verified_recent' ELSE 'verified_old' END AS status FROM g""")
 def registration_status(spark, sf_dir):
     o = table(spark, sf_dir, "orders")
