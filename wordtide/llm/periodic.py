@@ -39,6 +39,11 @@ _RUN = pa.struct([("start", pa.int64()), ("length", pa.int64()), ("period", pa.i
 _ROWS_A_BATCH = 512
 
 
+def _between(cuts: list[int], start: int, stop: int) -> list[tuple[int, int]]:
+    """The pieces of a segment between cuts that are long enough for a run."""
+    return [(a + 1, b) for a, b in zip([start - 1, *cuts], [*cuts, stop], strict=True) if b - a - 1 >= SHORTEST]
+
+
 def surviving(words: np.ndarray) -> list[tuple[int, int]]:
     """Segments of at least SHORTEST words in which every word occurs TIMES times or more."""
     n = len(words)
@@ -46,32 +51,30 @@ def surviving(words: np.ndarray) -> list[tuple[int, int]]:
         return []
     order = np.argsort(words, kind="stable")
     first = np.searchsorted(words[order], np.arange(int(words.max()) + 2))
-    text = words.tolist()
 
     def places(word: int, start: int, stop: int) -> list[int]:
         at = order[first[word] : first[word + 1]]
         return at[np.searchsorted(at, start) : np.searchsorted(at, stop)].tolist()
 
-    counts = Counter(text)
-    todo, kept = [(0, n, counts, counts.keys())], []
+    todo, kept = [(0, n, None, None)], []  # the last two: counts that are known already, and words whose count has changed
     while todo:
         start, stop, counts, doubtful = todo.pop()
-        rare = [w for w in doubtful if 0 < counts[w] < TIMES]
-        if not rare:
+        if counts is None:
+            values, which, numbers = np.unique(words[start:stop], return_inverse=True, return_counts=True)
+            cuts = (np.flatnonzero(numbers[which] < TIMES) + start).tolist()
+        else:
+            cuts = sorted(p for w in doubtful if 0 < counts[w] < TIMES for p in places(w, start, stop))
+        if not cuts:
             kept.append((start, stop))
             continue
-        cuts = sorted(p for w in rare for p in places(w, start, stop))
-        pieces = [(a + 1, b) for a, b in zip([start - 1, *cuts], [*cuts, stop], strict=True) if b - a - 1 >= SHORTEST]
-        if not pieces:
-            continue
-        large = max(pieces, key=lambda x: x[1] - x[0])
-        for piece in pieces:
-            if piece is not large or 2 * (piece[1] - piece[0]) < stop - start:
-                own = Counter(text[slice(*piece)])
-                todo.append((*piece, own, own.keys()))
-        if 2 * (large[1] - large[0]) >= stop - start:
-            gone = Counter(text[start : large[0]])
-            gone.update(text[large[1] : stop])
+        pieces = _between(cuts, start, stop)
+        large = max(pieces, key=lambda x: x[1] - x[0], default=(stop, stop))
+        inherits = 2 * (large[1] - large[0]) >= stop - start
+        todo += [(*piece, None, None) for piece in pieces if piece is not large or not inherits]
+        if inherits:
+            counts = Counter(dict(zip(values.tolist(), numbers.tolist(), strict=True))) if counts is None else counts
+            gone = Counter(words[start : large[0]].tolist())
+            gone.update(words[large[1] : stop].tolist())
             counts.subtract(gone)
             todo.append((*large, counts, gone.keys()))
     return sorted(kept)
@@ -144,18 +147,21 @@ def scan(words: np.ndarray) -> list[tuple[int, int, int]]:
 
 def runs_of(words: list[bytes]) -> list[tuple[int, int, int]]:
     """Every run (start, length, period) of a text's words, by start and period."""
-    if len(words) < SHORTEST:
-        return []
-    names: dict[bytes, int] = {}
-    ids = np.fromiter((names.setdefault(w, len(names)) for w in words), np.int64, len(words))
+    counts = Counter(words)  # the first split, on the words themselves: most texts end here
     out = []
-    for a, b in surviving(ids):
-        for c, d in recurring(ids[a:b]):
-            out += [(a + c + start, length, q) for start, length, q in scan(ids[a + c : a + d])]
+    for start, stop in _between([i for i, w in enumerate(words) if counts[w] < TIMES], 0, len(words)):
+        names: dict[bytes, int] = {}
+        ids = np.fromiter((names.setdefault(w, len(names)) for w in words[start:stop]), np.int64, stop - start)
+        for a, b in surviving(ids):
+            for c, d in recurring(ids[a:b]):
+                at = start + a + c
+                out += [(at + begin, length, q) for begin, length, q in scan(ids[a + c : a + d])]
     return sorted(out, key=lambda r: (r[0], r[2]))
 
 
 def _collapsed(words: list[bytes], runs: list[tuple[int, int, int]]) -> bytes:
+    if not runs:
+        return b" ".join(words)
     depth = np.zeros(len(words) + 1, np.int64)
     for start, length, q in runs:
         depth[start + q] += 1
