@@ -68,6 +68,30 @@ PROBE_SOFT_ERROR = r"\bpage (?:was )?not found\b|^(?:not found|404 error|404(?:\
 PROBE_CHALLENGE = (
     r"^(?:just a moment|access denied|attention required|verify you are human|checking your browser|security verification|please wait)"
 )
+# Headings that a later review corrects, as whole texts: (pattern, decision, reason), in the order in which they count.
+REVIEW_RULES = (
+    (r"security check|client challenge|confirm you are human|verify you are human|robot or human\??", "recheck", "review_challenge"),
+    (
+        r"namecheap parking page|parked domain name on hostinger dns system|domain registered at whc\.ca|domain parking|"
+        r"(?:[a-z0-9.-]+\.[a-z]{2,}) (?:is )?for sale(?:\s*[|–—].*)?",
+        "skip", "review_parking",
+    ),
+    (
+        r"coming soon[.!…]*|launching soon[.!…]*|site en construction|domain default page|site is created successfully!|"
+        r"новый сайт успешно создан и готов к работе|エックスサーバー サーバー初期ページ|webcake\s*[|]\s*chưa xuất bản|"
+        r"sorry, the website has been stopped|website is online|.*\s[–—-]\scoming soon|website [a-z0-9.-]+ is ready\. the content is to be added",
+        "skip", "review_placeholder",
+    ),
+)
+# Phrases that promote instead of naming a use.
+MARKETING = (
+    r"\b(?:complete guide|ultimate guide|essential guide|your guide|grow organic traffic|boosting online visibility|"
+    r"maximizing online visibility|unlocking|grow your|boost your|our online|your online|toggle menu|sign up|sign in|log in|contact us|"
+    r"cookie policy|privacy policy|terms of service)\b"
+)
+GENERIC_TERMS = (
+    "online presence", "online visibility", "authority online", "online success", "online experience", "online business", "online journey", "online world",
+)
 # Thresholds.
 THIN_TEXT, SHORT_TEXT, PARKED_TEXT = 160, 800, 1200
 FIELD_CAPS = {"title": 600, "description": 1500, "og_description": 1500, "h1": 600, "visible_text": 3000}

@@ -7,18 +7,15 @@ stand in for the English word lists, which hardly occur in invented prose.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wordtide.functions import text as T
 from wordtide.functions import vocab as V
 from wordtide.operators import audit, ledger, lookups, matching, names, pages, phrases, sampling, series
+from wordtide.plans.registry import ORACLE_SQL, QUERIES, query, table  # noqa: F401  the registry, by either name
 from wordtide.streaming import logs, pacing
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE_SQL: dict[str, str] = {}
 FLAGSHIP = "growth_rule_by_user"
 
 LEGACY = ("and", "tion", "ver")
@@ -29,20 +26,6 @@ TLDS = ("com", "net", "org", "ai", "io", "co", "xyz")
 SEED = T.SEED
 
 
-def query(sql: str | None = None):
-    def add(f):
-        QUERIES[f.__name__] = f
-        if sql:
-            ORACLE_SQL[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 # ---- derived inputs -------------------------------------------------------------------------
 
 PAIR = r"([A-Za-z]+)[^A-Za-z]+([A-Za-z]+)"
@@ -657,15 +640,6 @@ def page_verdict(spark, sf_dir):
     return f.select("page_id", v.alias("verdict"))
 
 
-@query("""WITH f AS (SELECT page_id, trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS t FROM pages)
-SELECT page_id, CASE WHEN page_id % 7 = 0 THEN 'challenge' WHEN page_id % 7 = 1 THEN 'placeholder_page' END AS correction FROM f""")
-def heading_corrections(spark, sf_dir):
-    """Titles, with known headings put in for some ids."""
-    t, _ = pages.quick_fields(F.col("html"))
-    head = F.when(F.col("page_id") % 7 == 0, "Just a moment...").when(F.col("page_id") % 7 == 1, " Coming soon! ").otherwise(t)
-    return table(spark, sf_dir, "pages").select("page_id", pages.heading_correction(head, F.array(t)).alias("correction"))
-
-
 @query("""WITH e AS (SELECT page_id, (page_id * 37 % 6)::INT AS k FROM pages), r AS (SELECT page_id, [200, 429, 403, 404, 500, NULL][k + 1] AS s FROM e)
 SELECT page_id, CASE WHEN s = 200 THEN NULL WHEN s = 404 THEN 'skip' ELSE 'recheck' END AS decision, CASE WHEN s = 429 THEN 'rate_limited' WHEN s = 403 THEN 'http_blocked' WHEN s = 404 THEN 'homepage_missing' WHEN s = 500 THEN 'homepage_500' WHEN s IS NULL THEN 'timeout' END AS reason FROM r""")
 def response_disposition(spark, sf_dir):
@@ -1151,3 +1125,7 @@ SELECT v.user_id, v.event_type, v.n, round(v.n / nullif(b.n, 0)::DOUBLE, 6) AS r
 def same_chart_ratios(spark, sf_dir):
     counts = table(spark, sf_dir, "events").groupBy("user_id", "event_type").agg(F.count("*").alias("n"))
     return lookups.same_chart_ratio(counts, "user_id", "event_type", "n", "view").select("user_id", "event_type", "n", F.round("ratio", 6).alias("ratio"))
+
+
+from wordtide.plans import evidence as _evidence  # noqa: E402, F401  these register the queries that build on the ones above
+from wordtide.plans import saved as _saved  # noqa: E402, F401

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wordtide.functions import text as T
+from wordtide.sources import published
 
 
 def write_new(df: DataFrame, path: str) -> None:
@@ -15,9 +16,9 @@ def write_new(df: DataFrame, path: str) -> None:
     df.write.mode("errorifexists").parquet(path)
 
 
-def replace_table(df: DataFrame, path: str) -> None:
-    """B2: replaced as a whole by the writer's commit."""
-    df.write.mode("overwrite").parquet(path)
+def replace_table(df: DataFrame, root: str) -> None:
+    """B2: replaced as a whole, read with ``published.current``; a failed write leaves the old rows."""
+    published.publish(df, root)
 
 
 def append_rows(df: DataFrame, path: str) -> None:

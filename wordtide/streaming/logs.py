@@ -2,19 +2,64 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from wordtide.operators.freshness import digest
 from wordtide.operators.sampling import runs
 
 
+def _there(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def append_once(stream: DataFrame, key: str, path: str, checkpoint: str) -> StreamingQuery:
-    """L1: each key is written once; a restart goes on where the checkpoint stands."""
-    return (
-        stream.dropDuplicates([key]).writeStream.format("parquet").outputMode("append")
-        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start(path)
-    )
+    """L1: each key is written once, the first time it comes; a restart goes on where the checkpoint stands.
+
+    What is written already is looked up in the log itself (its key column only), so the stream has no state that could grow,
+    and a key is known however late it comes again. A micro-batch is a folder of the log that is written as a whole: one that failed
+    half-way is written anew, and so is what a lost checkpoint makes the stream read again. Rows without a key are left out.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        fresh = batch.where(F.col(key).isNotNull()).dropDuplicates([key])
+        if _there(batch.sparkSession, path):
+            log = batch.sparkSession.read.schema(batch.schema.add("batch", "long")).option("basePath", path).parquet(path)
+            fresh = fresh.join(log.where(F.col("batch") != number).select(key), key, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
+
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def require_manifest(queue: DataFrame, policy: dict, root: str) -> None:
+    """The queue (its digest, whatever its order) and the policy of the log at ``root`` are saved at its first run; a later run with
+    others is refused, since its results would not belong together."""
+    now = digest(queue).withColumn("policy", F.lit(json.dumps(policy, sort_keys=True)))
+    path = f"{root}/manifest"
+    if not _there(queue.sparkSession, path):
+        now.coalesce(1).write.mode("errorifexists").parquet(path)
+        return
+    saved, fresh = queue.sparkSession.read.parquet(path).first(), now.first()
+    changed = [c for c in now.columns if saved[c] != fresh[c]]
+    if changed:
+        raise ValueError("the policy has changed" if changed == ["policy"] else "the queue has changed")
+
+
+def resume(stream: DataFrame, queue: DataFrame, policy: dict, key: str, root: str, stopped: str | None = None) -> StreamingQuery:
+    """A run, or the next one, of the log at ``root``: manifest checked, then every key once. Where ``stopped`` names a boolean
+    column and the last batch written has a row with it set, the log is paused and is not resumed."""
+    spark = queue.sparkSession
+    require_manifest(queue, policy, root)
+    if stopped and _there(spark, f"{root}/log"):
+        log = spark.read.parquet(f"{root}/log")
+        last = log.agg(F.max("batch")).first()[0]
+        if last is not None and log.where((F.col("batch") == last) & F.col(stopped)).limit(1).count():
+            raise ValueError("the last run was stopped; look at its results first")
+    return append_once(stream, key, f"{root}/log", f"{root}/checkpoint")
 
 
 def pending(queue: DataFrame, done: DataFrame, key: str) -> DataFrame:
@@ -43,9 +88,10 @@ def daily_counts(stream: DataFrame, keys: list[str], ts: str = "ts", late: str =
 
 
 def progress(query: StreamingQuery) -> dict:
-    """Rows and batch of the last progress."""
+    """Rows and batch of the last progress, and the rows that the query keeps as state."""
     last = query.lastProgress or {}
-    return {"batch": last.get("batchId"), "rows": last.get("numInputRows"), "rate": last.get("processedRowsPerSecond")}
+    state = sum(o.get("numRowsTotal", 0) for o in last.get("stateOperators", []))
+    return {"batch": last.get("batchId"), "rows": last.get("numInputRows"), "rate": last.get("processedRowsPerSecond"), "state_rows": state}
 
 
 def read_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
