@@ -371,6 +371,39 @@ def test_near_dedup_inside_shared_buckets(spark, monkeypatch, block):
     assert got == {i: 300 if i == 301 else i for i in range(602)}
 
 
+@pytest.mark.parametrize("many", [100, 400, 1200])
+def test_near_dedup_by_a_shared_passage_alone(spark, many):
+    """Half of the texts have own words before a passage, half after it; only the latter are similar, by the passage alone.
+    Brute force says the same of all sizes."""
+    rng = random.Random(many)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = some(80)
+    rows = [(i, " ".join(some(24) + passage if i % 2 else passage + some(20))) for i in range(many)]
+    words = [omh.words_of(t) for _, t in rows]
+    assert omh.similar(words[0], words[2]) and not omh.similar(words[0], words[1]) and not omh.similar(words[1], words[3])
+    got = {r["doc_id"]: r["class_id"] for r in omh.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {i: i if i % 2 else 0 for i in range(many)}
+
+
+def test_near_dedup_around_a_foreign_shortest_text(spark, monkeypatch):
+    """Families in which the shortest text is similar to none, and several groups are, at lengths that differ; blocks of few rows."""
+    monkeypatch.setattr(omh, "FAMILY_BLOCK", 16)
+    monkeypatch.setattr(omh, "ROUNDS", 1)
+    rng = random.Random(11)
+    some = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    passage = some(80)
+    heads = [some(30) for _ in range(12)]
+    rows = [(i, " ".join(heads[i % 12] + passage + some(9 + i % 5) if i else some(12) + passage[:76] + some(4))) for i in range(400)]
+    words = [omh.words_of(t) for _, t in rows]
+    want = list(range(400))
+    for i, j in itertools.combinations(range(400), 2):
+        if omh.similar(words[i], words[j]):
+            a, b = want[i], want[j]
+            want = [min(a, b) if x in (a, b) else x for x in want]
+    got = {r["doc_id"]: r["class_id"] for r in omh.classes(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == dict(enumerate(want)) and len(set(want)) < 40
+
+
 def test_near_dedup_recall_at_the_threshold(spark):
     """Planted pairs with scattered edits, against alignment of all planted pairs without a filter."""
     rng = random.Random(5)

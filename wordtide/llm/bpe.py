@@ -31,6 +31,8 @@ import tiktoken
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import long_ids, text_id
+
 CHUNK = 1 << 15
 OVERLAP = 1 << 9
 #: Pieces remembered by a task; the memory is emptied when full.
@@ -141,23 +143,18 @@ def _digest(doc_id, ids: bytes, own: Codec) -> tuple:
     return doc_id, len(ids) // 4, hashlib.sha256(ids).hexdigest(), hashlib.sha256(own.decode(ids)).hexdigest()
 
 
-_OUT = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+_OUT = "doc_id string, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    out = pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
-    return out.astype({"doc_id": "Int64", "n_tokens": "int64"})
-
-
-def _id(value):
-    return None if pd.isna(value) else int(value)
+    return pd.DataFrame(rows, columns=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]).astype({"n_tokens": "int64"})
 
 
 def _encode_short(path: str, pattern: str):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         own = codec(path, pattern)
         for pdf in batches:
-            yield _frame([_digest(_id(i), own.encode(own.split.findall(t)), own) for i, t in zip(pdf["doc_id"], pdf["text"], strict=True)])
+            yield _frame([_digest(i, own.encode(own.split.findall(t)), own) for i, t in zip(pdf["doc_id"], pdf["text"], strict=True)])
 
     return run
 
@@ -188,7 +185,7 @@ def _stitch_rows(path: str, pattern: str):
                     starts = np.frombuffer(c["starts"], dtype="<i4").tolist()
                     bounds = [s - base for s in starts] + [c["sure"] - base]
                     parts.append((base, text, [text[a:b] for a, b in zip(bounds, bounds[1:], strict=False)], starts, c["sure"]))
-                rows.append(_digest(_id(doc_id), own.encode(stitch(own.split, parts, length)), own))
+                rows.append(_digest(doc_id, own.encode(stitch(own.split, parts, length)), own))
             yield _frame(rows)
 
     return run
@@ -200,7 +197,7 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
     Only texts longer than a chunk are shuffled, as chunks; a document's chunks meet again in one
     group, no larger than the document row was.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    rows = docs.select(text_id("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     rows = rows.withColumn("length", F.length("text"))
     short = rows.where(F.col("length") <= chunk).select("doc_id", "text").mapInPandas(_encode_short(path, pattern), _OUT)
     cut = (
@@ -215,13 +212,13 @@ def encode(docs: DataFrame, path: str, pattern: str, chunk: int = CHUNK, overlap
         )
         .repartition(F.col("key"), F.col("base"))
     )
-    schema = "doc_id bigint, key string, row bigint, length int, base int, chunk string, last boolean, starts binary, sure int"
+    schema = "doc_id string, key string, row bigint, length int, base int, chunk string, last boolean, starts binary, sure int"
     ready = cut.mapInPandas(_pretokenise(path, pattern), schema)
     grouped = ready.groupBy("doc_id", "key", "row").agg(
         F.first("length").alias("length"), F.collect_list(F.struct("base", "chunk", "starts", "sure")).alias("chunks")
     )
     long = grouped.select("doc_id", "length", "chunks").mapInPandas(_stitch_rows(path, pattern), _OUT)
-    return short.unionByName(long)
+    return long_ids(short.unionByName(long), "doc_id")
 
 
 def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -233,7 +230,8 @@ def encode_ids(docs: DataFrame, path: str, pattern: str) -> DataFrame:
             ids = [np.frombuffer(encode_text(t, own), dtype="<u4").astype("int32") for t in pdf["text"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "ids": ids})
 
-    return docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id bigint, ids array<int>")
+    ids = docs.select(text_id("doc_id"), F.coalesce("text", F.lit("")).alias("text")).mapInPandas(run, "doc_id string, ids array<int>")
+    return long_ids(ids, "doc_id")
 
 
 def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -245,4 +243,4 @@ def decode_ids(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
             data = [own.decode(np.asarray(() if i is None else i, dtype="<u4").tobytes()) for i in pdf["ids"]]
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "data": data})
 
-    return encoded.select("doc_id", "ids").mapInPandas(run, "doc_id bigint, data binary")
+    return long_ids(encoded.select(text_id("doc_id"), "ids").mapInPandas(run, "doc_id string, data binary"), "doc_id")

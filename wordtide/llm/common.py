@@ -112,6 +112,16 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, use, most: i
     return materialise(docs.select("doc_id", "text").join(F.broadcast(ids), F.col("doc_id") == F.col("fit_id")).select("text", "y", "half"), "fit-sample")
 
 
+def text_id(name: str):
+    """An id on its way through pandas: as text, since a batch with a null would reach pandas as doubles."""
+    return F.col(name).cast("long").cast("string").alias(name)
+
+
+def long_ids(df: DataFrame, *names: str) -> DataFrame:
+    """Ids that went through pandas as text, as numbers again; the order of columns stays."""
+    return df.select(*[F.col(c).cast("long").alias(c) if c in names else F.col(c) for c in df.columns])
+
+
 def sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -60.0, 60.0)))
 

@@ -31,6 +31,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import long_ids, text_id
+
 WINDOW = 7
 PIECES = 64
 FEW = 16
@@ -145,7 +147,7 @@ def edited(text: str, following: str) -> str:
 
 
 _SCHEMA = (
-    "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
+    "doc_id string, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, "
     "near_edited double, near_next double"
 )
 
@@ -163,8 +165,8 @@ def _slices(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 print_new = fingerprint(new)
                 sha = hashlib.sha256(new.encode()).hexdigest()
                 rows.append((key, len(before), sha, print_before, print_new, likeness(print_before, print_new), likeness(print_before, own)))
-            held = None if closing else (None if pd.isna(doc_id) else int(doc_id), text, own)
-        yield pd.DataFrame(rows, columns=names).astype({"doc_id": "Int64", "n_chars": "int64", "near_edited": "float64", "near_next": "float64"})
+            held = None if closing else (doc_id, text, own)
+        yield pd.DataFrame(rows, columns=names).astype({"n_chars": "int64", "near_edited": "float64", "near_next": "float64"})
 
 
 def _above(marks: list[int], value: Column) -> Column:
@@ -209,4 +211,5 @@ def in_order(docs: DataFrame, slices: int | None = None) -> DataFrame:
 def compare(docs: DataFrame, slices: int | None = None) -> DataFrame:
     """``docs(doc_id, text)`` -> fingerprints of every text and of its edited text, and likenesses."""
     rows = in_order(docs, slices).repartition("slice")
-    return rows.sortWithinPartitions("slice", "closing", F.col("doc_id").desc_nulls_last(), "h").mapInPandas(_slices, _SCHEMA)
+    rows = rows.sortWithinPartitions("slice", "closing", F.col("doc_id").desc_nulls_last(), "h")
+    return long_ids(rows.select(text_id("doc_id"), "text", "closing").mapInPandas(_slices, _SCHEMA), "doc_id")

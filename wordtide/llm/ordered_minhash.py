@@ -13,12 +13,19 @@ Comparisons inside buckets, of rows that are not in one component yet:
 2. In buckets of up to ``BLOCK`` rows that still hold several components, every two rows of
    different components are compared, by word counts in place.
 3. In larger ones each text is compared with the shortest text of the bucket: texts that consist
-   mostly of a passage they share are all similar to it. Then each text is sketched again without the
-   runs it shares with that shortest text, by ``REST_TABLES`` tables of one run, which gives finer
-   buckets inside the old one; these are treated in the same way, until no large bucket holds several
-   components. The shortest text of a finer bucket has the runs of all buckets around it, so no run is
-   used twice and the rounds end. Two similar texts thus stay apart only if they share no bucket, or
-   only large ones in which they share nothing else.
+   mostly of a passage they share are often all similar to it. Those that have at least ``CORE`` of
+   their runs in common with that text, a family, may be similar by the shared runs alone although
+   that text is none of theirs (it may have other words before the passage). For ``ROUNDS`` rounds
+   one member of each family is compared with all that are in other components; then every two
+   members that are still apart are compared by word counts, dealt by length and salt into pairs of
+   blocks, whatever the family's size. No member is left out.
+4. Each text of a larger bucket is sketched again without the runs it shares with the shortest text,
+   by ``REST_TABLES`` tables of one run, which gives finer buckets inside the old one; these are
+   treated in the same way, until no large bucket holds several components. The shortest text of a
+   finer bucket has the runs of all buckets around it, so no run is used twice and the rounds end.
+
+Two similar texts of a large bucket that are no family thus have more than ``1 - CORE`` of one text's runs
+outside of the shared passage, and meet by these.
 
 A comparison first bounds the edit distance from below by word counts (``BAG`` counters a text, later
 exact counts of words and runs of two and three, safe: nothing similar is lost) and then aligns the word sequences in a band around the diagonal. Texts are
@@ -42,7 +49,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, forget, materialise
+from .common import components, forget, long_ids, materialise, text_id
 
 K = 5
 PICK = 4
@@ -52,6 +59,7 @@ REST_TABLES = 24
 SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
+CORE, ROUNDS, FAMILY_BLOCK = 0.3, 3, 1024
 STEP = 1 << 13
 
 _U = np.uint64
@@ -278,9 +286,10 @@ def _bag_filter(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
-    """The pairs (a, b) of a bucket, of different components, that word counts allow."""
+    """The pairs (a, b) of a bucket, of different components (and blocks, if there are several), that word counts allow."""
     order = np.argsort(group["n"], kind="stable")
     n, c, rep = (group[x][order] for x in ("n", "c", "rep"))
+    blocks = group["block"][order] if len(np.unique(group["block"])) > 1 else None
     bags = np.frombuffer(b"".join(group["bag"][order]), dtype=np.uint16).reshape(-1, BAG).astype(np.int32)
     upto = np.searchsorted(n, n / SIMILARITY + 1e-6, side="right")
     out = []
@@ -289,6 +298,9 @@ def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
         end = int(upto[hi - 1])
         x, y = np.arange(lo, hi)[:, None], np.arange(lo, end)[None, :]
         left, right = np.nonzero((y > x) & (y < upto[lo:hi, None]) & (c[lo:hi, None] != c[None, lo:end]))
+        if blocks is not None:  # blocks are met among themselves elsewhere
+            other = blocks[left + lo] != blocks[right]
+            left, right = left[other], right[other]
         for at in range(0, len(left), 1 << 14):
             x, y = left[at : at + (1 << 14)] + lo, right[at : at + (1 << 14)] + lo
             apart = bags[x] - bags[y]
@@ -300,13 +312,13 @@ def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
 
 
 def _close_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Rows sorted by bucket -> close pairs, bucket by bucket, of ``BLOCK`` rows at most."""
+    """Rows sorted by bucket -> close pairs, bucket by bucket; a bucket is one block or a pair of blocks."""
     kept: pd.DataFrame | None = None
 
     def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
         keys = pdf["key"].to_numpy()
         starts = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys))
-        columns = {x: pdf[x].to_numpy() for x in ("n", "c", "rep", "bag")}
+        columns = {x: pdf[x].to_numpy() for x in ("n", "c", "rep", "bag", "block")}
         found = [np.zeros((0, 2), dtype=np.int64)]
         for lo, hi in zip(starts[:-1], starts[1:], strict=True):
             if hi - lo > 1:
@@ -328,12 +340,14 @@ def _close_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def _rest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = (None, None)
     for pdf in batches:
-        keys = []
+        keys, core = [], []
         for seed, hub, text, hub_text in zip(pdf["seed"], pdf["hub"], pdf["text"], pdf["hub_text"], strict=True):
             if last[0] != hub:
                 last = (hub, labelled_runs(words_of(hub_text)))
-            keys.append(rest_keys(labelled_runs(words_of(text)), last[1], int(seed)))
-        yield pdf[["rep", "n"]].assign(keys=keys)
+            labels = labelled_runs(words_of(text))
+            keys.append(rest_keys(labels, last[1], int(seed)))
+            core.append(bool(np.isin(labels, last[1]).mean() >= CORE))
+        yield pdf[["hub", "rep", "n"]].assign(core=core, keys=keys)
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -412,15 +426,15 @@ def _small(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The similar pairs of different components in buckets of up to ``BLOCK`` rows."""
     ids = materialise(rows.select("rep").distinct(), "omh-ids")
     slim = slim.join(ids, "rep", "left_semi")
-    rows = rows.select("key", "rep", "c").join(slim, "rep").repartition("key").sortWithinPartitions("key")
+    rows = rows.select("key", "rep", "c", F.lit(0).alias("block")).join(slim, "rep").repartition("key").sortWithinPartitions("key")
     close = materialise(rows.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
     return _checked(_done(materialise(close.distinct(), "omh-close"), close, ids), texts)
 
 
-def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
-    """Rows (key, rep, n) of finer buckets, by what the texts of large buckets have and the hubs lack,
-    apart for each value of the column ``inside``. Hubs of many texts are dealt to tasks in parts of
-    about ``BLOCK``."""
+def _rests(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
+    """Rows (hub, rep, n, core, keys): what the texts of large buckets have and the hubs lack, as keys apart for each value of
+    the column ``inside``, and whether the shared part makes them members of the hub's family. Hubs of many texts are dealt to
+    tasks in parts of about ``BLOCK``."""
     pairs = rows.where("rep <> hub").select(F.col(inside).alias("seed"), "hub", "rep", "n").distinct()
     pairs = materialise(pairs, "omh-large")
     parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
@@ -428,9 +442,65 @@ def _finer(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
     dealt = pairs.join(parts, "hub").withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
     dealt = dealt.join(texts.toDF("rep", "text"), "rep").join(hubs.drop("parts"), ["hub", "part"])
     dealt = dealt.select("seed", "hub", "rep", "n", "text", "hub_text")
-    keyed = materialise(dealt.mapInPandas(_rest_rows, "rep bigint, n int, keys array<bigint>"), "omh-finer")
-    fine = materialise(keyed.select(F.explode("keys").alias("key"), "rep", "n").distinct(), "omh-fine")
-    return _done(fine, keyed, pairs)
+    return _done(materialise(dealt.mapInPandas(_rest_rows, "hub bigint, rep bigint, n int, core boolean, keys array<bigint>"), "omh-rests"), pairs)
+
+
+def _several(family: DataFrame, own: DataFrame) -> DataFrame:
+    """The rows of families that hold several components, with theirs."""
+    rows = materialise(family.join(own, "rep"), "omh-family")
+    mixed = rows.groupBy("hub").agg(F.min("c").alias("low"), F.max("c").alias("high")).where("low < high")
+    return _done(materialise(rows.join(mixed.select("hub"), "hub", "left_semi"), "omh-families"), rows)
+
+
+def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
+    """The similar pairs of different components in families of any size.
+
+    Similar texts are in one class of lengths or in neighbouring ones. A class is salted into blocks of about ``FAMILY_BLOCK``
+    rows; every block meets itself, the others of its class and those of the next one, each pair of blocks as one bucket.
+    """
+    ratio = -np.log(SIMILARITY)
+    rows = rows.withColumn("length", F.floor(F.log(F.greatest("n", F.lit(1))) / ratio).cast("int"))
+    sizes = rows.groupBy("hub", "length").agg(F.ceil(F.count("*") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    ahead = sizes.select("hub", (F.col("length") - 1).alias("length"), F.col("blocks").alias("ahead"))
+    behind = sizes.select("hub", (F.col("length") + 1).alias("length"), F.col("blocks").alias("behind"))
+    sizes = materialise(sizes.join(ahead, ["hub", "length"], "left").join(behind, ["hub", "length"], "left").na.fill(0), "omh-lengths")
+    own = F.expr("cast(pmod(xxhash64(rep), blocks) as int)")
+    dealt = rows.join(sizes, ["hub", "length"]).withColumn("own", own).withColumn("block", F.col("length") * (1 << 20) + own)
+    units = F.expr(
+        "concat(transform(sequence(0, blocks - 1), i -> named_struct('x', length, 'i', least(i, own), 'y', length, 'j', greatest(i, own))),"
+        " transform(filter(sequence(0, ahead), i -> i < ahead), i -> named_struct('x', length, 'i', own, 'y', length + 1, 'j', i)),"
+        " transform(filter(sequence(0, behind), i -> i < behind), i -> named_struct('x', length - 1, 'i', i, 'y', length, 'j', own)))"
+    )
+    met = dealt.select("hub", "rep", "c", "block", F.explode(units).alias("u")).select(F.xxhash64("hub", "u").alias("key"), "rep", "c", "block")
+    ids = materialise(rows.select("rep").distinct(), "omh-ids")
+    met = met.join(slim.join(ids, "rep", "left_semi"), "rep").repartition("key").sortWithinPartitions("key")
+    close = materialise(met.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
+    return _checked(_done(materialise(close.distinct(), "omh-close"), close, ids, sizes), texts)
+
+
+def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
+    """``own`` after the members of every family have been compared: some rounds with one member each, then what is still apart."""
+    family = rests.where("core").select("hub", "rep", "n").distinct()
+    family = materialise(family.unionByName(family.select("hub", F.col("hub").alias("rep")).distinct().join(slim.select("rep", "n"), "rep").select("hub", "rep", "n")), "omh-core")
+    for turn in range(ROUNDS):
+        rows = _several(family, own)
+        if rows.isEmpty():
+            return _done(own, family, rows)
+        # a component is drawn by hash, so a large group of open rows is likely to be hit; its shortest text speaks for it
+        home = rows.where("rep = hub").select("hub", F.col("c").alias("home"))
+        drawn = rows.join(home, "hub").where("c <> home").groupBy("hub", "c").agg(F.min(F.struct("n", "rep"))["rep"].alias("pivot"))
+        drawn = drawn.groupBy("hub").agg(F.min_by(F.struct("pivot", F.col("c").alias("pivot_c")), F.xxhash64("c", F.lit(turn))).alias("p")).select("hub", "p.*")
+        pairs = rows.join(drawn, "hub").where("c <> pivot_c").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+        own = _done(_joined(own, _lifted(_linked(pairs, slim, texts), own)), rows)
+    rows = _several(family, own)
+    if not rows.isEmpty():
+        own = _joined(own, _lifted(_in_blocks(rows, slim, texts), own))
+    return _done(own, family, rows)
+
+
+def _finer(rests: DataFrame) -> DataFrame:
+    """Rows (key, rep, n) of finer buckets."""
+    return materialise(rests.select(F.explode("keys").alias("key"), "rep", "n").distinct(), "omh-fine")
 
 
 def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -446,7 +516,8 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Of ``docs(doc_id, text)``: (copies(doc_id, h), classes of texts (h, class_id))."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("h"), text.alias("text"))
-    sketched = materialise(rows.mapInPandas(_sketch_rows, "doc_id bigint, h string, n int, keys array<bigint>, bag binary"), "omh-sketch")
+    sketched = rows.withColumn("doc_id", text_id("doc_id")).mapInPandas(_sketch_rows, "doc_id string, h string, n int, keys array<bigint>, bag binary")
+    sketched = materialise(long_ids(sketched, "doc_id"), "omh-sketch")
     picked = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "n", "keys", "bag"))).alias("r")
     reps = materialise(
         sketched.groupBy("h").agg(picked).where("r is not null").select("h", F.col("r.doc_id").alias("rep"), "r.n", "r.keys", "r.bag"), "omh-reps"
@@ -473,7 +544,9 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         if large.isEmpty():
             break
         large, own = _with_hubs(large, own, slim, texts)
-        fine = _finer(large, texts, inside)
+        rests = _rests(large, texts, inside)
+        own = _families(rests, own, slim, texts)
+        fine = _done(_finer(rests), rests)
         buckets = _done(_bucketed(fine), fine, large, mixed)
         inside = "key"
     by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))

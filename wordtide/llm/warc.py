@@ -28,32 +28,39 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialise
+from .common import long_ids, materialise, text_id
 
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 23
 REVISIT_FROM = 100
 #: Fixed values of the seekable format: magic of the skippable frame and of the footer.
+#: The profile of a revisit with an equal payload, as the format's standard names it.
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Pages carry no time of capture; records need one.
+DATE = "2026-01-01T00:00:00Z"
 SKIPPABLE, SEEKABLE = 0x184D2A5E, 0x8F92EAB1
 
 BUNDLE_SCHEMA = "bundle string, data binary, records array<struct<page_id:bigint,frame:int,offset:bigint,length:bigint>>"
 
 
-def record(page_id, url, payload: bytes, digest: str, size: int, refers_to) -> bytes:
-    """One WARC record. A revisit has its payload's size and digest in its head only."""
+def record(page_id, url, payload: bytes, digest: str, size: int, refers_to, date: str = DATE) -> bytes:
+    """One WARC record. A revisit has its payload's size and digest in its head only. The url stays as it is, but for line ends,
+    which are percent-encoded."""
     revisit = refers_to is not None
     body = b"" if revisit else payload
     head = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
         f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
-        f"WARC-Target-URI: {' '.join((url or '').split())}",
+        f"WARC-Date: {date}",
+        f"WARC-Target-URI: {(url or '').replace(chr(13), '%0D').replace(chr(10), '%0A')}",
+        "Content-Type: text/html; charset=utf-8",
         f"WARC-Payload-Digest: sha256:{digest}",
         f"X-Payload-Length: {size}",
         f"Content-Length: {len(body)}",
     ]
     if revisit:
-        head.insert(4, f"WARC-Refers-To: <urn:page:{refers_to}>")
+        head[5:5] = [f"WARC-Refers-To: <urn:page:{refers_to}>", f"WARC-Profile: {PROFILE}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + body + b"\r\n\r\n"
 
 
@@ -62,7 +69,7 @@ def parse_records(raw: bytes) -> Iterator[tuple[dict, bytes, int, int]]:
     at = 0
     while at < len(raw):
         end = raw.index(b"\r\n\r\n", at)
-        head = dict(x.split(": ", 1) for x in raw[at:end].decode().split("\r\n")[1:])
+        head = dict((x.split(": ", 1) + [""])[:2] for x in raw[at:end].decode().split("\r\n")[1:])
         start, size = end + 4, int(head["Content-Length"])
         stop = start + size + 4
         if raw[stop - 4 : stop] != b"\r\n\r\n":
@@ -139,8 +146,8 @@ def _pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for page_id, url, payload, digest, size, refers in zip(
             pdf["page_id"], pdf["url"], pdf["payload"], pdf["digest"], pdf["size"], pdf["refers_to"], strict=True
         ):
-            page_id = None if pd.isna(page_id) else int(page_id)
-            refers = None if pd.isna(refers) else int(refers)
+            page_id = None if page_id is None else int(page_id)
+            refers = None if refers is None else int(refers)
             data = record(page_id, url, bytes(payload), digest, size, refers)
             if bundle.raw and bundle.raw + len(data) > BUNDLE_BYTES:
                 yield out()
@@ -173,7 +180,7 @@ def write_archives(pages: DataFrame) -> DataFrame:
     marked = rows.join(revisits, same, "left").select(
         rows["page_id"], "url", F.when(F.col("refers_to").isNull(), rows["payload"]).otherwise(F.lit(b"")).alias("payload"), rows["digest"], "size", "refers_to"
     )
-    return materialise(marked.mapInPandas(_pack, BUNDLE_SCHEMA), "warc-bundles")
+    return materialise(marked.withColumns({c: text_id(c) for c in ("page_id", "refers_to")}).mapInPandas(_pack, BUNDLE_SCHEMA), "warc-bundles")
 
 
 def index(bundles: DataFrame) -> DataFrame:
@@ -182,13 +189,12 @@ def index(bundles: DataFrame) -> DataFrame:
 
 
 _READ_SCHEMA = (
-    "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint, url string, intact boolean"
+    "page_id string, payload_bytes bigint, payload_digest string, record_type string, refers_to string, url string, intact boolean"
 )
 
 
-def _id(text: str):
-    got = text.removeprefix("<urn:page:").removesuffix(">")
-    return int(got) if got else None
+def _id(text: str) -> str | None:
+    return text.removeprefix("<urn:page:").removesuffix(">") or None
 
 
 def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,13 +211,12 @@ def _unpack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     refers = _id(head["WARC-Refers-To"]) if "WARC-Refers-To" in head else None
                     rows.append((_id(head["WARC-Record-ID"]), size, digest, kind, refers, head["WARC-Target-URI"], good))
             names = [c.split()[0] for c in _READ_SCHEMA.split(", ")]
-            out = pd.DataFrame(rows, columns=names)
-            yield out.astype({"page_id": "Int64", "refers_to": "Int64"})
+            yield pd.DataFrame(rows, columns=names)
 
 
 def read_archives(bundles: DataFrame) -> DataFrame:
     """Every record of the bundles, with its digest checked against the payload read."""
-    return bundles.select("data").mapInPandas(_unpack, _READ_SCHEMA)
+    return long_ids(bundles.select("data").mapInPandas(_unpack, _READ_SCHEMA), "page_id", "refers_to")
 
 
 def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -223,7 +228,7 @@ def _fetch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for w in wanted:
                 raw = frame_at(data, table[w["frame"]])[w["offset"] : w["offset"] + w["length"]]
                 head, payload, _, _ = next(parse_records(raw))
-                out.append((w["page_id"], head["WARC-Type"], payload))
+                out.append((_id(head["WARC-Record-ID"]), head["WARC-Type"], payload))
         yield pd.DataFrame(out, columns=["page_id", "record_type", "payload"])
 
 
@@ -231,6 +236,7 @@ def fetch(bundles: DataFrame, ids: DataFrame) -> DataFrame:
     """Random access: the records of ``ids(page_id)``, one frame decoded for each."""
     where = index(bundles).join(ids.select("page_id").distinct(), "page_id")
     wanted = where.groupBy("bundle").agg(F.collect_list(F.struct("page_id", "frame", "offset", "length")).alias("wanted"))
-    return bundles.select("bundle", "data").join(wanted, "bundle").select("data", "wanted").mapInPandas(
-        _fetch, "page_id bigint, record_type string, payload binary"
+    found = bundles.select("bundle", "data").join(wanted, "bundle").select("data", "wanted").mapInPandas(
+        _fetch, "page_id string, record_type string, payload binary"
     )
+    return long_ids(found, "page_id")
