@@ -27,12 +27,23 @@ def test_vocabulary_sizes():
 
 
 def test_domain_errors(spark):
-    given = ["Good.Example.COM.", "", None, "a b.com", "http://a.com", "a..com", "-a.com", "a.123", "1.2.3.4", "nodot", "x" * 300 + ".com", "bücher.de", "ok.io"]
-    want = [None, "blank_line", "blank_line", "embedded_whitespace", "not_a_bare_domain", "invalid_dns_label", "invalid_dns_label", "numeric_top_level_label",
-            "numeric_top_level_label", "missing_dot", "hostname_too_long", "idna_encoding_failed", None]
+    long_name = ".".join(["x" * 60] * 5)
+    given = ["Good.Example.COM.", "", None, "a b.com", "http://a.com", "a..com", "-a.com", "a.123", "1.2.3.4", "nodot", "x" * 300 + ".com", long_name, "bücher.de", "ok.io", ".com", "a.com..", "x" * 64 + ".com", "éü" * 30 + ".de", "xn--é.de"]
+    want = [None, "blank_line", "blank_line", "embedded_whitespace", "not_a_bare_domain", "idna_encoding_failed", "invalid_dns_label", "numeric_top_level_label",
+            "numeric_top_level_label", "missing_dot", "idna_encoding_failed", "hostname_too_long", None, None, "idna_encoding_failed", "invalid_dns_label", "idna_encoding_failed", "idna_encoding_failed", "idna_encoding_failed"]
     assert column(spark, given, T.domain_error) == want
     assert column(spark, given, T.domain_of)[0] == "good.example.com"
-    assert column(spark, ["bücher.de", "a.com", None], T.idna_ascii) == ["xn--bcher-kva.de", "a.com", None]
+    loose = ["Good.Example.COM...", "a.123", "1.2.3.4", "a\tb.com", "1.2.3.4.5", "999.1.1.1", "x.y\x1f"]
+    assert column(spark, loose, lambda c: T.domain_error(c, False)) == [None, None, "ip_address", "embedded_whitespace", None, None, "embedded_whitespace"]
+
+
+def test_names_in_ascii(spark):
+    labels = ["bücher", "münchen", "日本語", "ü", "éé", "aé日b語", "россия", "ελλάδα", "a-ü-b", "ñandú2024", "🙂", "中" * 15, "abcdefghijklmnopqrstuvwxyzäöü" * 1, "zażółćgęśląjaźń"]
+    assert column(spark, labels, T.punycode) == [x.encode("punycode").decode() for x in labels]
+    names = ["bücher.de", "a.com", None, "日本語。ｃｏｍ", "straße.de", "www.münchen.de.", "x.ü"]
+    assert column(spark, names, T.ascii_name) == [None if n is None else n.encode("idna").decode() for n in names]
+    raw = ["  BÜCHER.de. ", "ﬁsch.de"]
+    assert column(spark, raw, T.domain_of) == ["xn--bcher-kva.de", "fisch.de"]
 
 
 def test_text_helpers(spark):

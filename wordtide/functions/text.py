@@ -76,48 +76,135 @@ def listed(*pairs: tuple[Column, str]) -> Column:
 
 
 LABEL = r"[a-z0-9](?:[a-z0-9-]{0,61}[a-z0-9])?"
+_DIGITS = "abcdefghijklmnopqrstuvwxyz0123456789"
+#: Fixed values of Bootstring for names: base, least and greatest threshold, skew, damp, first bias, first code point.
+_BASE, _T_MIN, _T_MAX, _SKEW, _DAMP, _BIAS, _FIRST = 36, 1, 26, 38, 700, 72, 128
+_LONG = "bigint"
 
 
-def domain_error(raw: Column) -> Column:
-    """Reason for which a raw line is no domain, null for a valid one (ASCII names; others need
-    ``idna_ascii`` first). The first fitting reason wins."""
-    value = F.lower(F.regexp_replace(raw, "(?U)" + _TRIM, ""))
-    name = F.regexp_replace(value, r"\.$", "")
-    return (
-        F.when(raw.isNull() | (value == ""), "blank_line")
-        .when(value.rlike(r"(?U)\s"), "embedded_whitespace")
-        .when(value.rlike(r"[/:@?#\\]"), "not_a_bare_domain")
-        .when(~name.rlike(r"^[\x00-\x7F]*$"), "idna_encoding_failed")
-        .when(F.length(name) > 253, "hostname_too_long")
-        .when(~name.contains("."), "missing_dot")
-        .when(~name.rlike(rf"^{LABEL}(?:\.{LABEL})*$"), "invalid_dns_label")
-        .when(~F.substring_index(name, ".", -1).rlike("[a-z]"), "numeric_top_level_label")
-    )
-
-
-def domain_of(raw: Column) -> Column:
-    """The normalized domain of a raw line, null where ``domain_error`` has a reason."""
+def _whole(c) -> Column:
+    return (c if isinstance(c, Column) else F.lit(c)).cast(_LONG)
+
+
+def _state(**parts) -> Column:
+    return F.struct(*[(v if k == "out" else _whole(v)).alias(k) for k, v in parts.items()])
+
+
+def _steps(n: int) -> Column:
+    return F.sequence(F.lit(1), F.lit(n))
+
+
+def _adapted(delta: Column, points: Column, first: Column) -> Column:
+    """The bias after a code point has been written."""
+    d = F.when(first, F.floor(delta / _DAMP)).otherwise(F.floor(delta / 2))
+    d = d + F.floor(d / points)
+    limit = (_BASE - _T_MIN) * _T_MAX // 2
+    shrink = lambda s, _: F.when(s["d"] > limit, _state(d=F.floor(s["d"] / (_BASE - _T_MIN)), k=s["k"] + _BASE)).otherwise(s)
+    return F.aggregate(_steps(6), _state(d=d, k=0), shrink, lambda s: _whole(s["k"] + F.floor((_BASE - _T_MIN + 1) * s["d"] / (s["d"] + _SKEW))))
+
+
+def _variable_length(delta: Column, bias: Column) -> Column:
+    """A whole number as digits of falling thresholds."""
+    digit = lambda x: F.substring(F.lit(_DIGITS), (x + 1).cast("int"), F.lit(1))
+
+    def step(s: Column, _: Column) -> Column:
+        t = F.least(F.greatest(s["k"] - s["bias"], F.lit(_T_MIN)), F.lit(_T_MAX))
+        more = _state(q=F.floor((s["q"] - t) / (_BASE - t)), k=s["k"] + _BASE, bias=s["bias"], open=1, out=F.concat(s["out"], digit(t + (s["q"] - t) % (_BASE - t))))
+        last = _state(q=0, k=s["k"], bias=s["bias"], open=0, out=F.concat(s["out"], digit(s["q"])))
+        return F.when(s["open"] == 0, s).when(s["q"] < t, last).otherwise(more)
+
+    return F.aggregate(_steps(9), _state(q=delta, k=_BASE, bias=bias, open=1, out=F.lit("")), step, lambda s: s["out"])
+
+
+def once(value: Column, f) -> Column:
+    """``f`` of a value that it uses several times, worked out once: a list of one, transformed."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def punycode(label: Column) -> Column:
+    """A label's letters in ASCII (Bootstring), without a prefix. All of it are folds over the label's code points in the row."""
+    points = F.transform(F.sequence(F.lit(1), F.length(label)), lambda i: F.ascii(F.substring(label, i, F.lit(1))).cast(_LONG))
+
+    def encoded(x: Column) -> Column:
+        plain = F.filter(x["points"], lambda c: c < _FIRST)
+        head = F.array_join(F.transform(plain, lambda c: F.char(c)), "")
+        start = _state(n=_FIRST, delta=0, bias=_BIAS, done=F.size(plain), plain=F.size(plain), out=F.when(F.size(plain) > 0, F.concat(head, F.lit("-"))).otherwise(F.lit("")))
+
+        def place(t: Column, c: Column, n: Column) -> Column:
+            first = t["done"] == t["plain"]
+            written = _state(
+                n=t["n"], delta=0, bias=_adapted(t["delta"], t["done"] + 1, first), done=t["done"] + 1, plain=t["plain"],
+                out=F.concat(t["out"], _variable_length(t["delta"], t["bias"])),
+            )
+            passed = _state(n=t["n"], delta=t["delta"] + 1, bias=t["bias"], done=t["done"], plain=t["plain"], out=t["out"])
+            return F.when(c < n, passed).when(c == n, written).otherwise(t)
+
+        def level(s: Column, n: Column) -> Column:
+            at = _state(n=n, delta=s["delta"] + (n - s["n"]) * (s["done"] + 1), bias=s["bias"], done=s["done"], plain=s["plain"], out=s["out"])
+            after = lambda t: _state(n=t["n"] + 1, delta=t["delta"] + 1, bias=t["bias"], done=t["done"], plain=t["plain"], out=t["out"])
+            return F.aggregate(x["points"], at, lambda t, c: place(t, c, n), after)
+
+        return F.aggregate(F.array_sort(F.array_distinct(F.filter(x["points"], lambda c: c >= _FIRST))), start, level, lambda s: s["out"])
+
+    return once(F.struct(points.alias("points")), encoded)
+
+
+def ascii_name(name: Column) -> Column:
+    """The ASCII form of a lower-case name; null if it has none: a label that is empty (the last may be) or has 64 letters or more,
+    or letters that names may not hold.
+
+    Wide forms of ASCII letters and ideographic dots become the plain ones, soft hyphens go, ß is ss and final ς is σ, as names of
+    2003 have it. Letters are taken as composed; other compatibility letters stay as they are.
+    """
+    wide, plain = "".join(chr(c) for c in range(0xFF01, 0xFF5F)), "".join(chr(c) for c in range(0x21, 0x7F))
+    mapped = folded(F.translate(F.regexp_replace(name, "[。．｡]", "."), wide + "ς\u00ad", plain + "σ"))
+    odd = r"[^\x00-\x7F]"
+    label = lambda x: F.when(~x.rlike(odd), x).when(~x.startswith("xn--") & ~x.rlike(r"[\p{C}\p{Z}]"), F.concat(F.lit("xn--"), punycode(x)))
+    every = once(F.transform(F.split(mapped, r"\."), label), lambda c: F.when(F.forall(c, lambda x: x.isNotNull()), F.array_join(c, ".")))
+    fits = lambda n: F.when(~n.rlike(r"(?:^|\.)\.") & ~n.rlike(r"[^.]{64}"), n)
+    return once(F.when(name.rlike(odd), every).otherwise(name), fits)
+
+
+def _bare(raw: Column, strict: bool) -> Column:
     value = F.lower(F.regexp_replace(raw, "(?U)" + _TRIM, ""))
-    return F.when(domain_error(raw).isNull(), F.regexp_replace(value, r"\.$", ""))
+    return F.regexp_replace(value, r"\.$" if strict else r"\.+$", "")
+
+
+def _judged(raw: Column, strict: bool) -> Column:
+    """struct(domain, reason) of a raw line."""
+    space = r"(?U)\s" if strict else r"[\x00-\x20]"
+
+    def named(x: Column) -> Column:
+        bare, name = x["bare"], x["name"]
+        reason = (
+            F.when(bare.isNull() | ((bare == "") & ~x["dots"]), "blank_line")
+            .when(bare.rlike(space), "embedded_whitespace")
+            .when(bare.rlike(r"[/:@?#\\]"), "not_a_bare_domain")
+            .when(name.isNull(), "idna_encoding_failed")
+            .when(F.length(name) > 253, "hostname_too_long")
+            .when(~name.contains("."), "missing_dot")
+            .when(~name.rlike(rf"^{LABEL}(?:\.{LABEL})*$"), "invalid_dns_label")
+            .when(F.lit(strict) & ~F.substring_index(name, ".", -1).rlike("[a-z]"), "numeric_top_level_label")
+            .when(name.rlike(r"^(?:(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)(?:\.(?!$)|$)){4}$"), "ip_address")
+        )
+        return F.struct(name.alias("name"), reason.alias("reason"))
 
+    seen = lambda bare: F.struct(bare.alias("bare"), ascii_name(bare).alias("name"), raw.rlike(r"\.\s*$").alias("dots"))
+    judged = once(once(_bare(raw, strict), seen), named)
+    return once(judged, lambda j: F.struct(F.when(j["reason"].isNull(), j["name"]).alias("domain"), j["reason"].alias("reason")))
 
-def _idna(v: str | None) -> str | None:
-    if v is None or v.isascii():
-        return v
-    try:
-        return v.strip().lower().encode("idna").decode("ascii")
-    except UnicodeError:
-        return v
 
+def domain_error(raw: Column, strict: bool = True) -> Column:
+    """Reason for which a raw line is no domain, null for a valid one. The first fitting reason wins.
 
-def _idna_batch(raw: pd.Series) -> pd.Series:
-    return raw.map(_idna)
+    C1 is the strict form: one dot at the end is allowed, the last label needs a letter. C2, the other form, strips all dots at the
+    end, refuses control characters and addresses, and asks for no letter."""
+    return _judged(raw, strict)["reason"]
 
 
-def idna_ascii(raw: Column) -> Column:
-    """ASCII form of names with other letters (IDNA 2003); what cannot be encoded stays. ASCII
-    names do not need it: guard it with a filter."""
-    return F.pandas_udf(_idna_batch, "string")(raw)
+def domain_of(raw: Column, strict: bool = True) -> Column:
+    """The normalized domain of a raw line, in ASCII; null where ``domain_error`` has a reason."""
+    return _judged(raw, strict)["domain"]
 
 
 def _fold_batch(c: pd.Series) -> pd.Series:

@@ -261,15 +261,22 @@ def series_violations(spark, sf_dir):
 
 _ERROR = (
     "CASE WHEN v IS NULL OR v = '' THEN 'blank_line' WHEN regexp_matches(v, '\\s') THEN 'embedded_whitespace' WHEN regexp_matches(v, '[/:@?#\\\\]') THEN 'not_a_bare_domain' "
-    "WHEN NOT regexp_matches(n, '^[\\x00-\\x7F]*$') THEN 'idna_encoding_failed' WHEN length(n) > 253 THEN 'hostname_too_long' WHEN NOT contains(n, '.') THEN 'missing_dot' "
+    "WHEN regexp_matches(n, '(^|\\.)\\.') OR regexp_matches(n, '[^.]{64}') THEN 'idna_encoding_failed' WHEN length(n) > 253 THEN 'hostname_too_long' WHEN NOT contains(n, '.') THEN 'missing_dot' "
     "WHEN NOT regexp_matches(n, '^[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?(\\.[a-z0-9]([a-z0-9-]{0,61}[a-z0-9])?)*$') THEN 'invalid_dns_label' "
     "WHEN NOT regexp_matches(split_part(n, '.', -1), '[a-z]') THEN 'numeric_top_level_label' END"
 )
-_RAW = "raw AS (SELECT page_id AS id, lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)) || CASE WHEN page_id % 5 = 0 THEN '.' ELSE '' END AS raw FROM pages UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents), nrm AS (SELECT id, raw, lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')) AS v, regexp_replace(lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')), '\\.$', '') AS n FROM raw)"
+#: Labels beyond ASCII that stand before the hosts of some pages, and their ASCII forms.
+_IDN = {"bücher": "xn--bcher-kva", "日本語": "xn--wgv71a119e", "ñandú": "xn--and-6ma2c", "россия": "xn--h1alffa9f", "straßen": "strassen", "münchen-ost": "xn--mnchen-ost-9db"}
+_PLANTED = "CASE length(html) % 8 " + " ".join(f"WHEN {i} THEN '{w.upper() if i % 2 else w}.'" for i, w in enumerate(_IDN)) + " ELSE '' END"
+_CODED = "CASE " + " ".join(f"WHEN starts_with(v, '{w}.') THEN '{c}.' || substr(v, {len(w) + 2})" for w, c in _IDN.items()) + " ELSE v END"
+_RAW = "raw AS (SELECT page_id AS id, " + _PLANTED + " || lower(split_part(split_part(split_part(split_part(url, '://', 2), '/', 1), '?', 1), '#', 1)) || CASE WHEN page_id % 5 = 0 THEN '.' ELSE '' END AS raw FROM pages UNION ALL SELECT doc_id, unnest(string_split(text, chr(10))) FROM documents), nr0 AS (SELECT id, raw, lower(trim(raw, chr(10) || chr(13) || chr(9) || ' ')) AS v FROM raw), nrm AS (SELECT *, regexp_replace(" + _CODED + ", '\\.$', '') AS n FROM nr0)"
 
 
 def raw_lines(spark, sf_dir):
-    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.concat(T.host_of(F.col("url")), F.when(F.col("page_id") % 5 == 0, ".").otherwise("")).alias("raw"))
+    before = F.lit("")
+    for i, word in reversed(list(enumerate(_IDN))):
+        before = F.when(F.length("html") % 8 == i, (word.upper() if i % 2 else word) + ".").otherwise(before)
+    p = table(spark, sf_dir, "pages").select(F.col("page_id").alias("id"), F.concat(before, T.host_of(F.col("url")), F.when(F.col("page_id") % 5 == 0, ".").otherwise("")).alias("raw"))
     return p.unionByName(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.explode(F.split("text", "\n", -1)).alias("raw")))
 
 
