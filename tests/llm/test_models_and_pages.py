@@ -88,7 +88,9 @@ def test_automaton():
         if abs(len(a) - len(b)) > 1:
             return False
         if len(a) == len(b):
-            return sum(x != y for x, y in zip(a, b, strict=True)) <= 1
+            apart = [i for i in range(len(a)) if a[i] != b[i]]
+            exchanged = len(apart) == 2 and apart[1] == apart[0] + 1 and a[apart[0]] == b[apart[1]] and a[apart[1]] == b[apart[0]]
+            return len(apart) <= 1 or exchanged
         a, b = sorted((a, b), key=len)
         return any(b[:i] + b[i + 1 :] == a for i in range(len(b)))
 
@@ -98,6 +100,9 @@ def test_automaton():
         for _ in range(rng.randint(0, 2)):
             i = rng.randint(0, len(w))
             w[i : i + rng.randint(0, 1)] = [rng.choice("idotmrnclwx")] * rng.randint(0, 1)
+            if rng.random() < 0.3 and len(w) > 2:
+                i = rng.randrange(len(w) - 1)
+                w[i], w[i + 1] = w[i + 1], w[i]
         w = "".join(w)
         hits = [t for t in terms if within_one(w, t)]
         got = auto.match(w)
@@ -105,14 +110,24 @@ def test_automaton():
         assert got is None or got[1] == min(0 if w == t else 1 for t in hits)
 
 
+def test_copies_count_as_one_document_with_both_labels(spark):
+    """Forty near copies of one toxic text make no terms; what ten different toxic texts share does."""
+    clean = [(0, f"plain words {chr(97 + i % 26) * 5} about gardens and houses number{i} {'w' + 'abcdefghij'[i % 10] * 9}{chr(97 + i // 10) * 3}") for i in range(60)]
+    copies = [(1, "garbled surroundings incomprehensibility extraordinarily poisonous " + "x" * (i % 3)) for i in range(40)]
+    shared = [(1, f"zzbadword {chr(97 + i) * 14} {chr(98 + i) * 13} and so on") for i in range(20)]
+    mixed = [(0, shared[0][1])]
+    sample = spark.createDataFrame(clean + copies + shared + mixed, "y int, text string")
+    terms = {t for t, _, _ in toxicity.learn_lexicon(sample)}
+    assert "zzbadword" in terms and not terms & {"garbled", "poisonous", "surroundings"}
+
+
 def test_context():
     lexicon = toxicity.Lexicon([("idiot", False, 3.0), ("achlich", True, 2.0)])
     plain, quoted, direct = (lexicon.features(t)[0] for t in ("such an idiot here", 'he wrote "an idiot" there', "you idiot"))
     assert quoted < plain < direct
     assert lexicon.features("")[0] == 0 and lexicon.features("ACHLICHER")[0] > 0
     for right, wrong in (("such an idiot here", "such an idoit here"), ("you idiot", "you idiott"), ("ACHLICHER", "ACHLYCHER")):
-        if right != "such an idiot here":  # two letters changed places there: two edits, no hit
-            assert 0 < lexicon.features(wrong)[0] < lexicon.features(right)[0]
+        assert 0 < lexicon.features(wrong)[0] < lexicon.features(right)[0]  # letters that changed places are one edit as well
     assert lexicon.features('he wrote "an idiott" there')[0] < lexicon.features("such an idiott here")[0] < lexicon.features("you idiott")[0]
 
 
@@ -155,12 +170,13 @@ def test_scores_of_misspelled_and_quoted_terms(spark):
         return 1 / (1 + np.exp(-(np.array([1, most, np.log1p(total), 10 * total / (len(words) + 20)]) @ model.weights)))
 
     def edits(a, b):
-        row = list(range(len(b) + 1))
+        rows = [list(range(len(b) + 1))]
         for i, x in enumerate(a, 1):
-            last, row = row, [i]
+            rows.append([i])
             for j, y in enumerate(b, 1):
-                row.append(min(last[j] + 1, row[-1] + 1, last[j - 1] + (x != y)))
-        return row[-1]
+                swap = rows[i - 2][j - 2] + 1 if i > 1 and j > 1 and x == b[j - 2] and a[i - 2] == y else 99
+                rows[i].append(min(rows[i - 1][j] + 1, rows[i][-1] + 1, rows[i - 1][j - 1] + (x != y), swap))
+        return rows[-1][-1]
 
     rows = docs.where("length(text) < 3000").orderBy("doc_id").limit(60).select("doc_id", "text").collect()
     got = {r["doc_id"]: r["s"] for r in toxicity.with_scores(docs, model, "s").collect()}

@@ -2,7 +2,7 @@
 
 Fitting, on at most ``FIT_DOCS`` labelled documents (those whose id hashes lowest): words and word
 beginnings that occur mostly in toxic documents form the lexicon, each with its log odds. A Levenshtein
-automaton for one edit is intersected with the trie of the terms of at least ``FUZZY_FROM`` letters
+automaton for one edit (a letter too much, too few or wrong, or two neighbours exchanged) is intersected with the trie of the terms of at least ``FUZZY_FROM`` letters
 (``BEGINS_FUZZY_FROM`` for beginnings) and turned into a deterministic automaton state by state as
 words come, so a word that is far from all terms ends after a few letters.
 
@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 from .common import labelled_sample, logistic, materialise, sigmoid
 
 FIT_DOCS = 16_000
-#: Most terms of the lexicon: it is collected, and sent to the tasks.
-MOST_TERMS = 2_000
+#: Most terms that a lexicon may have, since it is collected and sent to the tasks; more raise an error, none are left out.
+MOST_TERMS = 100_000
 LEAST_SHARE = 0.75
 #: Terms of the lexicon that chance alone may be expected to give.
 CHANCE_TERMS = 1.0
@@ -52,6 +52,7 @@ REPORTING = frozenset(
 )
 SECOND = frozenset("you your youre yourself u du dich dir dein deine ihr euch tu te toi ton ta tes vous votre usted ustedes tú ti vosotros".split())
 
+#: The least factor of a misspelling is a choice: a fit on few misspelled terms would take still less, and lose misspelled abuse.
 #: What lessens or raises a hit, and the values that its factor may take; the middle one unless the fit gains.
 FACTORS = {"misspelled": (0.25, 0.5, 0.75, 0.9), "quoted": (0.3, 0.5, 0.7), "reported": (0.6, 0.75, 0.9), "addressed": (1.1, 1.25, 1.5)}
 START = (0.5, 0.5, 0.75, 1.25)
@@ -75,26 +76,33 @@ class Automaton:
                     self.next.append({})
                 node = self.next[node][c]
             self.ends[node] = weight
-        self.start = self._closed({(0, 0)})
+        self.start = self._closed({(0, 0, "")})
         self.steps: dict[tuple[frozenset, str], frozenset] = {}
 
     def _closed(self, items: set) -> frozenset:
-        """With skipped term letters (deletions) added, and no item that a better one covers."""
-        more = {(child, 1) for node, e in items if not e for child in self.next[node].values()}
+        """With skipped term letters (deletions) added, and no item that a better one covers. An item is a node of the trie, the
+        edits so far and, in the middle of an exchange, the letter that must come next."""
+        more = {(child, 1, "") for node, e, due in items if not e and not due for child in self.next[node].values()}
         items = items | more
-        return frozenset((n, e) for n, e in items if not e or (n, 0) not in items)
+        return frozenset((n, e, due) for n, e, due in items if not e or due or (n, 0, "") not in items)
 
     def step(self, state: frozenset, c: str) -> frozenset:
         key = (state, c)
         got = self.steps.get(key)
         if got is None:
             items = set()
-            for node, e in state:
-                if c in self.next[node]:
-                    items.add((self.next[node][c], e))
+            for node, e, due in state:
+                if due:
+                    if c == due:
+                        items.add((node, e, ""))
+                    continue
+                below = self.next[node]
+                if c in below:
+                    items.add((below[c], e, ""))
                 if not e:
-                    items.add((node, 1))
-                    items.update((child, 1) for child in self.next[node].values())
+                    items.add((node, 1, ""))
+                    items.update((child, 1, "") for child in below.values())
+                    items.update((self.next[child][c], 1, letter) for letter, child in below.items() if c in self.next[child])
             if len(self.steps) > CACHE:
                 self.steps.clear()
             got = self.steps[key] = self._closed(items)
@@ -108,9 +116,9 @@ class Automaton:
             if not state:
                 break
             if begins:
-                found += [(e, -self.ends[node]) for node, e in state if node in self.ends]
+                found += [(e, -self.ends[node]) for node, e, due in state if not due and node in self.ends]
         if not begins:
-            found = [(e, -self.ends[node]) for node, e in state if node in self.ends]
+            found = [(e, -self.ends[node]) for node, e, due in state if not due and node in self.ends]
         return (-min(found)[1], min(found)[0]) if found else None
 
 
@@ -183,27 +191,29 @@ def weighed(hits: np.ndarray, factors: tuple[float, ...]) -> np.ndarray:
 
 
 def learn_lexicon(sample: DataFrame) -> list[tuple[str, bool, float]]:
-    """Terms of ``sample(text, y)`` by their share of toxic documents, at most ``MOST_TERMS``.
+    """Terms of ``sample(text, y)`` by their share of toxic documents.
 
-    Copies, told by their two longest words, count once, or a toxic text with many copies would make
-    all its words terms. A term must be in so many toxic documents that among all candidates fewer
-    than ``CHANCE_TERMS`` would be by chance.
+    Copies and near copies, told by their two longest words, count as one document in all, each by an equal part of it with its own
+    label, or a toxic text with many copies would make all its words terms. A term must be in so many toxic documents that
+    among all candidates fewer than ``CHANCE_TERMS`` would be by chance.
     """
     words = sample.select("y", F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), 0)).alias("ws"))
     ranked = F.reverse(F.array_sort(F.transform("ws", lambda w: F.struct(F.length(w), w))))
-    words = words.withColumn("longest", F.slice(ranked, 1, 2)).groupBy("longest").agg(F.min_by(F.struct("y", "ws"), F.xxhash64("ws")).alias("d")).select("d.*")
-    words = materialise(words, "fit-words")
-    long = F.filter("ws", lambda w: F.length(w) <= 40)
-    starts = F.concat(*[F.transform(F.filter(long, _at_least(n)), _beginning(n)) for n in BEGINNINGS])
-    counts = words.select("y", F.explode(F.array_union(long, starts)).alias("t")).groupBy("t").agg(F.sum("y").alias("bad"), F.count("*").alias("n"))
-    counts = materialise(counts.where("n >= 2"), "fit-terms")
-    base, candidates = words.agg(F.avg("y")).first()[0] or 0.0, counts.count()
+    words = materialise(words.withColumn("longest", F.sha2(F.to_json(F.slice(ranked, 1, 2)), 256)), "fit-words")
+    words = words.join(words.groupBy("longest").agg((1.0 / F.count("*")).alias("part")), "longest")
+    starts = F.concat(*[F.transform(F.filter("ws", _at_least(n)), _beginning(n)) for n in BEGINNINGS])
+    counts = words.select("y", "part", F.explode(F.array_union("ws", starts)).alias("t")).groupBy("t")
+    counts = counts.agg(F.sum(F.col("y") * F.col("part")).alias("bad"), F.sum("part").alias("n"))
+    counts = materialise(counts.where("n > 1.000001"), "fit-terms")
+    base, candidates = words.agg(F.sum(F.col("y") * F.col("part")) / F.sum("part")).first()[0] or 0.0, counts.count()
     if not 0 < base < 1 or not candidates:
         return []
-    least = max(3, math.ceil(math.log(candidates / CHANCE_TERMS) / -math.log(base)))
+    least = max(3, math.ceil(math.log(candidates / CHANCE_TERMS) / -math.log(base))) - 1e-6
     share = (F.col("bad") + 0.1) / (F.col("n") + 1.0)
     good = counts.where((F.col("bad") >= least) & (share >= LEAST_SHARE))
-    rows = good.select("t", F.log(share / (1 - share)).alias("w"), "bad").orderBy(F.desc("bad"), "t").limit(MOST_TERMS).collect()
+    rows = good.select("t", F.log(share / (1 - share)).alias("w"), "bad").orderBy(F.desc("bad"), "t").limit(MOST_TERMS + 1).collect()
+    if len(rows) > MOST_TERMS:
+        raise ValueError(f"the lexicon has more than {MOST_TERMS} terms")
     return [(r["t"].rstrip("*"), r["t"].endswith("*"), float(r["w"])) for r in rows]
 
 
