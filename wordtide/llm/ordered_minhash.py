@@ -21,8 +21,9 @@ Comparisons inside buckets, of rows that are not in one component yet:
    blocks, whatever the family's size. No member is left out.
 4. Each text of a larger bucket is sketched again without the runs it shares with the shortest text,
    by ``REST_TABLES`` tables of one run, which gives finer buckets inside the old one; these are
-   treated in the same way, until no large bucket holds several components. The shortest text of a
-   finer bucket has the runs of all buckets around it, so no run is used twice and the rounds end.
+   treated in the same way, until no large bucket holds several components; finer buckets of members
+   of the family only have been compared already and go. The shortest text of a finer bucket has the
+   runs of all buckets around it, so no run is used twice and the rounds end.
 
 Two similar texts of a large bucket that are no family thus have more than ``1 - CORE`` of one text's runs
 outside of the shared passage, and meet by these.
@@ -291,6 +292,7 @@ def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
     n, c, rep = (group[x][order] for x in ("n", "c", "rep"))
     blocks = group["block"][order] if len(np.unique(group["block"])) > 1 else None
     bags = np.frombuffer(b"".join(group["bag"][order]), dtype=np.uint16).reshape(-1, BAG).astype(np.int32)
+    coarse = bags.reshape(-1, BAG // 8, 8).sum(2)
     upto = np.searchsorted(n, n / SIMILARITY + 1e-6, side="right")
     out = []
     for lo in range(0, len(n), 256):
@@ -301,6 +303,11 @@ def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
         if blocks is not None:  # blocks are met among themselves elsewhere
             other = blocks[left + lo] != blocks[right]
             left, right = left[other], right[other]
+        if len(left) > 1 << 14:  # sums of counters bound the distance as well, at an eighth of the work
+            apart = coarse[left + lo].astype(np.int32) - coarse[right]
+            worst = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
+            good = worst <= (1 - SIMILARITY) * n[right] + 1e-9
+            left, right = left[good], right[good]
         for at in range(0, len(left), 1 << 14):
             x, y = left[at : at + (1 << 14)] + lo, right[at : at + (1 << 14)] + lo
             apart = bags[x] - bags[y]
@@ -362,9 +369,11 @@ def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _bucketed(keyed: DataFrame) -> DataFrame:
-    """Rows (key, rep, n) of buckets of two or more, with their size ``m`` and smallest id ``low``."""
-    several = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low")).where("m > 1")
-    return materialise(keyed.join(several, "key"), "omh-buckets")
+    """Rows (key, rep, n) of buckets of two or more, with their size ``m`` and smallest id ``low``. Where rows say whether they
+    are members of the family of the bucket around, buckets of members only go: those have all been compared."""
+    core = F.min("core") if "core" in keyed.columns else F.lit(False)
+    several = keyed.groupBy("key").agg(F.count("*").alias("m"), F.min("rep").alias("low"), core.alias("known")).where("m > 1 and not known")
+    return materialise(keyed.select("key", "rep", "n").join(several.drop("known"), "key"), "omh-buckets")
 
 
 def _done(out: DataFrame, *tables: DataFrame) -> DataFrame:
@@ -499,8 +508,8 @@ def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFram
 
 
 def _finer(rests: DataFrame) -> DataFrame:
-    """Rows (key, rep, n) of finer buckets."""
-    return materialise(rests.select(F.explode("keys").alias("key"), "rep", "n").distinct(), "omh-fine")
+    """Rows (key, rep, n, core) of finer buckets."""
+    return materialise(rests.select(F.explode("keys").alias("key"), "rep", "n", "core").distinct(), "omh-fine")
 
 
 def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
