@@ -15,7 +15,7 @@ Comparisons inside buckets, of rows that are not in one component yet:
 3. In larger ones each text is compared with the shortest text of the bucket: texts that consist
    mostly of a passage they share are often all similar to it. Those that have at least ``CORE`` of
    their runs in common with that text, a family, may be similar by the shared runs alone although
-   that text is none of theirs (it may have other words before the passage). For ``ROUNDS`` rounds
+   that text is none of theirs (it may have other words before the passage). For up to ``ROUNDS`` rounds
    one member of each family is compared with all that are in other components; then every two
    members that are still apart are compared by word counts, dealt by length and salt into pairs of
    blocks, whatever the family's size. No member is left out.
@@ -60,7 +60,7 @@ REST_TABLES = 24
 SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
-CORE, ROUNDS, FAMILY_BLOCK = 0.3, 3, 1024
+CORE, ROUNDS, FAMILY_BLOCK, FAMILY_WORDS = 0.3, 3, 256, 100_000
 STEP = 1 << 13
 
 _U = np.uint64
@@ -344,6 +344,56 @@ def _close_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pairs(kept)
 
 
+def _linked_in(group: dict[str, np.ndarray]) -> list[tuple[int, int]]:
+    """Links of a bucket that join its components: close pairs are aligned in place, and only while their ends are still apart,
+    so there are fewer links than rows."""
+    parent: dict[int, int] = {}
+
+    def root(c: int) -> int:
+        while (up := parent.get(c, c)) != c:
+            parent[c] = parent.get(up, up)
+            c = up
+        return c
+
+    texts, at = dict(zip(group["rep"].tolist(), group["text"], strict=True)), dict(zip(group["rep"].tolist(), group["c"].tolist(), strict=True))
+    words: dict[int, np.ndarray] = {}
+    out = []
+    for pairs in _close_in(group):
+        for a, b in pairs.tolist():
+            x, y = root(at[a]), root(at[b])
+            if x != y:
+                for rep in (a, b):
+                    if rep not in words:
+                        words[rep] = words_of(texts[rep])
+                if similar(words[a], words[b]):
+                    parent[max(x, y)] = min(x, y)
+                    out.append((a, b))
+    return out
+
+
+def _linked_blocks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows sorted by bucket, with texts -> the links that join components, bucket by bucket."""
+    for bucket in _buckets(batches):
+        links = _linked_in({x: bucket[x].to_numpy() for x in ("n", "c", "rep", "bag", "block", "text")}) if len(bucket) > 1 else []
+        yield pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+
+
+def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of one bucket after the other, of batches that are sorted by bucket."""
+    kept: pd.DataFrame | None = None
+    for pdf in batches:
+        if not len(pdf):
+            continue
+        pdf = pdf if kept is None else pd.concat([kept, pdf], ignore_index=True)
+        keys = pdf["key"].to_numpy()
+        starts = np.append(0, np.flatnonzero(keys[1:] != keys[:-1]) + 1)
+        for lo, hi in zip(starts[:-1], starts[1:], strict=True):
+            yield pdf.iloc[lo:hi]
+        kept = pdf.iloc[starts[-1] :]
+    if kept is not None:
+        yield kept
+
+
 def _rest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     last = (None, None)
     for pdf in batches:
@@ -465,11 +515,13 @@ def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The similar pairs of different components in families of any size.
 
     Similar texts are in one class of lengths or in neighbouring ones. A class is salted into blocks of about ``FAMILY_BLOCK``
-    rows; every block meets itself, the others of its class and those of the next one, each pair of blocks as one bucket.
+    rows, fewer of long texts; every block meets itself, the others of its class and those of the next one, each pair of blocks as
+    one bucket. A bucket aligns its close pairs in place, while their components are still apart.
     """
     ratio = -np.log(SIMILARITY)
     rows = rows.withColumn("length", F.floor(F.log(F.greatest("n", F.lit(1))) / ratio).cast("int"))
-    sizes = rows.groupBy("hub", "length").agg(F.ceil(F.count("*") / FAMILY_BLOCK).cast("int").alias("blocks"))
+    sizes = rows.groupBy("hub", "length").agg(F.ceil(F.greatest(F.count("*") / FAMILY_BLOCK, F.sum("n") / FAMILY_WORDS)).cast("int").alias("blocks"))
+    sizes = sizes.withColumn("blocks", F.greatest("blocks", F.lit(1)))
     ahead = sizes.select("hub", (F.col("length") - 1).alias("length"), F.col("blocks").alias("ahead"))
     behind = sizes.select("hub", (F.col("length") + 1).alias("length"), F.col("blocks").alias("behind"))
     sizes = materialise(sizes.join(ahead, ["hub", "length"], "left").join(behind, ["hub", "length"], "left").na.fill(0), "omh-lengths")
@@ -482,9 +534,10 @@ def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     )
     met = dealt.select("hub", "rep", "c", "block", F.explode(units).alias("u")).select(F.xxhash64("hub", "u").alias("key"), "rep", "c", "block")
     ids = materialise(rows.select("rep").distinct(), "omh-ids")
-    met = met.join(slim.join(ids, "rep", "left_semi"), "rep").repartition("key").sortWithinPartitions("key")
-    close = materialise(met.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
-    return _checked(_done(materialise(close.distinct(), "omh-close"), close, ids, sizes), texts)
+    held = slim.join(ids, "rep", "left_semi").join(texts.toDF("rep", "text"), "rep")
+    met = met.join(held, "rep").repartition("key").sortWithinPartitions("key")
+    links = materialise(met.mapInPandas(_linked_blocks, "a bigint, b bigint"), "omh-links")
+    return _done(links, ids, sizes)
 
 
 def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
@@ -500,7 +553,10 @@ def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFram
         drawn = rows.join(home, "hub").where("c <> home").groupBy("hub", "c").agg(F.min(F.struct("n", "rep"))["rep"].alias("pivot"))
         drawn = drawn.groupBy("hub").agg(F.min_by(F.struct("pivot", F.col("c").alias("pivot_c")), F.xxhash64("c", F.lit(turn))).alias("p")).select("hub", "p.*")
         pairs = rows.join(drawn, "hub").where("c <> pivot_c").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        own = _done(_joined(own, _lifted(_linked(pairs, slim, texts), own)), rows)
+        links = _linked(pairs, slim, texts)
+        if links.isEmpty():  # no large open group is left, or none was hit: the blocks decide
+            break
+        own = _done(_joined(own, _lifted(links, own)), rows)
     rows = _several(family, own)
     if not rows.isEmpty():
         own = _joined(own, _lifted(_in_blocks(rows, slim, texts), own))
