@@ -1136,3 +1136,4 @@ def same_chart_ratios(spark, sf_dir):
 
 from wordtide.plans import evidence as _evidence  # noqa: E402, F401  these register the queries that build on the ones above
 from wordtide.plans import saved as _saved  # noqa: E402, F401
+from wordtide.plans import scopes as _scopes  # noqa: E402, F401
