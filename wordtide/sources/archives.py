@@ -123,14 +123,16 @@ def read_archives(files: DataFrame, caps: Caps = Caps(), start: str | None = Non
     """``files(path, length, content)`` -> (source_path, source_date, line, name, reason): the lines of good archives, numbered
     from 1, and one row with a reason for each other one.
 
-    Reasons, the first that fits: undated, out_of_window, archive_too_large (content of either is not even read from
-    disk), not_an_archive, unexpected_members, raw_too_large, crc_failed, invalid_utf8, too_few_rows, not_readable. An
-    archive is the unit of work; its packed bytes are in memory, its text never is: it is inflated twice, first to be judged.
+    Reasons, the first that fits: undated, out_of_window, archive_too_large (such a file is not opened), not_an_archive,
+    unexpected_members, raw_too_large, crc_failed, invalid_utf8, too_few_rows, not_readable. An archive is the unit of work; its
+    packed bytes are in memory, its text never is: it is inflated twice, first to be judged.
     """
     date = T.source_date(F.substring_index("path", "/", -1))
-    reason = F.coalesce(window_reason(date, start, end), F.when(F.col("length") > caps.packed, "archive_too_large"))
-    judged = files.select("path", reason.alias("reason"), F.when(reason.isNull(), F.col("content")).alias("content"))
-    out = judged.mapInArrow(_read(caps), OUT)
+    reason = F.coalesce(window_reason(date, start, end), F.when(F.col("length").isNull(), "not_an_archive").when(F.col("length") > caps.packed, "archive_too_large"))
+    small = F.col("length") <= caps.packed  # reaches the reader, which opens no larger file
+    fine = files.where(small).where(reason.isNull()).select("path", reason.alias("reason"), "content")
+    refused = files.where(reason.isNotNull()).select("path", reason.alias("reason"), F.lit(None).cast("binary").alias("content"))
+    out = fine.unionByName(refused).mapInArrow(_read(caps), OUT)
     return out.select("source_path", T.source_date(F.substring_index("source_path", "/", -1)).alias("source_date"), "line", "name", "reason")
 
 
