@@ -60,7 +60,7 @@ REST_TABLES = 24
 SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
-CORE, ROUNDS, FAMILY_BLOCK, FAMILY_WORDS = 0.3, 3, 256, 100_000
+CORE, ROUNDS, FAMILY_BLOCK, FAMILY_WORDS = 0.3, 3, 1024, 400_000
 STEP = 1 << 13
 
 _U = np.uint64
