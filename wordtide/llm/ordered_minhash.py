@@ -61,6 +61,8 @@ SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
 CORE, ROUNDS, FAMILY_BLOCK, FAMILY_WORDS = 0.3, 3, 1024, 400_000
+#: Alignments of longer texts go by furthest positions instead of bits: their tables of places would grow.
+COLUMN_WORDS = 4096
 STEP = 1 << 13
 
 _U = np.uint64
@@ -188,7 +190,38 @@ def within(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
     n, m = len(a), len(b)
     if not n or not m:
         return n + m if n + m <= most else None
-    return _furthest(a, b, most)
+    return _columns(a, b, most) if max(n, m) <= COLUMN_WORDS else _furthest(a, b, most)
+
+
+def _columns(a: np.ndarray, b: np.ndarray, most: int) -> int | None:
+    """The distance column by column of the shorter text, the cells of the band as bits of one number.
+
+    Only diagonals that a path of ``most`` edits can touch are in the band. ``up`` and ``down`` say where a cell is one more or one
+    less than the cell above it. The band moves down by one row a column; the cells that come and go at its edges are taken as one
+    more than their neighbour, which is the cost of a real path, and so are the rows above the text. ``d`` is the distance on the
+    diagonal that ends in the last cell, which never falls, so the first excess decides.
+    """
+    long, short = (a.tolist(), b.tolist()) if len(a) >= len(b) else (b.tolist(), a.tolist())
+    d = len(long) - len(short)
+    below = (most - d) // 2
+    width = d + 2 * below + 1
+    places: dict[int, int] = {}
+    for i, w in enumerate(long, below + 1):
+        places[w] = places.get(w, 0) | (1 << i)
+    full, last, goal = (1 << width) - 1, 1 << (width - 1), 1 << (below + d)
+    down = (1 << (below + 1)) - 1
+    up = full ^ down
+    for j, w in enumerate(short, 1):
+        up, down = (up >> 1) | last, down >> 1
+        equal = (places.get(w, 0) >> j) & full
+        flat = (((equal & up) + up) ^ up) | equal
+        right, left = down | (full & ~(flat | up)), up & flat
+        d += bool(up & goal) - bool(down & goal) + bool(right & goal) - bool(left & goal)
+        if d > most:
+            return None
+        right, left, steep = (right << 1) | 1, left << 1, equal | down
+        up, down = (left | ~(steep | right)) & full, right & steep & full
+    return d
 
 
 def _run(a: np.ndarray, b: np.ndarray, x: int, y: int) -> int:
@@ -243,25 +276,28 @@ def most_edits(n: int, m: int, similarity: float = SIMILARITY) -> int:
     return int((1 - similarity) * max(n, m) + 1e-9)
 
 
-def least_edits(a: np.ndarray, b: np.ndarray) -> float:
-    """A lower bound of the edit distance: an edit changes at most q runs of q words."""
-    both = np.unique(np.concatenate([a, b]), return_inverse=True)[1].astype(np.uint64) + _U(1)
-    x, y = both[: len(a)], both[len(a) :]
+def runs_of(words: np.ndarray) -> list[np.ndarray]:
+    """The labelled runs of one, two and three words, sorted."""
+    return [np.sort(labelled_runs(words, q)) for q in (1, 2, 3) if len(words) >= q]
+
+
+def least_edits(a: list[np.ndarray], b: list[np.ndarray]) -> float:
+    """A lower bound of the edit distance of two texts, of their ``runs_of``: an edit changes at most q runs of q words."""
     most = 0.0
-    for q in (1, 2, 3):
-        if min(len(x), len(y)) < q:
-            break
-        runs = [_mix(sum((w[j : len(w) - q + 1 + j] * _POLY[j] for j in range(q)), np.uint64(0))) for w in (x, y)]
-        ids = np.unique(np.concatenate(runs), return_inverse=True)[1]
-        n, size = len(runs[0]), int(ids.max()) + 1
-        shared = np.minimum(np.bincount(ids[:n], minlength=size), np.bincount(ids[n:], minlength=size)).sum()
-        most = max(most, (max(n, len(runs[1])) - shared) / q)
+    for q, (x, y) in enumerate(zip(a, b, strict=False), 1):
+        both = np.concatenate([x, y])
+        both.sort(kind="stable")  # merges the two
+        most = max(most, (max(len(x), len(y)) - int((both[1:] == both[:-1]).sum())) / q)
     return most
 
 
-def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY) -> bool:
+def similar(a: np.ndarray, b: np.ndarray, similarity: float = SIMILARITY, runs: tuple | None = None) -> bool:
+    """Whether two texts are similar; ``runs`` are their ``runs_of`` where these are known."""
     most = most_edits(len(a), len(b), similarity)
-    return abs(len(a) - len(b)) <= most and least_edits(a, b) <= most and within(a, b, most) is not None
+    if abs(len(a) - len(b)) > most:
+        return False
+    x, y = runs or (runs_of(a), runs_of(b))
+    return least_edits(x, y) <= most and within(a, b, most) is not None
 
 
 def _sketch_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -356,16 +392,17 @@ def _linked_in(group: dict[str, np.ndarray]) -> list[tuple[int, int]]:
         return c
 
     texts, at = dict(zip(group["rep"].tolist(), group["text"], strict=True)), dict(zip(group["rep"].tolist(), group["c"].tolist(), strict=True))
-    words: dict[int, np.ndarray] = {}
+    known: dict[int, tuple[np.ndarray, list[np.ndarray]]] = {}
     out = []
     for pairs in _close_in(group):
         for a, b in pairs.tolist():
             x, y = root(at[a]), root(at[b])
             if x != y:
                 for rep in (a, b):
-                    if rep not in words:
-                        words[rep] = words_of(texts[rep])
-                if similar(words[a], words[b]):
+                    if rep not in known:
+                        words = words_of(texts[rep])
+                        known[rep] = words, runs_of(words)
+                if similar(known[a][0], known[b][0], runs=(known[a][1], known[b][1])):
                     parent[max(x, y)] = min(x, y)
                     out.append((a, b))
     return out
@@ -408,13 +445,15 @@ def _rest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last = (None, None)
+    last: tuple = (None, None, None)
     for pdf in batches:
         keep = []
         for a, text_a, text_b in zip(pdf["a"], pdf["text_a"], pdf["text_b"], strict=True):
             if last[0] != a:
-                last = (a, words_of(text_a))
-            keep.append(similar(last[1], words_of(text_b)))
+                words = words_of(text_a)
+                last = (a, words, runs_of(words))
+            words = words_of(text_b)
+            keep.append(similar(last[1], words, runs=(last[2], runs_of(words))))
         yield pdf.loc[keep, ["a", "b"]] if len(pdf) else pdf[["a", "b"]]
 
 
@@ -535,7 +574,9 @@ def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     met = dealt.select("hub", "rep", "c", "block", F.explode(units).alias("u")).select(F.xxhash64("hub", "u").alias("key"), "rep", "c", "block")
     ids = materialise(rows.select("rep").distinct(), "omh-ids")
     held = slim.join(ids, "rep", "left_semi").join(texts.toDF("rep", "text"), "rep")
-    met = met.join(held, "rep").repartition("key").sortWithinPartitions("key")
+    # few bytes, much work: a number given keeps Spark from putting the buckets together by bytes
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    met = met.join(held, "rep").repartition(parts, "key").sortWithinPartitions("key")
     links = materialise(met.mapInPandas(_linked_blocks, "a bigint, b bigint"), "omh-links")
     return _done(links, ids, sizes)
 
