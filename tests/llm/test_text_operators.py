@@ -500,3 +500,27 @@ def test_pipeline_stages_keep_columns(spark, odd_docs, no_docs):
             kept = stage(spark, kept, DATA)
             assert kept.columns == docs.columns, name
         assert corpus_pipeline.STAGES[-1][1](spark, kept, DATA).count() == kept.count()
+
+
+def test_both_alignments_agree():
+    draw = np.random.default_rng(11)
+    found = 0
+    for turn in range(300):
+        a = draw.integers(0, 40, int(draw.integers(20, 200))).astype(np.uint64)
+        b = [int(w) for w in a]
+        for _ in range(int(draw.integers(0, 30))):
+            at, kind = int(draw.integers(0, len(b) + 1)), int(draw.integers(3))
+            if kind == 0:
+                b.insert(at, int(draw.integers(0, 40)))
+            elif at < len(b) and len(b) > 1:
+                b[at : at + 1] = [] if kind == 1 else [int(draw.integers(0, 40))]
+        b = np.array(b, dtype=np.uint64)
+        most = omh.most_edits(len(a), len(b))
+        if abs(len(a) - len(b)) > most:
+            continue
+        d = omh._columns(a, b, most)
+        assert d == omh._columns(b, a, most) == omh._furthest(a, b, most)
+        if d is not None:
+            found += 1
+            assert omh.least_edits(omh.runs_of(a), omh.runs_of(b)) <= d
+    assert found > 100
