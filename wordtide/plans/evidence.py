@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from wordtide.functions import text as T
 from wordtide.operators import corrections, pages
-from wordtide.plans.catalogue import _ROOT_SPANS, _SHORT, _SHORT_GOOD, PHRASE_ROOTS
+from wordtide.plans.catalogue import _ROOT_SPANS, _SHORT, _SHORT_GOOD, PHRASE_ROOTS, SQL_SPACE
 from wordtide.plans.registry import query, table
 
 #: Headings of the given pages that stand in for the known phrases, which invented prose does not hold.
@@ -16,8 +16,11 @@ CORPUS_RULES = (
     (r"(?:to|in) .*[.]", "skip", "review_placeholder"),
 )
 
-_STRIPPED = lambda tag: f"trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g'))"
-_FULL = lambda c, p: f"regexp_full_match({c}, '(?is){p}')"
+_STRIPPED = lambda tag: f"trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<{tag}[^>]*>(.*?)</{tag}>', 1), '<[^>]*>', '', 'g'), '{SQL_SPACE}+', ' ', 'g'))"
+#: Whatever is no part of a word; the word boundary of DuckDB's patterns knows ASCII only, that of the rules all letters.
+_NO_WORD = r"[^\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}\x{200C}\x{200D}\x{24B6}-\x{24E9}\x{1F130}-\x{1F149}\x{1F150}-\x{1F169}\x{1F170}-\x{1F189}]"
+_BOUNDED = lambda p: p.replace(r".*\b", f"(?:.*{_NO_WORD})?").replace(r"\b.*", f"(?:{_NO_WORD}.*)?")
+_FULL = lambda c, p: f"regexp_full_match({c}, '(?is){_BOUNDED(p)}')"
 _RULE = lambda c: "CASE " + " ".join(f"WHEN {_FULL(c, p)} THEN {i}" for i, (p, _, _) in enumerate(CORPUS_RULES)) + " END"
 
 
@@ -53,22 +56,23 @@ def corrected(spark, sf_dir):
 
 _FETCHED = (
     "pg AS (SELECT page_id, page_id::VARCHAR || '.' || lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)', 1)) AS domain, " + _STRIPPED("title") + " AS title, " + _STRIPPED("h1") + " AS h,"
-    " trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<div class=\"ad\">(.*?)</div>', 1), '<[^>]*>', '', 'g'), '\\s+', ' ', 'g')) AS description, length(html) AS n, len(regexp_extract_all(html, '<a ')) AS links FROM pages),"
+    " trim(regexp_replace(regexp_replace(regexp_extract(html, '(?is)<div class=\"ad\">(.*?)</div>', 1), '<[^>]*>', '', 'g'), '" + SQL_SPACE + "+', ' ', 'g')) AS description, length(html) AS n, len(regexp_extract_all(html, '<a ')) AS links FROM pages),"
     " ft AS (SELECT *, CASE WHEN n < 900 THEN 'thin_or_empty' WHEN links < 6 THEN 'javascript_or_thin' WHEN n > 12000 THEN 'homepage_too_large' ELSE 'html_with_content' END AS reason0 FROM pg),"
     " fe AS (SELECT *, CASE WHEN reason0 = 'html_with_content' THEN 'pass' ELSE 'recheck' END AS decision0, n % 4 = 0 AS incomplete FROM ft),"
-    f" hr AS (SELECT domain, CASE WHEN rt IS NOT NULL THEN 'title' WHEN coalesce(rh, ru) IS NOT NULL THEN 'h1' END AS field, CASE WHEN rt IS NOT NULL THEN title WHEN rh IS NOT NULL THEN h ELSE lower(h) END AS quote, coalesce(rt, rh, ru) AS rule"
+    f" hr AS (SELECT page_id, domain, CASE WHEN rt IS NOT NULL THEN 'title' WHEN coalesce(rh, ru) IS NOT NULL THEN 'h1' END AS field, CASE WHEN rt IS NOT NULL THEN title WHEN rh IS NOT NULL THEN h WHEN ru IS NOT NULL THEN lower(h) END AS quote, coalesce(rt, rh, ru) AS rule"
     f" FROM (SELECT *, {_RULE('title')} AS rt, {_RULE('h')} AS rh, {_RULE('lower(h)')} AS ru FROM fe)),"
     " lb AS (SELECT f.domain, l.quality, l.toxic FROM labels l JOIN fe f ON l.doc_id = f.page_id),"
-    " hv AS (SELECT domain, field, quote, ['" + "','".join(d for _, d, _ in CORPUS_RULES) + "'][rule + 1] AS decision, ['" + "','".join(r for _, _, r in CORPUS_RULES) + "'][rule + 1] AS reason FROM hr WHERE rule IS NOT NULL),"
+    " hj AS (SELECT page_id, domain, field, quote, rule, ['" + "','".join(d for _, d, _ in CORPUS_RULES) + "'][rule + 1] AS decision, ['" + "','".join(r for _, _, r in CORPUS_RULES) + "'][rule + 1] AS reason FROM hr),"
+    " hv AS (SELECT * FROM hj WHERE rule IS NOT NULL),"
     " lg AS (SELECT domain, 1 AS version, 'decision' AS field, decision AS value, 'headings' AS origin FROM hv UNION ALL SELECT domain, 1, 'reason', reason, 'headings' FROM hv"
     " UNION ALL SELECT domain, 2, 'reason', 'low_quality', 'labels' FROM lb WHERE quality = 0 UNION ALL SELECT domain, 3, 'decision', CASE WHEN toxic = 1 THEN 'skip' END, 'labels' FROM lb WHERE quality = 1),"
-    " la AS (SELECT * FROM lg QUALIFY row_number() OVER (PARTITION BY domain, field ORDER BY version DESC) = 1),"
+    " la AS (SELECT * FROM lg QUALIFY row_number() OVER (PARTITION BY domain, field ORDER BY version DESC, origin DESC, value DESC NULLS LAST) = 1),"
     " co AS (SELECT fe.*, coalesce(d.value, decision0) AS decision, coalesce(r.value, reason0) AS reason, concat_ws('|', CASE WHEN d.value IS NOT NULL THEN 'decision@' || d.version || ':' || d.origin END, CASE WHEN r.value IS NOT NULL THEN 'reason@' || r.version || ':' || r.origin END) AS provenance"
     " FROM fe LEFT JOIN la d ON d.domain = fe.domain AND d.field = 'decision' LEFT JOIN la r ON r.domain = fe.domain AND r.field = 'reason')"
 )
 
 
-@query("WITH " + _FETCHED + " SELECT f.page_id, v.decision, v.reason, v.field, v.quote FROM fe f LEFT JOIN hv v ON f.domain = v.domain")
+@query("WITH " + _FETCHED + " SELECT page_id, decision, reason, field, quote FROM hj")
 def heading_corrections(spark, sf_dir):
     """The review of every page's headings."""
     r = corrections.heading_review(F.col("title"), F.col("h1"), CORPUS_RULES)
@@ -97,17 +101,17 @@ def _index(spark, sf_dir):
     return corrections.field_evidence(corrected(spark, sf_dir), FIELDS, order="page_id", roots=PHRASE_ROOTS)
 
 
-_CANON = lambda c: f"replace(lower(trim(regexp_replace({c}, '\\s+', ' ', 'g'))), 'ß', 'ss')"
+_CANON = lambda c: f"replace(lower(trim(regexp_replace({c}, '{SQL_SPACE}+', ' ', 'g'))), 'ß', 'ss')"
 _SIGHTS = (
     _ROOT_SPANS.replace("WITH s AS", "WITH " + _FETCHED.replace("\\", "\\") + """,
 so AS (SELECT page_id, domain, decision, reason, incomplete, 0 AS fo, 'title' AS field, 0 AS vo, title AS quote FROM co UNION ALL SELECT page_id, domain, decision, reason, incomplete, 1, 'h1', 0, h FROM co
  UNION ALL SELECT page_id, domain, decision, reason, incomplete, 1, 'h1', 1, lower(h) FROM co UNION ALL SELECT page_id, domain, decision, reason, incomplete, 2, 'description', 0, description FROM co),
-us AS (SELECT *, page_id * 10 + fo * 2 + vo AS doc_id, quote AS text FROM so WHERE decision = 'pass' OR reason IN ('javascript_or_thin', 'thin_or_empty', 'homepage_too_large')), s AS""", 1).replace("FROM documents", "FROM us")
+us AS MATERIALIZED (SELECT *, row_number() OVER (ORDER BY page_id, fo, vo) AS doc_id, quote AS text FROM so WHERE decision = 'pass' OR reason IN ('javascript_or_thin', 'thin_or_empty', 'homepage_too_large')), s AS""", 1).replace("FROM documents", "FROM us")
     + ", b AS (SELECT doc_id, phrase, min(sid) AS sid FROM (" + _SHORT.replace("{k}", "doc_id").replace("{t}", "text").replace("{rows}", "us") + ") WHERE " + _SHORT_GOOD + " GROUP BY ALL),"
     " rr AS (SELECT doc_id, phrase, row_number() OVER (PARTITION BY doc_id ORDER BY phrase) AS po FROM r),"
-    " ph AS (SELECT coalesce(rr.doc_id, b.doc_id) AS doc_id, coalesce(rr.phrase, b.phrase) AS phrase, coalesce(rr.po, 1000000 + b.sid) AS po, CASE WHEN b.phrase IS NULL THEN 'literal_root_span' ELSE 'short_literal_segment' END AS method FROM rr FULL JOIN b ON rr.doc_id = b.doc_id AND rr.phrase = b.phrase),"
-    f" si AS (SELECT {_CANON('phrase')} AS term, us.domain, us.field, us.quote, phrase AS keyword, method, us.decision, us.incomplete, page_id, fo, vo, po FROM ph JOIN us USING (doc_id)),"
-    " ev AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY page_id, fo, vo, po) AS sight FROM (SELECT * FROM si QUALIFY row_number() OVER (PARTITION BY term, domain, field, quote ORDER BY page_id, fo, vo, po) = 1))"
+    " ph AS (SELECT coalesce(rr.doc_id, b.doc_id) AS doc_id, coalesce(rr.phrase, b.phrase) AS phrase, (rr.po IS NULL, coalesce(rr.po, b.sid)) AS po, CASE WHEN b.phrase IS NULL THEN 'literal_root_span' ELSE 'short_literal_segment' END AS method FROM rr FULL JOIN b ON rr.doc_id = b.doc_id AND rr.phrase = b.phrase),"
+    f" si AS (SELECT {_CANON('phrase')} AS term, us.domain, us.field, us.quote, phrase AS keyword, method, us.decision, us.reason, us.incomplete, page_id, fo, vo, po FROM ph JOIN us USING (doc_id)),"
+    " ev AS (SELECT *, row_number() OVER (PARTITION BY term ORDER BY page_id, fo, vo, po, domain NULLS FIRST, field, quote) AS sight FROM (SELECT * FROM si QUALIFY row_number() OVER (PARTITION BY term, domain, field, quote ORDER BY page_id, fo, vo, po, keyword, method, decision, reason, incomplete NULLS FIRST) = 1))"
 )
 
 
@@ -117,7 +121,7 @@ def expansion_evidence(spark, sf_dir):
     return _index(spark, sf_dir).select("term", "domain", "field", "quote", "keyword", "method", "decision")
 
 
-@query(_SIGHTS + f""", ti AS (SELECT term, arg_min(keyword, sight) AS keyword, count(*)::BIGINT AS evidence, count(DISTINCT domain)::BIGINT AS domains, bool_or(decision = 'pass' AND NOT incomplete) AS complete,
+@query(_SIGHTS + f""", ti AS (SELECT term, arg_min(keyword, (page_id, fo, vo, po, keyword)) AS keyword, count(*)::BIGINT AS evidence, count(DISTINCT domain)::BIGINT AS domains, bool_or(decision = 'pass' AND NOT incomplete) AS complete,
  string_agg(domain || ' ' || field || ' ' || method, ',' ORDER BY sight) FILTER (WHERE sight <= 10) AS first_evidence FROM ev GROUP BY 1),
 pr AS (SELECT DISTINCT {_CANON("unnest(regexp_extract_all(text, '[A-Za-z]+ [A-Za-z]+'))")} AS term FROM benchmark)
 SELECT term, keyword, evidence, domains, term NOT IN (SELECT term FROM pr) AS is_new, CASE WHEN regexp_matches(keyword, '(?i){MARKETING}') OR term IN ('and the', 'the and') THEN 'phrase_review' WHEN complete THEN 'ready_for_semantic_review' ELSE 'metadata_only' END AS review_status, first_evidence FROM ti""")
