@@ -53,7 +53,11 @@ def forget(df: DataFrame | None) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
-def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
+#: Rows that are sent to every executor at most (a few MB), after a count; and rows a task where there are few.
+FEW, EACH = 200_000, 20_000
+
+
+def components(edges: DataFrame, rounds: int = 60, most: int | None = None) -> DataFrame:
     """Connected components of ``edges(a long, b long)``: one row ``(id, component)`` per
     vertex with an edge, ``component`` being the smallest id reachable.
 
@@ -61,24 +65,28 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     length L closes in about log2(L) rounds. Labels move over two equi-joins whose other
     side is reduced by a partial ``min``, so a vertex with very many edges is combined
     before the shuffle. Self edges and nulls are ignored; an empty input gives no rows.
+    ``most`` is a number that the edges do not exceed, where it is known: labels of few edges are
+    sent to the executors, and the tables of a round are written by as many tasks as they need.
     Nothing is collected but the number of labels that changed.
     """
     both = edges.where("a is not null and b is not null and a <> b").select("a", "b")
     both = both.union(both.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct()
-    both = materialise(both, "cc-edges")
+    parts = None if most is None else 2 * most // EACH + 1
+    sent = F.broadcast if most is not None and 2 * most <= FEW else lambda df: df
+    both = materialise(both, "cc-edges", parts)
     labels = materialise(
-        both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "cc-labels"
+        both.groupBy(F.col("a").alias("id")).agg(F.least(F.min("b"), F.first("a")).alias("component")), "cc-labels", parts
     )
     for _ in range(rounds):
         near = (
-            both.join(labels.select(F.col("id").alias("b"), "component"), "b")
+            both.join(sent(labels.select(F.col("id").alias("b"), "component")), "b")
             .groupBy(F.col("a").alias("id"))
             .agg(F.min("component").alias("c1"))
         )
-        step = labels.join(near, "id").select("id", F.col("component").alias("was"), F.least("component", "c1").alias("c"))
+        step = near.join(sent(labels), "id").select("id", F.col("component").alias("was"), F.least("component", "c1").alias("c"))
         jump = labels.select(F.col("id").alias("c"), F.col("component").alias("c2"))
-        fresh = step.join(jump, "c", "left").select("id", "was", F.least("c", F.coalesce("c2", "c")).alias("component"))
-        table = materialise(fresh, "cc-labels")
+        fresh = step.join(sent(jump), "c", "left").select("id", "was", F.least("c", F.coalesce("c2", "c")).alias("component"))
+        table = materialise(fresh, "cc-labels", parts)
         changed = table.where("component <> was").limit(1).count()
         old, labels = labels, table.drop("was")
         labels._scratch_path = table._scratch_path

@@ -50,7 +50,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, forget, long_ids, materialise, text_id
+from .common import EACH, FEW, components, forget, long_ids, materialise, text_id
 
 K = 5
 PICK = 4
@@ -61,6 +61,8 @@ SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
 CORE, ROUNDS, FAMILY_BLOCK, FAMILY_WORDS = 0.3, 3, 1024, 400_000
+#: Pairs that one task aligns where there are few.
+ALIGNED = 250
 #: Alignments of longer texts go by furthest positions instead of bits: their tables of places would grow.
 COLUMN_WORDS = 4096
 STEP = 1 << 13
@@ -328,7 +330,7 @@ def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
     n, c, rep = (group[x][order] for x in ("n", "c", "rep"))
     blocks = group["block"][order] if len(np.unique(group["block"])) > 1 else None
     bags = np.frombuffer(b"".join(group["bag"][order]), dtype=np.uint16).reshape(-1, BAG).astype(np.int32)
-    coarse = bags.reshape(-1, BAG // 8, 8).sum(2)
+    coarse = bags.reshape(-1, BAG // 8, 8).sum(2, dtype=np.int32)
     upto = np.searchsorted(n, n / SIMILARITY + 1e-6, side="right")
     out = []
     for lo in range(0, len(n), 256):
@@ -340,9 +342,12 @@ def _close_in(group: dict[str, np.ndarray]) -> list[np.ndarray]:
             other = blocks[left + lo] != blocks[right]
             left, right = left[other], right[other]
         if len(left) > 1 << 14:  # sums of counters bound the distance as well, at an eighth of the work
-            apart = coarse[left + lo].astype(np.int32) - coarse[right]
-            worst = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
-            good = worst <= (1 - SIMILARITY) * n[right] + 1e-9
+            good = np.empty(len(left), dtype=bool)
+            for at in range(0, len(left), 1 << 16):  # a part at a time, whose counters take few MB
+                x, y = left[at : at + (1 << 16)] + lo, right[at : at + (1 << 16)]
+                apart = coarse[x] - coarse[y]
+                worst = np.maximum(np.maximum(apart, 0).sum(1), np.maximum(-apart, 0).sum(1))
+                good[at : at + (1 << 16)] = worst <= (1 - SIMILARITY) * n[y] + 1e-9
             left, right = left[good], right[good]
         for at in range(0, len(left), 1 << 14):
             x, y = left[at : at + (1 << 14)] + lo, right[at : at + (1 << 14)] + lo
@@ -441,7 +446,7 @@ def _rest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             labels = labelled_runs(words_of(text))
             keys.append(rest_keys(labels, last[1], int(seed)))
             core.append(bool(np.isin(labels, last[1]).mean() >= CORE))
-        yield pdf[["hub", "rep", "n"]].assign(core=core, keys=keys)
+        yield pdf[["seed", "hub", "rep", "n"]].assign(core=core, keys=keys)
 
 
 def _verify(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -472,32 +477,45 @@ def _done(out: DataFrame, *tables: DataFrame) -> DataFrame:
     return out
 
 
-def _ends(pairs: DataFrame, name: str) -> DataFrame:
-    """The ids in ``pairs``, written, so that Spark knows how few they are: a semi-join with them
-    spares the shuffle of all other rows of a table."""
-    return materialise(pairs.select(F.col("a").alias(name)).union(pairs.select("b")).distinct(), "omh-ids")
+def _ends(pairs: DataFrame, name: str, n: int) -> DataFrame:
+    """The ids in ``n`` pairs, written."""
+    return materialise(pairs.select(F.col("a").alias(name)).union(pairs.select("b")).distinct(), "omh-ids", 2 * n // EACH + 1)
+
+
+def _sent(table: DataFrame) -> DataFrame:
+    """A written table of ids, sent to the executors if it is counted to have at most ``FEW`` rows: this spares the shuffle of the
+    large side of a join, whatever size Spark takes the table for."""
+    return _few(table, table.count())
+
+
+def _few(table: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(table) if n <= FEW else table
 
 
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are similar, by alignment."""
-    ids = _ends(close, "doc_id")
-    texts = texts.join(ids, "doc_id", "left_semi")
-    both = close.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a")
+    """The pairs of a written table whose texts are similar, by alignment."""
+    if not (n := close.count()):
+        return close
+    ids = _ends(close, "doc_id", n)
+    texts = texts.join(_sent(ids), "doc_id", "left_semi")
+    both = texts.toDF("b", "text_b").join(_few(close, n), "b").join(texts.toDF("a", "text_a"), "a")
     links = both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint")
-    return _done(materialise(links, "omh-links"), ids, close)
+    return _done(materialise(links, "omh-links", n // ALIGNED + 1), ids, close)
 
 
 def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The pairs whose texts are similar, by word counts first and then by alignment."""
     pairs = materialise(pairs, "omh-pairs")
-    ids = _ends(pairs, "rep")
-    slim = slim.join(ids, "rep", "left_semi")
+    if not (n := pairs.count()):
+        return pairs
+    ids = _ends(pairs, "rep", n)
+    slim = slim.join(_sent(ids), "rep", "left_semi")
     close = (
-        pairs.join(slim.toDF("a", "n_a", "bag_a"), "a")
+        slim.toDF("a", "n_a", "bag_a").join(_few(pairs, n), "a")
         .join(slim.toDF("b", "n_b", "bag_b"), "b")
         .mapInPandas(_bag_filter, "a bigint, b bigint")
     )
-    return _checked(_done(materialise(close, "omh-close"), pairs, ids), texts)
+    return _checked(_done(materialise(close, "omh-close", n // EACH + 6), pairs, ids), texts)
 
 
 def _lifted(edges: DataFrame, labels: DataFrame) -> DataFrame:
@@ -507,10 +525,12 @@ def _lifted(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return edges
 
 
-def _joined(own: DataFrame, edges: DataFrame) -> DataFrame:
-    """``own(rep, c)`` with the components that ``edges`` between components join."""
-    more = components(edges).toDF("c", "joined")
-    return materialise(own.join(more, "c", "left").select("rep", F.coalesce("joined", "c").alias("c")), "omh-own")
+def _joined(own: DataFrame, links: DataFrame) -> DataFrame:
+    """``own(rep, c)`` with the components that ``links``, a written table of pairs of ids, join."""
+    if not (n := links.count()):
+        return own
+    more = components(_lifted(_few(links, n), own), most=n).toDF("c", "joined")
+    return materialise(own.join(_few(more, 2 * n), "c", "left").select("rep", F.coalesce("joined", "c").alias("c")), "omh-own")
 
 
 def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
@@ -523,14 +543,14 @@ def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
 def _small(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The similar pairs of different components in buckets of up to ``BLOCK`` rows."""
     ids = materialise(rows.select("rep").distinct(), "omh-ids")
-    slim = slim.join(ids, "rep", "left_semi")
+    slim = slim.join(_sent(ids), "rep", "left_semi")
     rows = rows.select("key", "rep", "c", F.lit(0).alias("block")).join(slim, "rep").repartition("key").sortWithinPartitions("key")
     close = materialise(rows.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
     return _checked(_done(materialise(close.distinct(), "omh-close"), close, ids), texts)
 
 
 def _rests(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
-    """Rows (hub, rep, n, core, keys): what the texts of large buckets have and the hubs lack, as keys apart for each value of
+    """Rows (seed, hub, rep, n, core, keys): what the texts of large buckets have and the hubs lack, as keys apart for each value of
     the column ``inside``, and whether the shared part makes them members of the hub's family. Hubs of many texts are dealt to
     tasks in parts of about ``BLOCK``."""
     pairs = rows.where("rep <> hub").select(F.col(inside).alias("seed"), "hub", "rep", "n").distinct()
@@ -540,7 +560,7 @@ def _rests(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
     dealt = pairs.join(parts, "hub").withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
     dealt = dealt.join(texts.toDF("rep", "text"), "rep").join(hubs.drop("parts"), ["hub", "part"])
     dealt = dealt.select("seed", "hub", "rep", "n", "text", "hub_text")
-    return _done(materialise(dealt.mapInPandas(_rest_rows, "hub bigint, rep bigint, n int, core boolean, keys array<bigint>"), "omh-rests"), pairs)
+    return _done(materialise(dealt.mapInPandas(_rest_rows, "seed bigint, hub bigint, rep bigint, n int, core boolean, keys array<bigint>"), "omh-rests"), pairs)
 
 
 def _several(family: DataFrame, own: DataFrame) -> DataFrame:
@@ -572,13 +592,14 @@ def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
         " transform(filter(sequence(0, behind), i -> i < behind), i -> named_struct('x', length - 1, 'i', i, 'y', length, 'j', own)))"
     )
     met = dealt.select("hub", "rep", "c", "block", F.explode(units).alias("u")).select(F.xxhash64("hub", "u").alias("key"), "rep", "c", "block")
-    ids = materialise(rows.select("rep").distinct(), "omh-ids")
-    held = slim.join(ids, "rep", "left_semi").join(texts.toDF("rep", "text"), "rep")
+    wanted = materialise(rows.select("rep").distinct(), "omh-ids")
+    ids = _sent(wanted)
+    held = slim.join(ids, "rep", "left_semi").join(texts.toDF("rep", "text").join(ids, "rep", "left_semi"), "rep")
     # few bytes, much work: a number given keeps Spark from putting the buckets together by bytes
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.join(held, "rep").repartition(parts, "key").sortWithinPartitions("key")
     links = materialise(met.mapInPandas(_linked_blocks, "a bigint, b bigint"), "omh-links")
-    return _done(links, ids, sizes)
+    return _done(links, wanted, sizes)
 
 
 def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
@@ -597,16 +618,22 @@ def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFram
         links = _linked(pairs, slim, texts)
         if links.isEmpty():  # no large open group is left, or none was hit: the blocks decide
             break
-        own = _done(_joined(own, _lifted(links, own)), rows)
+        own = _done(_joined(own, links), rows)
     rows = _several(family, own)
     if not rows.isEmpty():
-        own = _joined(own, _lifted(_in_blocks(rows, slim, texts), own))
+        own = _joined(own, _in_blocks(rows, slim, texts))
     return _done(own, family, rows)
 
 
-def _finer(rests: DataFrame) -> DataFrame:
-    """Rows (key, rep, n, core) of finer buckets."""
-    return materialise(rests.select(F.explode("keys").alias("key"), "rep", "n", "core").distinct(), "omh-fine")
+def _finer(rests: DataFrame, own: DataFrame) -> DataFrame:
+    """Rows (key, rep, n, core) of finer buckets, of those buckets that still hold several components and not members of the
+    family only, which have all been compared."""
+    rows = rests.join(own, "rep")
+    left = rows.groupBy("seed").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("core").alias("known")).where("low < high and not known")
+    rows = rows.join(left.select("seed"), "seed", "left_semi")
+    # the array of a row becomes many rows: a number given keeps Spark from putting rows together by bytes
+    rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rep", "seed")
+    return materialise(rows.select(F.explode("keys").alias("key"), "rep", "n", "core").distinct(), "omh-fine")
 
 
 def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -615,7 +642,7 @@ def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFram
     rows = materialise(rows.join(hubs, "key"), "omh-hubs")
     ends = rows.where("rep <> hub").select("rep", "hub", "c").distinct().join(own.toDF("hub", "hub_c"), "hub").where("c <> hub_c")
     pairs = ends.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    return rows, _joined(own, _lifted(_linked(pairs, slim, texts), own))
+    return rows, _joined(own, _linked(pairs, slim, texts))
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -639,20 +666,21 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     met = buckets.where("rep <> low").groupBy("rep", "low").agg(F.count("*").alias("k"))
     nearest = met.groupBy(F.col("rep").alias("b")).agg(F.max_by("low", F.struct("k", "low")).alias("a")).select("a", "b")
-    labels = components(_linked(nearest, slim, texts))
+    links = _linked(nearest, slim, texts)
+    labels = components(links, most=links.count())
     own = reps.select("rep").distinct().join(labels.toDF("rep", "c"), "rep", "left")
     own = materialise(own.select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
     inside = "hub"
     while True:
         mixed = _done(_split(buckets, own), buckets)
-        own = _joined(own, _lifted(_small(mixed.where(F.col("m") <= BLOCK), slim, texts), own))
+        own = _joined(own, _small(mixed.where(F.col("m") <= BLOCK), slim, texts))
         large = mixed.where(F.col("m") > BLOCK)
         if large.isEmpty():
             break
         large, own = _with_hubs(large, own, slim, texts)
         rests = _rests(large, texts, inside)
         own = _families(rests, own, slim, texts)
-        fine = _done(_finer(rests), rests)
+        fine = _done(_finer(rests, own), rests)
         buckets = _done(_bucketed(fine), fine, large, mixed)
         inside = "key"
     by_text = reps.select("h", "rep").join(own, "rep").select("h", F.col("c").alias("class_id"))
