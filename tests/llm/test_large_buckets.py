@@ -17,7 +17,7 @@ def test_close_pairs_take_few_mb():
     peak = tracemalloc.get_traced_memory()[1] / 1e6
     tracemalloc.stop()
     kept = pairs * 16 / 1e6
-    assert pairs == (n // 2) ** 2 and peak - kept < 100
+    assert pairs == (n // 2) ** 2 and peak - kept < 60
 
 
 def test_finer_keys_only_where_something_is_open(spark):
