@@ -3,6 +3,7 @@
 import tracemalloc
 
 import numpy as np
+import pandas as pd
 
 from wordtide.llm import ordered_minhash as om
 
@@ -26,3 +27,21 @@ def test_finer_keys_only_where_something_is_open(spark):
     rests = spark.createDataFrame(rests, "seed bigint, hub bigint, rep bigint, n int, core boolean, keys array<bigint>")
     own = spark.createDataFrame([(10, 10), (11, 11), (12, 10), (13, 13)], "rep bigint, c bigint")
     assert sorted((r["key"], r["rep"]) for r in om._finer(rests, own).collect()) == [(100, 10), (100, 11), (101, 10), (101, 11)]
+
+
+def test_few_finer_keys_find_pairs_at_the_threshold():
+    """Texts behind one passage get at most 12 keys each, whatever their number, and nearly all pairs at similarity 0.8 share one."""
+    rng = np.random.default_rng(5)
+    passage = [f"p{i}" for i in range(30)]
+    hub, rows = " ".join(passage), []
+    for _ in range(400):
+        words = [f"w{i}" for i in rng.integers(0, 3000, 100)]
+        copy = list(words)
+        for i in rng.choice(100, 26, replace=False):  # 26 of 130 words: similarity 0.8
+            copy[i] = f"x{rng.integers(0, 1_000_000)}"
+        rows += [" ".join(passage + words), " ".join(passage + copy)]
+    batch = pd.DataFrame({"seed": 1, "hub": -1, "rep": range(len(rows)), "n": 130, "text": rows, "hub_text": hub})
+    (found,) = om._rest_rows([batch])
+    keys = [set(k.tolist()) for k in found["keys"]]
+    assert not found["core"].any() and max(map(len, keys)) <= 12
+    assert sum(bool(a & b) for a, b in zip(keys[::2], keys[1::2], strict=True)) >= 0.95 * 400

@@ -20,7 +20,8 @@ Comparisons inside buckets, of rows that are not in one component yet:
    members that are still apart are compared by word counts, dealt by length and salt into pairs of
    blocks, whatever the family's size. No member is left out.
 4. Each text of a larger bucket is sketched again without the runs it shares with the shortest text,
-   by ``REST_TABLES`` tables of one run, which gives finer buckets inside the old one; these are
+   by ``REST_TABLES`` tables of one run of ``REST_K`` words (edits touch fewer of the shorter runs, so half as many
+   keys find as many pairs as 24 of ``K`` words), which gives finer buckets inside the old one; these are
    treated in the same way, until no large bucket holds several components; finer buckets of members
    of the family only have been compared already and go. The shortest text of a finer bucket has the
    runs of all buckets around it, so no run is used twice and the rounds end.
@@ -56,7 +57,7 @@ K = 5
 PICK = 4
 TABLES = 20
 SHORT, SHORT_K, SHORT_TABLES = 64, 2, 8
-REST_TABLES = 24
+REST_K, REST_TABLES = 3, 12
 SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
@@ -437,15 +438,16 @@ def _buckets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _rest_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    last = (None, None)
+    last: tuple = (None, None, None)
     for pdf in batches:
         keys, core = [], []
         for seed, hub, text, hub_text in zip(pdf["seed"], pdf["hub"], pdf["text"], pdf["hub_text"], strict=True):
             if last[0] != hub:
-                last = (hub, labelled_runs(words_of(hub_text)))
-            labels = labelled_runs(words_of(text))
-            keys.append(rest_keys(labels, last[1], int(seed)))
-            core.append(bool(np.isin(labels, last[1]).mean() >= CORE))
+                words = words_of(hub_text)
+                last = (hub, labelled_runs(words), labelled_runs(words, REST_K))
+            words = words_of(text)
+            keys.append(rest_keys(labelled_runs(words, REST_K), last[2], int(seed)))
+            core.append(bool(np.isin(labelled_runs(words), last[1]).mean() >= CORE))
         yield pdf[["seed", "hub", "rep", "n"]].assign(core=core, keys=keys)
 
 
