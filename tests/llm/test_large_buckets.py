@@ -45,3 +45,30 @@ def test_few_finer_keys_find_pairs_at_the_threshold():
     keys = [set(k.tolist()) for k in found["keys"]]
     assert not found["core"].any() and max(map(len, keys)) <= 12
     assert sum(bool(a & b) for a, b in zip(keys[::2], keys[1::2], strict=True)) >= 0.95 * 400
+
+
+def test_few_texts_are_looked_up_by_all_tasks(spark, monkeypatch, tmp_path):
+    """Few pairs are aligned by one task; the join with all texts before it stays with the tasks that read these."""
+    vocabulary = [f"w{i}" for i in range(40)]
+    rows = [(i, " ".join(vocabulary[: 30 + i % 3] + [f"own{i // 3}"] * 9)) for i in range(600)]
+    spark.createDataFrame(rows, "doc_id bigint, text string").repartition(16).write.parquet(f"{tmp_path}/texts")
+    texts = spark.read.parquet(f"{tmp_path}/texts")
+    written = om.materialise
+    plans = {}
+
+    def kept(df, name, parts=None):
+        plans[name] = (df._jdf.queryExecution().optimizedPlan().toString(), parts)
+        return written(df, name, parts)
+
+    monkeypatch.setattr(om, "materialise", kept)
+    close = written(spark.createDataFrame([(0, 1), (0, 2), (3, 4), (0, 3)], "a bigint, b bigint"), "close")
+    found = sorted((r["a"], r["b"]) for r in om._checked(close, texts).collect())
+    assert found == [(0, 1), (0, 2), (3, 4)]
+    plan, parts = plans["omh-links"]
+    assert "omh-held" in plans and parts is None and "LeftSemi" not in plan
+    monkeypatch.setattr(om, "HELD", 0)
+    close = written(spark.createDataFrame([(0, 1), (0, 2), (3, 4), (0, 3)], "a bigint, b bigint"), "close")
+    assert sorted((r["a"], r["b"]) for r in om._checked(close, texts).collect()) == found
+    monkeypatch.setattr(om, "LOOKED_UP", 0)
+    close = written(spark.createDataFrame([(0, 1), (0, 2), (3, 4), (0, 3)], "a bigint, b bigint"), "close")
+    assert sorted((r["a"], r["b"]) for r in om._checked(close, texts).collect()) == found

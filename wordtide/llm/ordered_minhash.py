@@ -62,8 +62,9 @@ SIMILARITY = 0.8
 BAG = 128
 BLOCK = 128
 CORE, ROUNDS, FAMILY_BLOCK, FAMILY_WORDS = 0.3, 3, 1024, 400_000
-#: Pairs that one task aligns where there are few.
-ALIGNED = 250
+#: Pairs that one task aligns where there are few; texts that are looked up first, and sent to the executors if they have so many
+#: characters at most.
+ALIGNED, LOOKED_UP, HELD = 250, 4_000, 8_000_000
 #: Alignments of longer texts go by furthest positions instead of bits: their tables of places would grow.
 COLUMN_WORDS = 4096
 STEP = 1 << 13
@@ -494,36 +495,57 @@ def _few(table: DataFrame, n: int) -> DataFrame:
     return F.broadcast(table) if n <= FEW else table
 
 
+def _of(table: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows ``(rep, n, bag)`` of written ids, sent to the executors where they are few (a few MB)."""
+    n = ids.count()
+    table = table.join(_few(ids, n), "rep", "left_semi")
+    return F.broadcast(table) if n <= EACH else table
+
+
 def _checked(close: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs of a written table whose texts are similar, by alignment."""
+    """The pairs of a written table whose texts are similar, by alignment.
+
+    Few texts are looked up first, by all tasks that read texts, and sent to those that align: one or two tasks of few pairs would
+    otherwise go through every partition of the joins, which takes longer than the alignment.
+    """
     if not (n := close.count()):
         return close
-    ids = _ends(close, "doc_id", n)
-    texts = texts.join(_sent(ids), "doc_id", "left_semi")
-    both = texts.toDF("b", "text_b").join(_few(close, n), "b").join(texts.toDF("a", "text_a"), "a")
+    ids, parts = _ends(close, "doc_id", n), n // ALIGNED + 1
+    m = ids.count()
+    texts = texts.join(_few(ids, m), "doc_id", "left_semi")
+    held = None
+    if m <= LOOKED_UP:
+        texts = held = materialise(texts, "omh-held")
+    if held is not None and (held.agg(F.sum(F.length("text"))).first()[0] or 0) <= HELD:
+        both = close.repartition(parts).sortWithinPartitions("a")
+        both = both.join(F.broadcast(texts.toDF("b", "text_b")), "b").join(F.broadcast(texts.toDF("a", "text_a")), "a")
+        parts = None
+    else:
+        both = texts.toDF("b", "text_b").join(_few(close, n), "b").join(texts.toDF("a", "text_a"), "a")
     links = both.select("a", "b", "text_a", "text_b").mapInPandas(_verify, "a bigint, b bigint")
-    return _done(materialise(links, "omh-links", n // ALIGNED + 1), ids, close)
+    return _done(materialise(links, "omh-links", parts), held, ids, close)
 
 
-def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
-    """The pairs whose texts are similar, by word counts first and then by alignment."""
-    pairs = materialise(pairs, "omh-pairs")
+def _linked(pairs: DataFrame, slim: DataFrame, texts: DataFrame, most: int | None = None) -> DataFrame:
+    """The pairs whose texts are similar, by word counts first and then by alignment; ``most`` is a number that the pairs do not
+    exceed, where it is known."""
+    pairs = materialise(pairs, "omh-pairs", None if most is None else most // EACH + 1)
     if not (n := pairs.count()):
         return pairs
     ids = _ends(pairs, "rep", n)
-    slim = slim.join(_sent(ids), "rep", "left_semi")
+    slim = _of(slim, ids)
     close = (
-        slim.toDF("a", "n_a", "bag_a").join(_few(pairs, n), "a")
+        _few(pairs, n).join(slim.toDF("a", "n_a", "bag_a"), "a")
         .join(slim.toDF("b", "n_b", "bag_b"), "b")
         .mapInPandas(_bag_filter, "a bigint, b bigint")
     )
     return _checked(_done(materialise(close, "omh-close", n // EACH + 6), pairs, ids), texts)
 
 
-def _lifted(edges: DataFrame, labels: DataFrame) -> DataFrame:
-    """Edges between the components of their ends."""
+def _lifted(edges: DataFrame, labels: DataFrame, n: int) -> DataFrame:
+    """``n`` edges between the components of their ends; every end has a label."""
     for end in ("a", "b"):
-        edges = edges.join(labels.toDF(end, f"{end}_c"), end, "left").withColumn(end, F.coalesce(f"{end}_c", end)).drop(f"{end}_c")
+        edges = _few(edges, n).join(labels.toDF(end, f"{end}_c"), end).drop(end).withColumnRenamed(f"{end}_c", end)
     return edges
 
 
@@ -531,7 +553,7 @@ def _joined(own: DataFrame, links: DataFrame) -> DataFrame:
     """``own(rep, c)`` with the components that ``links``, a written table of pairs of ids, join."""
     if not (n := links.count()):
         return own
-    more = components(_lifted(_few(links, n), own), most=n).toDF("c", "joined")
+    more = components(_lifted(links, own, n), most=n).toDF("c", "joined")
     return materialise(own.join(_few(more, 2 * n), "c", "left").select("rep", F.coalesce("joined", "c").alias("c")), "omh-own")
 
 
@@ -544,23 +566,22 @@ def _split(rows: DataFrame, own: DataFrame) -> DataFrame:
 
 def _small(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
     """The similar pairs of different components in buckets of up to ``BLOCK`` rows."""
-    ids = materialise(rows.select("rep").distinct(), "omh-ids")
-    slim = slim.join(_sent(ids), "rep", "left_semi")
-    rows = rows.select("key", "rep", "c", F.lit(0).alias("block")).join(slim, "rep").repartition("key").sortWithinPartitions("key")
+    ids = materialise(rows.select("rep").distinct(), "omh-ids", rows.count() // EACH + 1)
+    rows = rows.select("key", "rep", "c", F.lit(0).alias("block")).join(_of(slim, ids), "rep").repartition("key").sortWithinPartitions("key")
     close = materialise(rows.mapInPandas(_close_blocks, "a bigint, b bigint"), "omh-close")
-    return _checked(_done(materialise(close.distinct(), "omh-close"), close, ids), texts)
+    return _checked(_done(materialise(close.distinct(), "omh-close", close.count() // EACH + 1), close, ids), texts)
 
 
-def _rests(rows: DataFrame, texts: DataFrame, inside: str) -> DataFrame:
+def _rests(rows: DataFrame, texts: DataFrame, inside: str, most: int) -> DataFrame:
     """Rows (seed, hub, rep, n, core, keys): what the texts of large buckets have and the hubs lack, as keys apart for each value of
     the column ``inside``, and whether the shared part makes them members of the hub's family. Hubs of many texts are dealt to
-    tasks in parts of about ``BLOCK``."""
+    tasks in parts of about ``BLOCK``. ``most`` is the number of rows."""
     pairs = rows.where("rep <> hub").select(F.col(inside).alias("seed"), "hub", "rep", "n").distinct()
-    pairs = materialise(pairs, "omh-large")
-    parts = pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    hubs = parts.join(texts.toDF("hub", "hub_text"), "hub").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
+    pairs = materialise(pairs, "omh-large", most // EACH + 1)
+    parts = _few(pairs.groupBy("hub").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")), most // BLOCK)
+    hubs = texts.toDF("hub", "hub_text").join(parts, "hub").withColumn("part", F.explode(F.expr("sequence(0, parts - 1)")))
     dealt = pairs.join(parts, "hub").withColumn("part", F.expr("cast(pmod(xxhash64(rep), parts) as int)"))
-    dealt = dealt.join(texts.toDF("rep", "text"), "rep").join(hubs.drop("parts"), ["hub", "part"])
+    dealt = texts.toDF("rep", "text").join(_few(dealt, most), "rep").join(hubs.drop("parts"), ["hub", "part"])
     dealt = dealt.select("seed", "hub", "rep", "n", "text", "hub_text")
     return _done(materialise(dealt.mapInPandas(_rest_rows, "seed bigint, hub bigint, rep bigint, n int, core boolean, keys array<bigint>"), "omh-rests"), pairs)
 
@@ -572,79 +593,81 @@ def _several(family: DataFrame, own: DataFrame) -> DataFrame:
     return _done(materialise(rows.join(mixed.select("hub"), "hub", "left_semi"), "omh-families"), rows)
 
 
-def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
+def _in_blocks(rows: DataFrame, slim: DataFrame, texts: DataFrame, most: int) -> DataFrame:
     """The similar pairs of different components in families of any size.
 
     Similar texts are in one class of lengths or in neighbouring ones. A class is salted into blocks of about ``FAMILY_BLOCK``
     rows, fewer of long texts; every block meets itself, the others of its class and those of the next one, each pair of blocks as
-    one bucket. A bucket aligns its close pairs in place, while their components are still apart.
+    one bucket. A bucket aligns its close pairs in place, while their components are still apart. There are at most ``most`` rows.
     """
     ratio = -np.log(SIMILARITY)
     rows = rows.withColumn("length", F.floor(F.log(F.greatest("n", F.lit(1))) / ratio).cast("int"))
     sizes = rows.groupBy("hub", "length").agg(F.ceil(F.greatest(F.count("*") / FAMILY_BLOCK, F.sum("n") / FAMILY_WORDS)).cast("int").alias("blocks"))
-    sizes = sizes.withColumn("blocks", F.greatest("blocks", F.lit(1)))
-    ahead = sizes.select("hub", (F.col("length") - 1).alias("length"), F.col("blocks").alias("ahead"))
-    behind = sizes.select("hub", (F.col("length") + 1).alias("length"), F.col("blocks").alias("behind"))
-    sizes = materialise(sizes.join(ahead, ["hub", "length"], "left").join(behind, ["hub", "length"], "left").na.fill(0), "omh-lengths")
+    written = sizes = materialise(sizes.withColumn("blocks", F.greatest("blocks", F.lit(1))), "omh-lengths", most // EACH + 1)
+    ahead = _few(sizes.select("hub", (F.col("length") - 1).alias("length"), F.col("blocks").alias("ahead")), most)
+    behind = _few(sizes.select("hub", (F.col("length") + 1).alias("length"), F.col("blocks").alias("behind")), most)
+    sizes = sizes.join(ahead, ["hub", "length"], "left").join(behind, ["hub", "length"], "left").na.fill(0)
     own = F.expr("cast(pmod(xxhash64(rep), blocks) as int)")
-    dealt = rows.join(sizes, ["hub", "length"]).withColumn("own", own).withColumn("block", F.col("length") * (1 << 20) + own)
+    dealt = rows.join(_few(sizes, most), ["hub", "length"]).withColumn("own", own).withColumn("block", F.col("length") * (1 << 20) + own)
     units = F.expr(
         "concat(transform(sequence(0, blocks - 1), i -> named_struct('x', length, 'i', least(i, own), 'y', length, 'j', greatest(i, own))),"
         " transform(filter(sequence(0, ahead), i -> i < ahead), i -> named_struct('x', length, 'i', own, 'y', length + 1, 'j', i)),"
         " transform(filter(sequence(0, behind), i -> i < behind), i -> named_struct('x', length - 1, 'i', i, 'y', length, 'j', own)))"
     )
     met = dealt.select("hub", "rep", "c", "block", F.explode(units).alias("u")).select(F.xxhash64("hub", "u").alias("key"), "rep", "c", "block")
-    wanted = materialise(rows.select("rep").distinct(), "omh-ids")
-    ids = _sent(wanted)
-    held = slim.join(ids, "rep", "left_semi").join(texts.toDF("rep", "text").join(ids, "rep", "left_semi"), "rep")
+    wanted = materialise(rows.select("rep").distinct(), "omh-ids", most // EACH + 1)
+    held = texts.toDF("rep", "text").join(_sent(wanted), "rep", "left_semi").join(_of(slim, wanted), "rep")
     # few bytes, much work: a number given keeps Spark from putting the buckets together by bytes
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     met = met.join(held, "rep").repartition(parts, "key").sortWithinPartitions("key")
     links = materialise(met.mapInPandas(_linked_blocks, "a bigint, b bigint"), "omh-links")
-    return _done(links, wanted, sizes)
+    return _done(links, wanted, written)
 
 
-def _families(rests: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> DataFrame:
-    """``own`` after the members of every family have been compared: some rounds with one member each, then what is still apart."""
-    family = rests.where("core").select("hub", "rep", "n").distinct()
-    family = materialise(family.unionByName(family.select("hub", F.col("hub").alias("rep")).distinct().join(slim.select("rep", "n"), "rep").select("hub", "rep", "n")), "omh-core")
+def _families(rests: DataFrame, large: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame, most: int) -> DataFrame:
+    """``own`` after the members of every family have been compared: some rounds with one member each, then what is still apart.
+    ``large`` has the ``most`` rows of the buckets with their hubs; each bucket has more than ``BLOCK``, which bounds the hubs."""
+    hubs = large.select("hub", F.col("hub").alias("rep"), F.col("hub_n").alias("n"))
+    family = materialise(rests.where("core").select("hub", "rep", "n").union(hubs).distinct(), "omh-core", most // EACH + 1)
     for turn in range(ROUNDS):
         rows = _several(family, own)
         if rows.isEmpty():
             return _done(own, family, rows)
         # a component is drawn by hash, so a large group of open rows is likely to be hit; its shortest text speaks for it
-        home = rows.where("rep = hub").select("hub", F.col("c").alias("home"))
+        home = _few(rows.where("rep = hub").select("hub", F.col("c").alias("home")), most // BLOCK)
         drawn = rows.join(home, "hub").where("c <> home").groupBy("hub", "c").agg(F.min(F.struct("n", "rep"))["rep"].alias("pivot"))
         drawn = drawn.groupBy("hub").agg(F.min_by(F.struct("pivot", F.col("c").alias("pivot_c")), F.xxhash64("c", F.lit(turn))).alias("p")).select("hub", "p.*")
-        pairs = rows.join(drawn, "hub").where("c <> pivot_c").select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
-        links = _linked(pairs, slim, texts)
+        apart = rows.join(_few(drawn, most // BLOCK), "hub").where("c <> pivot_c")
+        pairs = apart.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b")).distinct()
+        links = _linked(pairs, slim, texts, 2 * most)
         if links.isEmpty():  # no large open group is left, or none was hit: the blocks decide
             break
         own = _done(_joined(own, links), rows)
     rows = _several(family, own)
     if not rows.isEmpty():
-        own = _joined(own, _in_blocks(rows, slim, texts))
+        own = _joined(own, _in_blocks(rows, slim, texts, 2 * most))
     return _done(own, family, rows)
 
 
 def _finer(rests: DataFrame, own: DataFrame) -> DataFrame:
     """Rows (key, rep, n, core) of finer buckets, of those buckets that still hold several components and not members of the
     family only, which have all been compared."""
-    rows = rests.join(own, "rep")
+    n = rests.count()
+    rows = own.join(_few(rests.select("seed", "rep", "core"), n), "rep")
     left = rows.groupBy("seed").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min("core").alias("known")).where("low < high and not known")
-    rows = rows.join(left.select("seed"), "seed", "left_semi")
+    rows = rests.join(_few(left.select("seed"), n), "seed", "left_semi")
     # the array of a row becomes many rows: a number given keeps Spark from putting rows together by bytes
     rows = rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "rep", "seed")
-    return materialise(rows.select(F.explode("keys").alias("key"), "rep", "n", "core").distinct(), "omh-fine")
+    return materialise(rows.select(F.explode("keys").alias("key"), "rep", "n", "core").distinct(), "omh-fine", n * REST_TABLES // EACH + 1)
 
 
-def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows of large buckets with their shortest text as ``hub``, and ``own`` after comparison with it."""
-    hubs = rows.groupBy("key").agg(F.min(F.struct("n", "rep"))["rep"].alias("hub"))
-    rows = materialise(rows.join(hubs, "key"), "omh-hubs")
-    ends = rows.where("rep <> hub").select("rep", "hub", "c").distinct().join(own.toDF("hub", "hub_c"), "hub").where("c <> hub_c")
-    pairs = ends.select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
-    return rows, _joined(own, _linked(pairs, slim, texts))
+def _with_hubs(rows: DataFrame, own: DataFrame, slim: DataFrame, texts: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """The ``most`` rows of large buckets with their shortest text as ``hub``, and ``own`` after comparison with it."""
+    hubs = rows.groupBy("key").agg(F.min(F.struct("n", "rep", "c")).alias("s"))
+    hubs = hubs.select("key", F.col("s.rep").alias("hub"), F.col("s.n").alias("hub_n"), F.col("s.c").alias("hub_c"))
+    rows = materialise(rows.join(_few(hubs, most // BLOCK), "key"), "omh-hubs")
+    pairs = rows.where("c <> hub_c").select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct()
+    return rows, _joined(own, _linked(pairs, slim, texts, most))
 
 
 def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -669,19 +692,20 @@ def groups(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     met = buckets.where("rep <> low").groupBy("rep", "low").agg(F.count("*").alias("k"))
     nearest = met.groupBy(F.col("rep").alias("b")).agg(F.max_by("low", F.struct("k", "low")).alias("a")).select("a", "b")
     links = _linked(nearest, slim, texts)
-    labels = components(links, most=links.count())
-    own = reps.select("rep").distinct().join(labels.toDF("rep", "c"), "rep", "left")
+    n = links.count()
+    labels = components(links, most=n)
+    own = reps.select("rep").distinct().join(_few(labels.toDF("rep", "c"), 2 * n), "rep", "left")
     own = materialise(own.select("rep", F.coalesce("c", "rep").alias("c")), "omh-own")
     inside = "hub"
     while True:
         mixed = _done(_split(buckets, own), buckets)
         own = _joined(own, _small(mixed.where(F.col("m") <= BLOCK), slim, texts))
         large = mixed.where(F.col("m") > BLOCK)
-        if large.isEmpty():
+        if not (most := large.count()):
             break
-        large, own = _with_hubs(large, own, slim, texts)
-        rests = _rests(large, texts, inside)
-        own = _families(rests, own, slim, texts)
+        large, own = _with_hubs(large, own, slim, texts, most)
+        rests = _rests(large, texts, inside, most)
+        own = _families(rests, large, own, slim, texts, most)
         fine = _done(_finer(rests, own), rests)
         buckets = _done(_bucketed(fine), fine, large, mixed)
         inside = "key"
